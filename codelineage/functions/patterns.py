@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,7 +97,7 @@ def with_pattern_regexes(config: DataFrame) -> DataFrame:
 
 def _regex_udf():
     @F.pandas_udf(T.StringType())
-    def bodies(lists):
+    def bodies(lists: pd.Series) -> pd.Series:
         return lists.map(lambda patterns: any_glob_regex(list(patterns)))
 
     return bodies
@@ -104,13 +105,13 @@ def _regex_udf():
 
 def in_snapshot_by(path: Column, include: Column, exclude: Column) -> Column:
     """:func:`in_snapshot` with regex columns of :func:`with_pattern_regexes`."""
-    included = include.isNull() | path.rlike(include) | basename(path).rlike(include)
-    excluded = exclude.isNotNull() & path.rlike(exclude)
+    included = include.isNull() | F.rlike(path, include) | F.rlike(basename(path), include)
+    excluded = exclude.isNotNull() & F.rlike(path, exclude)
     return included & ~F.coalesce(excluded, F.lit(False)) & ~is_hidden(path)
 
 
 def in_diff_by(path: Column, include: Column, exclude: Column) -> Column:
     """:func:`in_diff` with regex columns of :func:`with_pattern_regexes`."""
-    included = include.isNull() | path.rlike(include) | basename(path).rlike(include)
-    excluded = exclude.isNotNull() & (path.rlike(exclude) | basename(path).rlike(exclude))
+    included = include.isNull() | F.rlike(path, include) | F.rlike(basename(path), include)
+    excluded = exclude.isNotNull() & (F.rlike(path, exclude) | F.rlike(basename(path), exclude))
     return included & ~F.coalesce(excluded, F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,8 +102,6 @@ def read_pyproject(text: str):
 
 
 def _read_pyproject_udf():
-    import pandas as pd
-
     def attempt(text):
         if text is None:
             return [], None
@@ -146,18 +145,14 @@ def manifest_errors(files: DataFrame) -> DataFrame:
 def parsed_dependencies(files: DataFrame) -> DataFrame:
     """Dependencies of all manifests of each snapshot with their place of mention."""
     rows = manifests(files)
-    readers = {
-        1: lambda m: parse_pyproject(pyproject_tables(m)),
-        2: parse_setup_py,
-        3: parse_requirements,
-        4: parse_requirements,
-    }
-    parts = [read(rows.filter(F.col("source_rank") == rank)) for rank, read in list(readers.items())[:2]]
-    parts.append(parse_requirements(rows.filter(F.col("source_rank") >= 3)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    def of(rank):
+        return rows.filter(F.col("source_rank") == rank)
+
+    return (
+        parse_pyproject(pyproject_tables(of(1)))
+        .unionByName(parse_setup_py(of(2)))
+        .unionByName(parse_requirements(rows.filter(F.col("source_rank") >= 3)))
+    )
 
 
 def first_mentions(parsed: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import sys
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from codelineage.functions.patterns import in_diff, in_diff_by
 from codelineage.functions.text import (
     basename, decoded, line_count, lines_marked, lines_starting,
 )
-from codelineage.operators.joins import salted_join
+from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
 from codelineage.settings import Settings
 from codelineage.storage import written
@@ -38,7 +39,7 @@ def path_changes(pairs: DataFrame, files: DataFrame) -> DataFrame:
         F.struct(F.col("to_version").alias("version"), F.lit(False).alias("is_old")),
     ))
     roles = pairs.select(*PAIR, sides.alias("side")).select(*PAIR, "side.version", "side.is_old")
-    tagged = salted_join(
+    tagged = lookup_join(
         files.select("repo", "version", "path", "content_sha"), roles, ["repo", "version"], F.col("path")
     )
     return (
@@ -203,8 +204,6 @@ def line_edit(old: str, new: str, old_name: str, new_name: str, context: int, st
 
 
 def _line_edit_udf(context: int, strict: bool):
-    import pandas as pd
-
     @F.pandas_udf(EDIT)
     def edits(old: pd.Series, new: pd.Series, old_name: pd.Series, new_name: pd.Series) -> pd.DataFrame:
         rows = [

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
+BROADCAST_ROWS = 500_000
+ROWS_PER_COPY = 64
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
@@ -20,3 +22,29 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
+    """Join file-sized rows with a narrow table of keys without moving the files.
+
+    The key table is counted (up to the limit); within it, it is broadcast and
+    ``big`` is joined in place. A larger one falls back to :func:`salted_join`.
+    """
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), on, how)
+    return salted_join(big, small, on, spread, how)
+
+
+def wide_lookup(uses: DataFrame, wide: DataFrame, on: str, spread: Column) -> DataFrame:
+    """Join many narrow ``uses`` with few wide rows of ``wide`` (unique in ``on``).
+
+    A wide row is copied once per ROWS_PER_COPY uses, so a row used by very many
+    others is served by as many tasks as it needs, and rarely used rows are not
+    copied at all.
+    """
+    copies = uses.groupBy(on).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_COPY).cast("int").alias("_copies"))
+    spread_uses = salted_join(uses, copies, [on], spread).withColumn(
+        "_copy", F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"))
+    copied = wide.join(copies, on).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    return spread_uses.drop("_copies").join(copied.drop("_copies"), [on, "_copy"]).drop("_copy")

@@ -7,10 +7,12 @@ that would not fit a cell into ordered parts whose concatenation is the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codelineage.functions.text import BAR, commas
+from codelineage.operators.diff import PAIR, version_diffs
+from codelineage.operators.joins import salted_join
 from codelineage.operators.ordered import with_order
 
 NEXT_VERSION_REQUEST = (
@@ -51,7 +53,7 @@ def snapshot_sections(snapshot: DataFrame) -> DataFrame:
 def diff_sections(diffs: DataFrame) -> DataFrame:
     section = diff_section(*[F.col(c) for c in (
         "change_type", "old_path", "file_path", "additions", "deletions", "diff_content")])
-    return diffs.select("repo", "from_version", "to_version", "file_path", section.alias("section"))
+    return diffs.select(*PAIR, "file_path", section.alias("section"))
 
 
 # --- headers ----------------------------------------------------------------
@@ -141,8 +143,6 @@ def snapshot_texts(snapshot: DataFrame, include_header: bool = True) -> DataFram
 
 def diff_texts(diffs: DataFrame, include_header: bool = True) -> DataFrame:
     """One text per pair; for diffs known to fit a cell."""
-    from codelineage.operators.diff import PAIR, version_diffs
-
     bodies = diff_sections(diffs).groupBy(*PAIR).agg(joined("section", "file_path").alias("body"))
     if not include_header:
         return bodies.select(*PAIR, F.col("body").alias("text"))
@@ -152,7 +152,7 @@ def diff_texts(diffs: DataFrame, include_header: bool = True) -> DataFrame:
 
 def unified_text(diffs: DataFrame) -> DataFrame:
     """Plain unified diff of each pair: the file diffs in path order, one after the other."""
-    return diffs.groupBy("repo", "from_version", "to_version").agg(
+    return diffs.groupBy(*PAIR).agg(
         joined("diff_content", "file_path").alias("unified_diff"))
 
 
@@ -162,19 +162,18 @@ def unified_text(diffs: DataFrame) -> DataFrame:
 def text_parts(pieces: DataFrame, keys: list[str], order: list[str], part_bytes: int) -> DataFrame:
     """Cut the text made of ``piece`` values (in ``order``) into numbered parts.
 
-    Concatenating the parts of a key in order gives the whole text. A part takes
+    Concatenating the parts of a key by part_no (which may have gaps) gives the
+    whole text. A part takes
     the pieces that start inside its byte range, so its size is bounded by
     part_bytes plus one piece, however long the text is.
     """
     sized = pieces.withColumn("_bytes", F.octet_length("piece").cast("long"))
     sizes = with_order(sized.select(*keys, *order, "_bytes"), keys, order, sum_before={"_start": "_bytes"})
     placed = pieces.join(
-        sizes.select(*keys, *order, F.floor(F.col("_start") / part_bytes).cast("long").alias("_slot")),
+        sizes.select(*keys, *order, F.floor(F.col("_start") / part_bytes).cast("long").alias("part_no")),
         [*keys, *order],
     )
-    parts = placed.groupBy(*keys, "_slot").agg(joined("piece", ", ".join(order), "").alias("text"))
-    return with_order(parts.select(*keys, "_slot"), keys, ["_slot"], number="part_no").join(
-        parts, [*keys, "_slot"]).drop("_slot")
+    return placed.groupBy(*keys, "part_no").agg(joined("piece", ", ".join(order), "").alias("text"))
 
 
 # --- trees and summaries ---------------------------------------------------------
@@ -200,7 +199,9 @@ def tree_lines(paths: DataFrame) -> DataFrame:
     steps = nodes.select(
         *snapshot, "node", "depth", F.posexplode("node").alias("at", "name"),
     ).withColumn("parent", F.array_join(F.slice("node", F.lit(1), F.col("at")), "/"))
-    flagged = steps.join(last_child, [*snapshot, "parent"]).withColumn("is_last", F.col("name") == F.col("last_name"))
+    # Every node of a snapshot asks for the root folder, so that key is split.
+    flagged = salted_join(steps, last_child, [*snapshot, "parent"], F.array_join("node", "/")).withColumn(
+        "is_last", F.col("name") == F.col("last_name"))
     own = F.col("at") == F.col("depth") - 1
     prefix = F.when(own, F.when(F.col("is_last"), "└── ").otherwise("├── ")).otherwise(
         F.when(F.col("is_last"), "    ").otherwise("│   "))

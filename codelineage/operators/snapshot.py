@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from codelineage import dims
 from codelineage.functions.text import commas, decoded, extension, text_mode
-from codelineage.operators.joins import salted_join
+from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
 from codelineage.settings import Settings
+from codelineage.storage import written
 
 HEAD_BYTES = 8192
 FILE_KEY = ["repo", "version", "path"]
@@ -77,7 +78,9 @@ def with_stub(files: DataFrame, settings: Settings = Settings(), binary_extensio
 def classified(files: DataFrame, settings: Settings = Settings(), binary_extensions: list[str] | None = None) -> DataFrame:
     """snapshot_files without a size budget: text or stub for every file."""
     text = F.coalesce("stub", text_mode(decoded(F.col("content"))))
+    carried = [c for c in files.columns if c not in (*FILE_KEY, "content", "size", "head", "content_sha")]
     return with_stub(files, settings, binary_extensions).select(
+        *carried,
         *FILE_KEY,
         text.alias("content"),
         shown_size().alias("size"),
@@ -92,28 +95,25 @@ def shown_size() -> Column:
 
 
 def file_sizes(files: DataFrame, settings: Settings = Settings(), binary_extensions: list[str] | None = None) -> DataFrame:
-    """(repo, version, path, size) as counted by the budget; no file content is read."""
-    return with_stub(files, settings, binary_extensions).select(*FILE_KEY, shown_size().alias("size"))
+    """Every file with the size the budget counts; no file content is read."""
+    carried = [c for c in files.columns if c not in (*FILE_KEY, "content", "size", "head", "content_sha")]
+    return with_stub(files, settings, binary_extensions).select(*carried, *FILE_KEY, shown_size().alias("size"))
 
 
-def budget_cutoffs(sizes: DataFrame, max_codebase_size: int) -> DataFrame:
+def budget_cutoffs(sizes: DataFrame, max_codebase_size: int, key: tuple[str, ...] = ("repo", "version")) -> DataFrame:
     """First path left out per snapshot, for the snapshots that exceed the budget.
 
     A file stays while the total before it (in path order) is below the budget.
     Totals are pre-aggregated, so only snapshots above the budget are ordered.
     """
-    key = ["repo", "version"]
-    over = sizes.groupBy(key).agg(F.sum("size").alias("_total")).filter(F.col("_total") > max_codebase_size)
-    ordered = with_order(
-        salted_join(sizes, over.select(key), key, F.col("path"), "left_semi"),
-        key, ["path"], sum_before={"before": "size"},
-    )
-    out = F.col("before") >= max_codebase_size
-    return ordered.filter(out).groupBy(key).agg(F.min("path").alias("cutoff_path"))
+    over = sizes.groupBy(*key).agg(F.sum("size").alias("_total")).filter(F.col("_total") > max_codebase_size)
+    crowded = salted_join(sizes, over.select(*key), list(key), F.col("path"), "left_semi")
+    ordered = with_order(crowded.select(*key, "path", "size"), list(key), ["path"], sum_before={"before": "size"})
+    return ordered.filter(F.col("before") >= max_codebase_size).groupBy(*key).agg(F.min("path").alias("cutoff_path"))
 
 
-def within_budget(files: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    kept = salted_join(files, cutoffs, ["repo", "version"], F.col("path"), "left")
+def within_budget(files: DataFrame, cutoffs: DataFrame, key: tuple[str, ...] = ("repo", "version")) -> DataFrame:
+    kept = lookup_join(files, cutoffs, list(key), F.col("path"), "left")
     return kept.filter(F.col("cutoff_path").isNull() | (F.col("path") < F.col("cutoff_path"))).drop("cutoff_path")
 
 
@@ -124,7 +124,7 @@ def snapshot_files(files: DataFrame, settings: Settings = Settings(), binary_ext
     contents are filtered in place and never ordered.
     """
     sizes = file_sizes(files.select(*FILE_KEY, "size", "head"), settings, binary_extensions)
-    cutoffs = budget_cutoffs(sizes, settings.max_codebase_size)
+    cutoffs = written(budget_cutoffs(sizes, settings.max_codebase_size), "cutoffs")
     return classified(within_budget(files, cutoffs), settings, binary_extensions)
 
 
