@@ -61,14 +61,17 @@ def commas(number: Column) -> Column:
 
 def human_size(size: Column, unit: str = "bytes") -> Column:
     """Decimal size with two digits from a thousand up, else whole units."""
+    def shown(value, pattern):
+        return F.call_function("format_number", value, F.lit(pattern))
+
     def scaled(divisor, suffix):
-        return F.concat(F.format_number(size / F.lit(divisor), "0.00"), F.lit(suffix))
+        return F.concat(shown(size / F.lit(divisor), "0.00"), F.lit(suffix))
 
     return (
         F.when(size >= 1_000_000_000, scaled(1e9, " GB"))
         .when(size >= 1_000_000, scaled(1e6, " MB"))
         .when(size >= 1_000, scaled(1e3, " KB"))
-        .otherwise(F.concat(F.format_number(size.cast("double"), "0"), F.lit(f" {unit}")))
+        .otherwise(F.concat(shown(size.cast("double"), "0"), F.lit(f" {unit}")))
     )
 
 
