@@ -8,6 +8,7 @@ from codelineage.operators.examples import create_examples
 from codelineage.operators.releases import release_pairs
 from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
+from codelineage.storage import written
 
 PAIR = diff.PAIR
 CREATED = "2024-01-01T00:00:00"
@@ -173,8 +174,8 @@ EXAMPLES_SQL = """
 
 
 def whole(x):
-    """Source files and manifests of the fixture repositories."""
-    return x.raw().unionByName(x.manifest_files())
+    """Source files and manifests of the fixture repositories, kept as the jobs expect them: a table."""
+    return written(x.raw().unionByName(x.manifest_files()), "raw_files")
 
 
 @query("i5_dataset", EXAMPLES_SQL)
@@ -189,7 +190,7 @@ def i5(x):
                       FROM fx_pairs3 p JOIN fx_uses u ON u.repo = p.repo JOIN fx_blocks b ON b.repo = u.github_repo AND b.version = 'v2.0.0' AND b.is_dep""", "")
        .replace("fx_blocks", "fx_own_blocks"))
 def i3(x):
-    built = build_dataset(x.releases3(), x.raw(), CREATED, Settings(include_dependencies=False))
+    built = build_dataset(x.releases3(), written(x.raw(), "raw_files"), CREATED, Settings(include_dependencies=False))
     return fingerprints(built.examples)
 
 

@@ -32,9 +32,9 @@ def s2(x):
 
 
 def streamed(x):
-    folder = fresh_path(x.spark, "examples")
+    folder, files = fresh_path(x.spark, "examples"), whole(x)
     start_examples(
-        arriving(x, x.releases3(), ["2024-02-01", "2024-03-01"]), x.releases3, lambda: whole(x), folder, CREATED,
+        arriving(x, x.releases3(), ["2024-02-01", "2024-03-01"]), x.releases3, lambda: files, folder, CREATED,
         known_packages=x.known_packages(),
     ).awaitTermination()
     return folder

@@ -63,26 +63,14 @@ def pair_renames(changes: DataFrame) -> DataFrame:
     name, then the rest, each time in path order. Both sides are numbered within
     their hash, so the join is on equal keys and yields at most one row per file.
     """
-    gone = changes.filter("change_type = 'deleted'").select(
-        *PAIR, F.col("old_sha").alias("sha"), "path", F.lit(True).alias("is_old"))
-    came = changes.filter("change_type = 'added'").select(
-        *PAIR, F.col("new_sha").alias("sha"), "path", F.lit(False).alias("is_old"))
-    rows = gone.unionByName(came).withColumn("name", basename(F.col("path")))
-    two_sided = (
-        rows.groupBy(*PAIR, "sha")
-        .agg(F.bool_or("is_old").alias("left_one"), F.bool_and("is_old").alias("left_only"))
-        .filter("left_one AND NOT left_only")
-        .select(*PAIR, "sha")
-    )
-    rows = salted_join(rows, two_sided, [*PAIR, "sha"], F.col("path"), "left_semi")
-    same_name = _matched(rows, [*PAIR, "sha", "name"])
-    left = (
-        rows.join(same_name.select(*PAIR, F.col("old_path").alias("path"), F.lit(True).alias("is_old")),
-                  [*PAIR, "path", "is_old"], "left_anti")
-        .join(same_name.select(*PAIR, F.col("new_path").alias("path"), F.lit(False).alias("is_old")),
-              [*PAIR, "path", "is_old"], "left_anti")
-    )
-    renames = same_name.unionByName(_matched(left, [*PAIR, "sha"]))
+    one_sided = changes.filter("change_type <> 'modified'").select(
+        *PAIR, F.coalesce("old_sha", "new_sha").alias("sha"), "path", basename(F.col("path")).alias("name"),
+        F.col("old_sha").isNotNull().alias("is_old"))
+    same_name, rest = _matched(_on_both_sides(one_sided), [*PAIR, "sha", "name"])
+    rest = _on_both_sides(rest)
+    renames = same_name
+    if not rest.isEmpty():
+        renames = renames.unionByName(_matched(rest, [*PAIR, "sha"])[0])
 
     used = renames.select(*PAIR, F.explode(F.array(
         F.struct(F.col("old_path").alias("path"), F.lit("deleted").alias("change_type")),
@@ -97,18 +85,28 @@ def pair_renames(changes: DataFrame) -> DataFrame:
     return kept.select(columns).unionByName(renamed)
 
 
-def _matched(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """n-th deleted path with the n-th added path under the same keys."""
+def _on_both_sides(rows: DataFrame) -> DataFrame:
+    """Rows whose hash was both deleted and added in the pair."""
+    hashes = (
+        rows.groupBy(*PAIR, "sha")
+        .agg(F.bool_or("is_old").alias("some_old"), F.bool_and("is_old").alias("all_old"))
+        .filter("some_old AND NOT all_old")
+        .select(*PAIR, "sha")
+    )
+    return salted_join(rows, hashes, [*PAIR, "sha"], F.col("path"), "left_semi")
+
+
+def _matched(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """n-th deleted path with the n-th added path under the same keys, and the rows left over."""
     numbered = with_order(rows, [*keys, "is_old"], ["path"], number="place")
-    return (
-        numbered.groupBy(*dict.fromkeys([*PAIR, "sha", *keys]), "place")
-        .agg(
-            F.max(F.when(F.col("is_old"), F.col("path"))).alias("old_path"),
-            F.max(F.when(~F.col("is_old"), F.col("path"))).alias("new_path"),
-        )
-        .filter(F.col("old_path").isNotNull() & F.col("new_path").isNotNull())
-        .select(*PAIR, "sha", "old_path", "new_path")
+    couples = numbered.groupBy(*keys, "place").agg(
+        F.max(F.when(F.col("is_old"), F.col("path"))).alias("old_path"),
+        F.max(F.when(~F.col("is_old"), F.col("path"))).alias("new_path"),
     )
+    complete = F.col("old_path").isNotNull() & F.col("new_path").isNotNull()
+    left = couples.filter(~complete).select(
+        *PAIR, "sha", F.coalesce("old_path", "new_path").alias("path"), F.col("old_path").isNotNull().alias("is_old"))
+    return couples.filter(complete).select(*PAIR, "sha", "old_path", "new_path"), left
 
 
 def changed_files(

@@ -100,19 +100,27 @@ def file_sizes(files: DataFrame, settings: Settings = Settings(), binary_extensi
     return with_stub(files, settings, binary_extensions).select(*carried, *FILE_KEY, shown_size().alias("size"))
 
 
-def budget_cutoffs(sizes: DataFrame, max_codebase_size: int, key: tuple[str, ...] = ("repo", "version")) -> DataFrame:
-    """First path left out per snapshot, for the snapshots that exceed the budget.
+def budget_cutoffs(
+    sizes: DataFrame, max_codebase_size: int, key: tuple[str, ...] = ("repo", "version")
+) -> DataFrame | None:
+    """First path left out per snapshot, for the snapshots that exceed the budget; None without any.
 
     A file stays while the total before it (in path order) is below the budget.
     Totals are pre-aggregated, so only snapshots above the budget are ordered.
     """
     over = sizes.groupBy(*key).agg(F.sum("size").alias("_total")).filter(F.col("_total") > max_codebase_size)
-    crowded = salted_join(sizes, over.select(*key), list(key), F.col("path"), "left_semi")
+    over = written(over.select(*key), "over_budget")
+    if over.isEmpty():
+        return None
+    crowded = lookup_join(sizes, over, list(key), F.col("path"), "left_semi")
     ordered = with_order(crowded.select(*key, "path", "size"), list(key), ["path"], sum_before={"before": "size"})
-    return ordered.filter(F.col("before") >= max_codebase_size).groupBy(*key).agg(F.min("path").alias("cutoff_path"))
+    cutoffs = ordered.filter(F.col("before") >= max_codebase_size).groupBy(*key).agg(F.min("path").alias("cutoff_path"))
+    return written(cutoffs, "cutoffs")
 
 
-def within_budget(files: DataFrame, cutoffs: DataFrame, key: tuple[str, ...] = ("repo", "version")) -> DataFrame:
+def within_budget(files: DataFrame, cutoffs: DataFrame | None, key: tuple[str, ...] = ("repo", "version")) -> DataFrame:
+    if cutoffs is None:
+        return files
     kept = lookup_join(files, cutoffs, list(key), F.col("path"), "left")
     return kept.filter(F.col("cutoff_path").isNull() | (F.col("path") < F.col("cutoff_path"))).drop("cutoff_path")
 
@@ -124,7 +132,7 @@ def snapshot_files(files: DataFrame, settings: Settings = Settings(), binary_ext
     contents are filtered in place and never ordered.
     """
     sizes = file_sizes(files.select(*FILE_KEY, "size", "head"), settings, binary_extensions)
-    cutoffs = written(budget_cutoffs(sizes, settings.max_codebase_size), "cutoffs")
+    cutoffs = budget_cutoffs(sizes, settings.max_codebase_size)
     return classified(within_budget(files, cutoffs), settings, binary_extensions)
 
 
