@@ -38,7 +38,7 @@ def lines_with_ends(text: Column) -> Column:
 def line_count(text: Column) -> Column:
     """Number of lines without building the array."""
     ends = F.regexp_count(text, F.lit(LINE_END))
-    open_end = text.rlike(rf"{NOT_LINE_END}\z")
+    open_end = F.right(text, F.lit(1)).rlike(NOT_LINE_END)
     return (ends + open_end.cast("int")).cast("long")
 
 

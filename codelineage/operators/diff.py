@@ -157,8 +157,12 @@ def with_texts(changes: DataFrame, files: DataFrame) -> DataFrame:
         .select(*PAIR, "path", "side.*").filter("exists").drop("exists")
     )
     contents = files.select("repo", "version", F.col("path").alias("file"), "content")
+    # A fixed number of partitions: comparing lines costs far more than the bytes
+    # suggest, so these partitions must not be merged because they look small.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
         wanted.join(contents, ["repo", "version", "file"])
+        .repartition(tasks, *PAIR, "path")
         .groupBy(*PAIR, "path")
         .agg(
             F.max(F.when(F.col("is_old"), F.col("content"))).alias("old_content"),
@@ -227,38 +231,40 @@ def unified_diffs(
     new_name = F.concat(F.lit("b/"), path)
     two_sided = (F.length(old) > 0) & (F.length(new) > 0)
     line_edits = _line_edit_udf(settings.context_lines, strict_counts)
-    rows = changes.withColumn(
-        "edit", line_edits(F.when(two_sided, old), F.when(two_sided, new), old_name, new_name)
-    )
+    rows = changes.withColumns({
+        "edit": line_edits(F.when(two_sided, old), F.when(two_sided, new), old_name, new_name),
+        # The only text of a change that adds or removes everything.
+        "text": F.when(~two_sided & (F.length(new) + F.length(old) > 0), F.concat(new, old)),
+        "adds": F.length(new) > 0,
+    })
+    text, adds = F.col("text"), F.col("adds")
+    rows = rows.withColumns({
+        "lines": line_count(text),
+        "marked": F.when(adds, lines_marked(text, "+")).otherwise(lines_marked(text, "-")),
+        "uncounted": F.lit(0) if strict_counts else F.when(adds, lines_starting(text, "++")).otherwise(
+            lines_starting(text, "--")),
+    })
+
+    lines = F.col("lines")
+    span = F.when(lines == 1, F.lit("1")).otherwise(F.concat(F.lit("1,"), lines.cast("string")))
+    ranges = F.when(adds, F.concat(F.lit("-0,0 +"), span)).otherwise(F.concat(F.lit("-"), span, F.lit(" +0,0")))
+    one_sided = F.concat(F.lit("--- "), old_name, F.lit("\n+++ "), new_name, F.lit("\n@@ "), ranges,
+                         F.lit(" @@\n"), F.col("marked"))
+    full_diff = F.when(text.isNotNull(), one_sided).otherwise(F.coalesce("edit.diff", F.lit("")))
+    counted = lines - F.col("uncounted")
+
+    def count(side, edited):
+        return F.when(text.isNotNull(), F.when(side, counted).otherwise(F.lit(0))).otherwise(
+            F.coalesce(edited, F.lit(0)))
 
-    def one_sided(text, marker, old_range, new_range):
-        head = F.concat(F.lit("--- "), old_name, F.lit("\n+++ "), new_name, F.lit("\n@@ -"),
-                        old_range, F.lit(" +"), new_range, F.lit(" @@\n"))
-        return F.concat(head, lines_marked(text, marker))
-
-    def whole_range(text):
-        lines = line_count(text)
-        return F.when(lines == 1, F.lit("1")).otherwise(F.concat(F.lit("1,"), lines.cast("string")))
-
-    def one_sided_count(text, marker):
-        counted = line_count(text)
-        return counted if strict_counts else counted - lines_starting(text, marker * 2)
-
-    nothing = F.lit("0,0")
-    full_diff = (
-        F.when(two_sided, F.col("edit.diff"))
-        .when(F.length(new) > 0, one_sided(new, "+", nothing, whole_range(new)))
-        .when(F.length(old) > 0, one_sided(old, "-", whole_range(old), nothing))
-        .otherwise(F.lit(""))
-    )
     return rows.select(
         *PAIR,
         path.alias("file_path"),
         "change_type",
         "old_path",
         truncated(full_diff, settings.max_diff_size).alias("diff_content"),
-        F.when(two_sided, F.col("edit.additions")).otherwise(one_sided_count(new, "+")).alias("additions"),
-        F.when(two_sided, F.col("edit.deletions")).otherwise(one_sided_count(old, "-")).alias("deletions"),
+        count(adds, "edit.additions").alias("additions"),
+        count(~adds, "edit.deletions").alias("deletions"),
     )
 
 

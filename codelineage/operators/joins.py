@@ -47,4 +47,9 @@ def wide_lookup(uses: DataFrame, wide: DataFrame, on: str, spread: Column) -> Da
         "_copy", F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"))
     copied = wide.join(copies, on).withColumn(
         "_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-    return spread_uses.drop("_copies").join(copied.drop("_copies"), [on, "_copy"]).drop("_copy")
+    # The output is far larger than either input, so the partitions are fixed in
+    # number and not merged for their small size.
+    tasks = int(uses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = spread_uses.drop("_copies").repartition(tasks, on, "_copy")
+    right = copied.drop("_copies").repartition(tasks, on, "_copy")
+    return left.join(right, [on, "_copy"]).drop("_copy")
