@@ -9,36 +9,43 @@ from codelineage.functions.text import SPACE, stripped
 
 # Name, blanks, then the rest of the line.
 REQUIREMENT = rf"(?U)\A([a-zA-Z0-9_-]+){SPACE}*([^\n]*)"
-NOT_A_NAME = ("http://", "https://", "git+", ".", "/")
+# First a name character, after blanks and [extras]; no URL, VCS link or local path.
+STARTS_WITH_NAME = rf"(?U)\A{SPACE}*+(?!https?://|git\+|[./])(?>\[[^\n]*?\])*+[a-zA-Z0-9_-]"
+# First a character other than # and -, after blanks.
+CARRIES_REQUIREMENT = rf"(?U)\A{SPACE}*+[^#-]"
 
 
 def _without_comment(text: Column) -> Column:
-    return stripped(F.split_part(text, F.lit("#"), F.lit(1)))
+    return F.split_part(text, F.lit("#"), F.lit(1))
 
 
-def _without_extras(text: Column) -> Column:
-    return F.regexp_replace(_without_comment(text), r"\[[^\n]*?\]", "")
+def bare_requirement(text: Column) -> Column:
+    """The string without comment, surrounding blanks and [extras]."""
+    return F.regexp_replace(stripped(_without_comment(text)), r"\[[^\n]*?\]", "")
 
 
 def is_requirement(text: Column) -> Column:
-    """True where the string names a package: no URL, VCS link or local path."""
-    plain = _without_comment(text)
-    link = F.lit(False)
-    for prefix in NOT_A_NAME:
-        link = link | F.startswith(plain, F.lit(prefix))
-    return ~link & _without_extras(text).rlike(REQUIREMENT)
+    """True where the string names a package."""
+    return _without_comment(text).rlike(STARTS_WITH_NAME)
+
+
+def bare_name(bare: Column) -> Column:
+    return F.regexp_extract(bare, REQUIREMENT, 1)
+
+
+def bare_spec(bare: Column) -> Column:
+    return F.nullif(stripped(F.regexp_extract(bare, REQUIREMENT, 2)), F.lit(""))
 
 
 def requirement_name(text: Column) -> Column:
-    return F.regexp_extract(_without_extras(text), REQUIREMENT, 1)
+    return bare_name(bare_requirement(text))
 
 
 def requirement_spec(text: Column) -> Column:
     """Version part, NULL when there is none."""
-    return F.nullif(stripped(F.regexp_extract(_without_extras(text), REQUIREMENT, 2)), F.lit(""))
+    return bare_spec(bare_requirement(text))
 
 
 def is_manifest_line(line: Column) -> Column:
     """Requirements-file line that is neither blank, a comment nor an option."""
-    plain = stripped(line)
-    return (plain != "") & ~F.startswith(plain, F.lit("#")) & ~F.startswith(plain, F.lit("-"))
+    return line.rlike(CARRIES_REQUIREMENT)

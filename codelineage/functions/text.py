@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 # taken as a unit so that it is never cut in the middle.
 LINE_END = r"(?>\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}])"
 NOT_LINE_END = r"[^\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
-# Whitespace as Python's str.strip sees it.
+# Whitespace as Python's str.strip sees it; the class needs the (?U) flag.
 SPACE = r"[\s\x1C-\x1F]"
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 BAR = "=" * 80
 
@@ -22,11 +23,11 @@ def decoded(binary: Column) -> Column:
 
 def text_mode(text: Column) -> Column:
     """Newlines as a text-mode read gives them: ``\\r\\n`` and ``\\r`` become ``\\n``."""
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def lines_with_ends(text: Column) -> Column:
@@ -107,8 +108,11 @@ def basename(path: Column) -> Column:
 
 
 def extension(path: Column) -> Column:
-    """Lower-cased last suffix with its dot, or an empty string."""
-    return F.lower(F.regexp_extract(basename(path), r"(?s)\A.+(\.[^.]+)\z", 1))
+    """Lower-cased last suffix with its dot, or an empty string (no dot, a leading or a final one)."""
+    name = basename(path)
+    suffix = F.substring_index(name, ".", -1)
+    dot_at = F.length(name) - F.length(suffix) - 1
+    return F.when((dot_at > 0) & (F.length(suffix) > 0), F.concat(F.lit("."), F.lower(suffix))).otherwise(F.lit(""))
 
 
 def dataset_name(naming: str, base_name: str, username: str = "", repo: Column | None = None) -> Column:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codelineage.functions.requirements import (
-    is_manifest_line, is_requirement, requirement_name, requirement_spec,
+    bare_name, bare_requirement, bare_spec, is_manifest_line, is_requirement,
 )
-from codelineage.functions.text import basename, stripped
+from codelineage.functions.text import basename, text_mode
 from codelineage.operators.joins import salted_join
 from codelineage.operators.releases import latest_release
 from codelineage.operators.render import joined, lines
@@ -60,7 +60,7 @@ def manifests(files: DataFrame) -> DataFrame:
         .filter(F.col("source_rank").isNotNull())
         .select(
             *SNAPSHOT, "path", "source_rank",
-            F.when(valid, F.regexp_replace(text, "\r\n?", "\n")).alias("text"),
+            F.when(valid, text_mode(text)).alias("text"),
             F.when(~valid, F.lit("not valid UTF-8")).alias("error"),
         )
     )
@@ -70,7 +70,7 @@ def parse_requirements(texts: DataFrame) -> DataFrame:
     """Requirements lines of each manifest text, in line order."""
     line = F.posexplode(F.split("text", "\n")).alias("position", "line")
     rows = texts.select(*SNAPSHOT, "source_rank", "path", line)
-    return _parsed(rows.filter(is_manifest_line(F.col("line"))), stripped(F.col("line")))
+    return _parsed(rows.filter(is_manifest_line(F.col("line"))), F.col("line"))
 
 
 def parse_setup_py(texts: DataFrame) -> DataFrame:
@@ -82,10 +82,9 @@ def parse_setup_py(texts: DataFrame) -> DataFrame:
 
 
 def _parsed(rows: DataFrame, text: Column) -> DataFrame:
-    return rows.filter(is_requirement(text)).select(
-        *SNAPSHOT, *PLACE,
-        requirement_name(text).alias("name"), requirement_spec(text).alias("version_spec"),
-    )
+    bare = F.col("bare")
+    return rows.filter(is_requirement(text)).withColumn("bare", bare_requirement(text)).select(
+        *SNAPSHOT, *PLACE, bare_name(bare).alias("name"), bare_spec(bare).alias("version_spec"))
 
 
 def read_pyproject(text: str):
