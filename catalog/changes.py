@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from codelineage.operators import diff, render
 from codelineage.operators.examples import create_examples
+from codelineage.operators.ordered import with_order
 from codelineage.operators.releases import release_pairs
 from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
@@ -19,7 +20,7 @@ def pairs3(x):
 
 
 def diffs3(x):
-    return diff.file_diffs(pairs3(x), x.raw())
+    return written(diff.file_diffs(pairs3(x), x.raw()), "file_diffs")
 
 
 @query("c2_version_diff", r"""
@@ -97,10 +98,10 @@ def d8(x):
 
 
 @query("f2_diffs_by_path", """
-    SELECT repo, from_version, to_version, string_agg(file_path, chr(10) ORDER BY file_path) AS paths FROM fx_diffs GROUP BY ALL""")
+    SELECT repo, from_version, to_version, file_path, row_number() OVER (PARTITION BY repo, from_version ORDER BY file_path) AS place FROM fx_diffs""")
 def f2(x):
-    rows = diff.changed_files(pairs3(x), x.raw())
-    return rows.groupBy(*PAIR).agg(render.joined("path", "path").alias("paths"))
+    rows = diff.changed_files(pairs3(x), x.raw()).select(*PAIR, F.col("path").alias("file_path"))
+    return with_order(rows, PAIR, ["file_path"], number="place")
 
 
 @query("i19_diff_stats", """

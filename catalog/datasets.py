@@ -6,6 +6,7 @@ from catalog.registry import query
 from codelineage.functions import text
 from codelineage.operators import examples as ops
 from codelineage.operators import stats
+from codelineage.operators.render import cell_texts
 from codelineage.schemas import EXAMPLE_COLUMNS
 from codelineage.sources import sinks
 from codelineage.sources.tables import read_examples
@@ -99,9 +100,10 @@ def i6(x):
     SELECT conv_id, count(*) AS turns, string_agg(concat(role, ':', md5(text)), '|' ORDER BY turn) AS messages FROM conversations GROUP BY conv_id""")
 def i6_conversations(x):
     message = F.concat("role", F.lit(":"), F.md5("text"))
-    turns = x.table("conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", message.alias("message")))).alias("m"))
-    return turns.select("conv_id", F.size("m").cast("long").alias("turns"), F.array_join("m.message", "|").alias("messages"))
+    turns = x.table("conversations")
+    counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
+    texts = cell_texts(turns.withColumn("piece", message), ["conv_id"], ["turn"], "|")
+    return counts.join(texts.withColumnRenamed("body", "messages"), "conv_id")
 
 
 @query("i7_column_order", f"SELECT from_version, '{','.join(EXAMPLE_COLUMNS)}' AS column_names FROM {EX}")

@@ -14,9 +14,9 @@ from codelineage.functions.requirements import (
     bare_name, bare_requirement, bare_spec, is_manifest_line, is_requirement,
 )
 from codelineage.functions.text import basename, text_mode
-from codelineage.operators.joins import salted_join
+from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.releases import latest_release
-from codelineage.operators.render import joined, lines
+from codelineage.operators.render import cell_texts, lines, with_body
 
 # Workers get the TOML reader by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,8 +165,8 @@ def first_mentions(parsed: DataFrame) -> DataFrame:
 
 def with_repositories(deps: DataFrame, known_packages: DataFrame) -> DataFrame:
     """Look up the repository and the priority of each package name."""
-    known = F.broadcast(known_packages.withColumnRenamed("package", "key"))
-    return deps.join(known, "key", "left").withColumn("is_python", F.lit(True))
+    known = known_packages.withColumnRenamed("package", "key")
+    return lookup_join(deps, known, ["key"], F.concat_ws("\n", *SNAPSHOT), "left").withColumn("is_python", F.lit(True))
 
 
 def dependencies(files: DataFrame, known_packages: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def merged_files(pairs: DataFrame, snapshot: DataFrame, deps: DataFrame) -> Data
     key = ["repo", "from_version", "to_version"]
     body = ["path", "content", "size", "language", "is_binary_stub"]
     older = pairs.select(*key, F.col("from_version").alias("version"))
-    own = salted_join(snapshot, older, SNAPSHOT, F.col("path")).select(
+    own = lookup_join(snapshot, older, SNAPSHOT, F.col("path")).select(
         *key, F.lit(0).alias("dep_rank"), F.lit(None).cast("string").alias("github_repo"), *body)
     uses = older.join(deps, SNAPSHOT).select(
         *key, "dep_rank", "github_repo", F.col("dep_version").alias("version"))
@@ -252,5 +252,6 @@ def dependency_lines(deps: DataFrame) -> DataFrame:
 
 
 def dependency_summaries(deps: DataFrame) -> DataFrame:
-    body = dependency_lines(deps).groupBy(*SNAPSHOT).agg(joined("entry", ", ".join(PLACE)).alias("body"))
-    return body.select(*SNAPSHOT, lines("# Dependencies", "", F.col("body")).alias("summary"))
+    """Summary text per (repo, version); NULL where it would not fit a cell."""
+    body = cell_texts(dependency_lines(deps).withColumnRenamed("entry", "piece"), SNAPSHOT, PLACE)
+    return body.select(*SNAPSHOT, with_body(lines("# Dependencies", ""), F.col("body")).alias("summary"))

@@ -142,7 +142,9 @@ def with_texts(changes: DataFrame, files: DataFrame) -> DataFrame:
 
     Contents are scanned once: every needed (repo, version, path) is looked up
     with the side it serves, then both sides of a change are put on one row.
-    A rename with equal content needs no text.
+    Few changes are broadcast and contents filtered in place; for many, a files
+    table bucketed by its key keeps the contents from being shuffled. A rename
+    with equal content needs no text.
     """
     differs = ~F.col("old_sha").eqNullSafe(F.col("new_sha"))
     old_path = F.coalesce("old_path", "path")
@@ -161,7 +163,7 @@ def with_texts(changes: DataFrame, files: DataFrame) -> DataFrame:
     # suggest, so these partitions must not be merged because they look small.
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        wanted.join(contents, ["repo", "version", "file"])
+        lookup_join(contents, wanted, ["repo", "version", "file"], None)
         .repartition(tasks, *PAIR, "path")
         .groupBy(*PAIR, "path")
         .agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codelineage import dims
 from codelineage.functions.text import commas, shortened
+from codelineage.operators.joins import lookup_join
 from codelineage.operators.releases import ORDER
 
 FIELDS = ["name", "description", "stars", "language", "topics", "last_release", "release_count", "last_updated", "url"]
@@ -83,7 +84,7 @@ def search_repos(
 def topic_candidates(repos: DataFrame, topics: DataFrame) -> DataFrame:
     """Every (topic, repository carrying it); ``topics(topic, topic_rank)`` is a literal list."""
     exploded = repos.withColumn("topic", F.explode(F.array_distinct("topics")))
-    return exploded.join(F.broadcast(topics), "topic")
+    return lookup_join(exploded, topics, ["topic"], F.col("name"))
 
 
 def top_by_topic(
@@ -122,7 +123,7 @@ def discover_topics(
 
 def curated_repos(repos: DataFrame, curated: DataFrame) -> DataFrame:
     """Known metadata of the curated names; ``curated(name, curated_rank)`` is a literal list."""
-    return repos.join(F.broadcast(curated), "name")
+    return lookup_join(repos, curated, ["name"], None)
 
 
 def all_discovered(
@@ -198,7 +199,7 @@ def config_from(repos: DataFrame) -> DataFrame:
 
 def curated_listing(categories: DataFrame, curated: DataFrame) -> DataFrame:
     """Category lists reduced to names that are on the curated list."""
-    return categories.join(F.broadcast(curated.select("name")), "name", "left_semi")
+    return lookup_join(categories, curated.select("name"), ["name"], F.col("category"), "left_semi")
 
 
 def browse_topics(repos: DataFrame, names: list[str] | None = None, min_stars: int = 500, max_results: int = 20) -> DataFrame:

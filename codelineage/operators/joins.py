@@ -24,15 +24,18 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
+def lookup_join(
+    big: DataFrame, small: DataFrame, on: list[str], spread: Column | None, how: str = "inner"
+) -> DataFrame:
     """Join file-sized rows with a narrow table of keys without moving the files.
 
     The key table is counted (up to the limit); within it, it is broadcast and
-    ``big`` is joined in place. A larger one falls back to :func:`salted_join`.
+    ``big`` is joined in place. A larger one falls back to :func:`salted_join`,
+    or to a plain join where ``spread`` is None because no key of ``big`` repeats.
     """
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, spread, how)
+    return big.join(small, on, how) if spread is None else salted_join(big, small, on, spread, how)
 
 
 def wide_lookup(uses: DataFrame, wide: DataFrame, on: str, spread: Column) -> DataFrame:

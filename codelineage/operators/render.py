@@ -14,6 +14,8 @@ from codelineage.functions.text import BAR, commas
 from codelineage.operators.diff import PAIR, version_diffs
 from codelineage.operators.joins import salted_join
 from codelineage.operators.ordered import with_order
+from codelineage.settings import Settings
+from codelineage.storage import written
 
 NEXT_VERSION_REQUEST = (
     "Based on the codebase above, predict the changes that will be made in the next version release. "
@@ -46,14 +48,14 @@ def diff_section(change_type: Column, old_path: Column, path: Column, adds: Colu
 
 
 def snapshot_sections(snapshot: DataFrame) -> DataFrame:
-    """(repo, version, path, section) of classified files."""
-    return snapshot.select("repo", "version", "path", file_section(F.col("path"), F.col("content")).alias("section"))
+    """(repo, version, path, piece) of classified files."""
+    return snapshot.select("repo", "version", "path", file_section(F.col("path"), F.col("content")).alias("piece"))
 
 
 def diff_sections(diffs: DataFrame) -> DataFrame:
     section = diff_section(*[F.col(c) for c in (
         "change_type", "old_path", "file_path", "additions", "deletions", "diff_content")])
-    return diffs.select(*PAIR, "file_path", section.alias("section"))
+    return diffs.select(*PAIR, "file_path", section.alias("piece"))
 
 
 # --- headers ----------------------------------------------------------------
@@ -127,33 +129,52 @@ def output_title(from_version: Column, to_version: Column) -> Column:
 # --- one cell per text --------------------------------------------------------
 
 
-def snapshot_texts(snapshot: DataFrame, include_header: bool = True) -> DataFrame:
-    """One text per (repo, version); for snapshots known to fit a cell."""
-    sections = snapshot.select(
-        "repo", "version", "path", "size", file_section(F.col("path"), F.col("content")).alias("section"))
-    texts = sections.groupBy("repo", "version").agg(
-        F.count(F.lit(1)).alias("num_files"),
-        F.sum("size").alias("total_size"),
-        joined("section", "path").alias("body"),
-    )
+def cell_texts(
+    pieces: DataFrame, keys: list[str], order: list[str], separator: str = "\\n", max_bytes: int = Settings().max_cell_bytes
+) -> DataFrame:
+    """(keys, body): the ``piece`` values of each key in order, NULL where they exceed ``max_bytes``.
+
+    Sizes are summed first, so no task gathers a group beyond the bound; such a
+    text is available from :func:`text_parts`.
+    """
+    table = written(pieces.select(*keys, *order, "piece"), "pieces")
+    sizes = table.groupBy(*keys).agg(F.sum(F.octet_length("piece") + len(separator)).alias("_bytes"))
+    over = written(sizes.filter(F.col("_bytes") > max_bytes).select(*keys), "oversize")
+    body = joined("piece", ", ".join(order), separator).alias("body")
+    if over.isEmpty():
+        return table.groupBy(*keys).agg(body)
+    fitting = salted_join(table, over, keys, F.concat_ws("\n", *order), "left_anti").groupBy(*keys).agg(body)
+    return fitting.unionByName(over.withColumn("body", F.lit(None).cast("string")))
+
+
+def with_body(header: Column, body: Column) -> Column:
+    """Header and body; a body that is kept in parts leaves no text."""
+    return F.when(body.isNotNull(), lines(header, body))
+
+
+def snapshot_texts(snapshot: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
+    """One text per (repo, version), NULL where it would not fit a cell."""
+    key = ["repo", "version"]
+    totals = snapshot.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size"))
+    bodies = cell_texts(snapshot_sections(snapshot), key, ["path"], max_bytes=max_bytes)
     header = snapshot_header(F.col("repo"), F.col("version"), F.col("num_files"), F.col("total_size"))
-    text = lines(header, F.col("body")) if include_header else F.col("body")
-    return texts.select("repo", "version", "num_files", "total_size", text.alias("text"))
+    text = with_body(header, F.col("body")) if include_header else F.col("body")
+    return totals.join(bodies, key).select(*key, "num_files", "total_size", text.alias("text"))
 
 
-def diff_texts(diffs: DataFrame, include_header: bool = True) -> DataFrame:
-    """One text per pair; for diffs known to fit a cell."""
-    bodies = diff_sections(diffs).groupBy(*PAIR).agg(joined("section", "file_path").alias("body"))
+def diff_texts(diffs: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
+    """One text per pair, NULL where it would not fit a cell."""
+    bodies = cell_texts(diff_sections(diffs), PAIR, ["file_path"], max_bytes=max_bytes)
     if not include_header:
         return bodies.select(*PAIR, F.col("body").alias("text"))
     return bodies.join(version_diffs(diffs), PAIR).select(
-        *PAIR, lines(diff_header_of(DIFF_TOTALS), F.col("body")).alias("text"))
+        *PAIR, with_body(diff_header_of(DIFF_TOTALS), F.col("body")).alias("text"))
 
 
-def unified_text(diffs: DataFrame) -> DataFrame:
+def unified_text(diffs: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
     """Plain unified diff of each pair: the file diffs in path order, one after the other."""
-    return diffs.groupBy(*PAIR).agg(
-        joined("diff_content", "file_path").alias("unified_diff"))
+    pieces = diffs.select(*PAIR, "file_path", F.col("diff_content").alias("piece"))
+    return cell_texts(pieces, PAIR, ["file_path"], max_bytes=max_bytes).withColumnRenamed("body", "unified_diff")
 
 
 # --- texts of any size ---------------------------------------------------------
@@ -214,8 +235,9 @@ def tree_lines(paths: DataFrame) -> DataFrame:
     )
 
 
-def file_trees(paths: DataFrame) -> DataFrame:
-    """Rendered tree per (repo, version), for snapshots whose path list fits a cell."""
+def file_trees(paths: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
+    """Rendered tree per (repo, version), NULL where it would not fit a cell."""
+    key = ["repo", "version"]
     title = lines(F.concat(F.lit("# File Tree for "), F.col("repo"), F.lit("@"), F.col("version")), "")
-    body = tree_lines(paths).groupBy("repo", "version").agg(joined("line", "node").alias("body"))
-    return body.select("repo", "version", lines(title, F.col("body")).alias("tree"))
+    bodies = cell_texts(tree_lines(paths).withColumnRenamed("line", "piece"), key, ["node"], max_bytes=max_bytes)
+    return bodies.select(*key, with_body(title, F.col("body")).alias("tree"))

@@ -103,3 +103,13 @@ def test_parts_make_up_the_text(spark):
         want = "".join("é" + "x" * (i % 9) for i in range(key, 200, 2))
         mine = [r.text for r in parts if r.key == key]
         assert "".join(mine) == want and len(mine) > 5 and max(len(t.encode()) for t in mine) < 64 + 11
+
+
+def test_texts_beyond_a_cell_stay_available_in_parts(spark):
+    rows = snapshot.classified(files(spark, [("o/r", "v1", f"f{i}", "x" * 50) for i in range(20)] + [("o/s", "v1", "f", "y")]))
+    got = by(render.snapshot_texts(rows, include_header=False, max_bytes=1000), "repo")
+    assert got["o/r"].text is None and got["o/r"].num_files == 20 and got["o/s"].text.endswith("y\n")
+    whole = by(render.snapshot_texts(rows, include_header=False), "repo")["o/r"].text
+    pieces = render.snapshot_sections(rows).filter("repo = 'o/r'").withColumn("piece", F.concat("piece", F.lit("\n")))
+    parts = render.text_parts(pieces, ["repo", "version"], ["path"], 1000).orderBy("part_no").collect()
+    assert len(parts) > 3 and "".join(r.text for r in parts) == whole + "\n"
