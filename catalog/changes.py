@@ -38,6 +38,18 @@ def c3(x):
     return diff.changed_files(pairs3(x), x.raw()).select(*PAIR, "path", "old_path", "change_type")
 
 
+@query("c3_near_renames", """
+    SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r WHERE change_type IN ('modified', 'renamed')
+    UNION ALL
+    SELECT repo, from_version, to_version, path, NULL, change_type FROM fx_loose WHERE NOT near
+    UNION ALL
+    SELECT repo, from_version, to_version, max(CASE WHEN change_type = 'added' THEN path END),
+           max(CASE WHEN change_type = 'deleted' THEN path END), 'renamed' FROM fx_loose WHERE near GROUP BY repo, from_version, to_version, doc_id""")
+def c3_near(x):
+    rows = diff.changed_files(pairs3(x), written(x.raw(), "raw_files"), near_threshold=0.5)
+    return rows.select(*PAIR, "path", "old_path", "change_type")
+
+
 @query("c8_changed_files", """
     SELECT p.repo, p.from_version, p.to_version, f.path, 'added' AS change_type FROM fx_pairs3 p JOIN fx_files f ON f.repo = p.repo AND f.version = p.to_version
     WHERE NOT EXISTS (SELECT 1 FROM fx_files o WHERE o.repo = p.repo AND o.version = p.from_version AND o.path = f.path)

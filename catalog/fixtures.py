@@ -338,6 +338,13 @@ VIEWS = {
         LEFT JOIN fx_renames r ON r.repo = c.repo AND r.from_version = c.from_version AND r.path = c.path AND c.change_type = 'added'
         WHERE NOT (c.change_type = 'deleted' AND EXISTS (
             SELECT 1 FROM fx_renames x WHERE x.repo = c.repo AND x.from_version = c.from_version AND x.old_path = c.path))""",
+    # Files moved and edited at once: all lines but the last are shared with the longer text.
+    "fx_loose": """
+        SELECT repo, from_version, to_version, path, doc_id, change_type, n = 2 AND
+               octet_length(encode(shorter)) - octet_length(encode(string_split(shorter, chr(10))[-1])) >= octet_length(encode(longer)) * 0.5 AS near
+        FROM (SELECT *, count(*) OVER w AS n, arg_min(coalesce(old_content, new_content), length(coalesce(old_content, new_content))) OVER w AS shorter,
+                     arg_max(coalesce(old_content, new_content), length(coalesce(old_content, new_content))) OVER w AS longer
+              FROM fx_changes_r WHERE change_type IN ('added', 'deleted') WINDOW w AS (PARTITION BY repo, from_version, doc_id))""",
     # Diffs in closed form: whole files, or a two-line tail put on or taken off.
     "fx_diffs": r"""
         SELECT repo, from_version, to_version, path AS file_path, change_type, old_path,

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from codelineage.functions.patterns import in_diff, in_diff_by
 from codelineage.functions.text import (
-    basename, decoded, line_count, lines_marked, lines_starting,
+    basename, decoded, line_count, lines_marked, lines_starting, lines_with_ends,
 )
 from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
@@ -72,17 +72,22 @@ def pair_renames(changes: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         renames = renames.unionByName(_matched(rest, [*PAIR, "sha"])[0])
 
-    used = renames.select(*PAIR, F.explode(F.array(
-        F.struct(F.col("old_path").alias("path"), F.lit("deleted").alias("change_type")),
-        F.struct(F.col("new_path").alias("path"), F.lit("added").alias("change_type")),
-    )).alias("use")).select(*PAIR, "use.*")
-    kept = changes.join(used, [*PAIR, "path", "change_type"], "left_anti").withColumn("old_path", F.lit(None).cast("string"))
-    columns = [*PAIR, "path", "old_path", "change_type", "old_sha", "new_sha"]
     renamed = renames.select(
         *PAIR, F.col("new_path").alias("path"), "old_path", F.lit("renamed").alias("change_type"),
         F.col("sha").alias("old_sha"), F.col("sha").alias("new_sha"),
     )
-    return kept.select(columns).unionByName(renamed)
+    return _with_renamed(changes.withColumn("old_path", F.lit(None).cast("string")), renamed)
+
+
+def _with_renamed(changes: DataFrame, renamed: DataFrame) -> DataFrame:
+    """Replace the deleted and the added row of each rename by the renamed row."""
+    columns = [*PAIR, "path", "old_path", "change_type", "old_sha", "new_sha"]
+    used = renamed.select(*PAIR, F.explode(F.array(
+        F.struct(F.col("old_path").alias("path"), F.lit("deleted").alias("change_type")),
+        F.struct(F.col("path"), F.lit("added").alias("change_type")),
+    )).alias("use")).select(*PAIR, "use.*")
+    kept = changes.join(used, [*PAIR, "path", "change_type"], "left_anti")
+    return kept.select(columns).unionByName(renamed.select(columns))
 
 
 def _on_both_sides(rows: DataFrame) -> DataFrame:
@@ -109,15 +114,60 @@ def _matched(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     return couples.filter(complete).select(*PAIR, "sha", "old_path", "new_path"), left
 
 
+def near_renames(changes: DataFrame, files: DataFrame, threshold: float) -> DataFrame:
+    """Turn deleted + added files of similar content into renamed rows.
+
+    Compared are files whose name was deleted once and added once in the pair, so
+    each file has at most one partner. The score is the share of the larger file
+    (in bytes) made of lines both have.
+    """
+    named = changes.filter("change_type IN ('added', 'deleted')").withColumn("name", basename(F.col("path")))
+    is_old = F.col("old_sha").isNotNull()
+    couples = (
+        named.groupBy(*PAIR, "name")
+        .agg(
+            F.count_if(is_old).alias("gone"),
+            F.count_if(~is_old).alias("came"),
+            F.max(F.when(~is_old, F.col("path"))).alias("path"),
+            F.max(F.when(is_old, F.col("path"))).alias("old_path"),
+            F.lit("renamed").alias("change_type"),
+            F.max("old_sha").alias("old_sha"),
+            F.max("new_sha").alias("new_sha"),
+        )
+        .filter("gone = 1 AND came = 1")
+        .drop("name", "gone", "came")
+    )
+    texts = with_texts(couples, files)
+    line = F.explode(F.concat(
+        F.transform(lines_with_ends(F.col("old_text")), lambda t: F.struct(F.lit(1).alias("old"), F.lit(0).alias("new"), t.alias("text"))),
+        F.transform(lines_with_ends(F.col("new_text")), lambda t: F.struct(F.lit(0).alias("old"), F.lit(1).alias("new"), t.alias("text"))),
+    )).alias("line")
+    key = [*PAIR, "path"]
+    size = F.octet_length("text")
+    shared = (
+        texts.select(*key, line).select(*key, "line.*")
+        .groupBy(*key, "text").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+        .groupBy(*key).agg(
+            F.sum(F.least("old", "new") * size).alias("shared"),
+            F.greatest(F.sum(F.col("old") * size), F.sum(F.col("new") * size)).alias("larger"))
+        .filter(F.col("shared") >= F.col("larger") * threshold)
+    )
+    renamed = written(couples.join(shared.select(*key), key, "left_semi"), "near_renames")
+    return _with_renamed(changes, renamed)
+
+
 def changed_files(
     pairs: DataFrame,
     files: DataFrame,
     include: list[str] | None = None,
     exclude: list[str] | None = None,
     detect_renames: bool = True,
+    near_threshold: float | None = None,
 ) -> DataFrame:
     """Changed paths with their change type, renames resolved and patterns applied.
 
+    Renames need equal content unless ``near_threshold`` (0 to 1) admits similar files.
+
     Pairs that carry ``include_regex`` / ``exclude_regex`` use them instead of the
     two lists. Patterns look at the path after the change.
     """
@@ -125,6 +175,8 @@ def changed_files(
     if detect_renames:
         # Written once (paths and hashes only): the matching reads it several times.
         changes = pair_renames(written(changes, "changes"))
+        if near_threshold is not None:
+            changes = near_renames(written(changes, "changes"), files, near_threshold)
     else:
         changes = changes.withColumn("old_path", F.lit(None).cast("string"))
     if "include_regex" in pairs.columns:
@@ -282,9 +334,10 @@ def file_diffs(
     exclude: list[str] | None = None,
     detect_renames: bool = True,
     strict_counts: bool = False,
+    near_threshold: float | None = None,
 ) -> DataFrame:
     """Unified diff of every changed file of every pair."""
-    changes = changed_files(pairs, files, include, exclude, detect_renames)
+    changes = changed_files(pairs, files, include, exclude, detect_renames, near_threshold)
     return unified_diffs(with_texts(changes, files), settings, strict_counts)
 
 

@@ -101,3 +101,16 @@ def test_text_of_a_version_diff(spark):
 def test_patterns_apply_to_changes(spark, include, exclude, kept):
     got = run(spark, {}, {"a.py": "1", "d/b.py": "2", "c.md": "3"}, include=include, exclude=exclude)
     assert {r.file_path for r in got.collect()} == kept
+
+
+def test_near_renames(spark):
+    body = "".join(f"line {i}\n" for i in range(20))
+    old = {"a/x.py": body, "a/y.py": body, "a/z.py": "1\n", "p/w.py": "w\n", "q/w.py": "v\n"}
+    new = {"b/x.py": body + "more\n", "b/y.py": "else\n" * 9, "b/z.py": "1\n2\n", "r/w.py": "w\nw2\n"}
+    got = {p: (r.change_type, r.old_path) for p, r in by(run(spark, old, new, near_threshold=0.5), "file_path").items()}
+    assert got == {
+        "b/x.py": ("renamed", "a/x.py"), "a/y.py": ("deleted", None), "b/y.py": ("added", None), "b/z.py": ("renamed", "a/z.py"),
+        "p/w.py": ("deleted", None), "q/w.py": ("deleted", None), "r/w.py": ("added", None)}
+    row = by(run(spark, old, new, near_threshold=0.5), "file_path")["b/x.py"]
+    assert row.diff_content.startswith("--- a/a/x.py\n+++ b/b/x.py\n@@ -18,3 +18,4 @@\n") and (row.additions, row.deletions) == (1, 0)
+    assert {r.change_type for r in run(spark, old, new).collect()} == {"added", "deleted"}
