@@ -9,6 +9,7 @@ from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, chat_examples,
 from codelineage.operators.stats import card_stats, dataset_stats, repo_counts, stats_report
 from codelineage.schemas import EXAMPLE_COLUMNS
 from codelineage.settings import Settings
+from codelineage.sources.tables import read_examples
 from codelineage.storage import written
 
 
@@ -53,15 +54,18 @@ def save_dataset(
 ) -> None:
     """Write the examples in the asked formats, then statistics and card figures.
 
-    The examples are computed once and re-read for each output.
+    The examples are computed once: the Parquet output (or, without one, a table
+    in the shared folder) feeds every other output.
     """
     Settings(output_format=output_format)
-    rows = written(examples, "examples")
+    if output_format == "jsonl":
+        rows = written(examples, "examples")
+    else:
+        save_examples_parquet(examples, f"{folder}/dataset.parquet", mode)
+        rows = read_examples(examples.sparkSession, f"{folder}/dataset.parquet")
     if output_format in ("jsonl", "both"):
         save_examples_jsonl(rows, f"{folder}/dataset.jsonl", compress, mode)
         save_examples_chat_jsonl(rows, f"{folder}/dataset_chat.jsonl", system_prompt, compress, mode)
-    if output_format in ("parquet", "both"):
-        save_examples_parquet(rows, f"{folder}/dataset.parquet", mode)
     save_report(rows, folder, mode)
 
 
