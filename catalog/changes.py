@@ -19,8 +19,13 @@ def pairs3(x):
     return release_pairs(x.releases3())
 
 
+def table3(x):
+    """Raw files as the jobs expect them: a table."""
+    return written(x.raw(), "raw_files")
+
+
 def diffs3(x):
-    return written(diff.file_diffs(pairs3(x), x.raw()), "file_diffs")
+    return written(diff.file_diffs(pairs3(x), table3(x)), "file_diffs")
 
 
 @query("c2_version_diff", r"""
@@ -29,7 +34,7 @@ def diffs3(x):
            CASE change_type WHEN 'added' THEN 0 WHEN 'deleted' THEN old_n WHEN 'modified' THEN CASE WHEN new_n > old_n THEN 1 ELSE 3 END END AS deletions
     FROM (SELECT *, len(string_split(old_content, chr(10))) AS old_n, len(string_split(new_content, chr(10))) AS new_n FROM fx_changes)""")
 def c2(x):
-    rows = diff.file_diffs(pairs3(x), x.raw(), detect_renames=False)
+    rows = diff.file_diffs(pairs3(x), table3(x), detect_renames=False)
     return rows.select(*PAIR, "file_path", "change_type", "additions", "deletions")
 
 
@@ -46,7 +51,7 @@ def c3(x):
     SELECT repo, from_version, to_version, max(CASE WHEN change_type = 'added' THEN path END),
            max(CASE WHEN change_type = 'deleted' THEN path END), 'renamed' FROM fx_loose WHERE near GROUP BY repo, from_version, to_version, doc_id""")
 def c3_near(x):
-    rows = diff.changed_files(pairs3(x), written(x.raw(), "raw_files"), near_threshold=0.5)
+    rows = diff.changed_files(pairs3(x), table3(x), near_threshold=0.5)
     return rows.select(*PAIR, "path", "old_path", "change_type")
 
 
@@ -75,7 +80,7 @@ def b3_patterns(x):
 @query("h4_unified_diff", """
     SELECT repo, from_version, to_version, file_path, md5(diff_content) AS diff_md5, length(diff_content) AS diff_chars FROM fx_diffs""")
 def h4(x):
-    return diffs3(x).select(
+    return diff.file_diffs(pairs3(x), table3(x)).select(
         *PAIR, "file_path", F.md5("diff_content").alias("diff_md5"), F.length("diff_content").cast("long").alias("diff_chars"))
 
 
@@ -89,7 +94,7 @@ def h5(x):
            THEN concat(left(diff_content, 500), chr(10), '... [truncated, diff too large] ...') ELSE diff_content END) AS diff_md5
     FROM fx_diffs""")
 def h7(x):
-    rows = diff.file_diffs(pairs3(x), x.raw(), Settings(max_diff_size=500))
+    rows = diff.file_diffs(pairs3(x), table3(x), Settings(max_diff_size=500))
     return rows.select(*PAIR, "file_path", "additions", F.md5("diff_content").alias("diff_md5"))
 
 
@@ -203,7 +208,7 @@ def i5(x):
                       FROM fx_pairs3 p JOIN fx_uses u ON u.repo = p.repo JOIN fx_blocks b ON b.repo = u.github_repo AND b.version = 'v2.0.0' AND b.is_dep""", "")
        .replace("fx_blocks", "fx_own_blocks"))
 def i3(x):
-    built = build_dataset(x.releases3(), written(x.raw(), "raw_files"), CREATED, Settings(include_dependencies=False))
+    built = build_dataset(x.releases3(), table3(x), CREATED, Settings(include_dependencies=False))
     return fingerprints(built.examples)
 
 
