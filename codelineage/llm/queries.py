@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codelineage.llm import contamination, simhash
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -35,3 +36,20 @@ def packed(docs: DataFrame) -> DataFrame:
     pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_simhash")
+def op9(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op4_decontamination")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        contamination.contaminated(F.col("found")).alias("contaminated"))
