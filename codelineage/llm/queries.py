@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, simhash
+from codelineage.llm import contamination, quality, secrets, simhash
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -53,3 +53,32 @@ def op4(spark, sf_dir):
         "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
         contamination.contaminated(F.col("found")).alias("contaminated"))
+
+
+@query("op7_quality")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(quality.fold_of("doc_id") == 1, F.lit(False))
+    return scored(docs, sf_dir).select(
+        "doc_id", held_out.alias("held_out"), F.col("quality").alias("score"),
+        (F.col("quality") >= 0.5).cast("int").alias("predicted"))
+
+
+def scored(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ``quality`` by a model that never sees the labels of fold 1."""
+    labels = table(docs.sparkSession, sf_dir, "labels").filter(quality.fold_of("doc_id") != 1)
+    return quality.score(docs, quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label"))))
+
+
+def counted(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op8_secrets")
+def op8(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "grammar")
+    return found.select(
+        "doc_id",
+        *[counted("secrets", kind) for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secrets")).alias("spans"))
