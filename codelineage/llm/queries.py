@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, quality, secrets, simhash
+from codelineage.llm import contamination, embeddings, quality, secrets, simhash
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -82,3 +82,10 @@ def op8(spark, sf_dir):
         "doc_id",
         *[counted("secrets", kind) for kind in secrets.KINDS[:3]],
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secrets")).alias("spans"))
+
+
+@query("op3_embeddings")
+def op3(spark, sf_dir):
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
