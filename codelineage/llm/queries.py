@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, quality, secrets, simhash
+from codelineage.llm import contamination, embeddings, passages, quality, secrets, simhash, substrings
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -89,3 +89,16 @@ def op3(spark, sf_dir):
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select(
         "vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+@query("op2_substrings")
+def op2(spark, sf_dir):
+    found = substrings.without_repeated_substrings(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_passages")
+def op6(spark, sf_dir):
+    found = passages.without_repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
