@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, passages, quality, secrets, simhash, substrings
+from codelineage.llm import contamination, embeddings, pages, passages, quality, secrets, simhash, substrings
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -102,3 +102,9 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     found = passages.without_repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_html_text")
+def op5(spark, sf_dir):
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
