@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, pages, passages, quality, secrets, simhash, substrings
+from codelineage.llm import contamination, embeddings, pages, passages, privacy, quality, secrets, simhash, substrings
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -108,3 +108,12 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op10_privacy")
+def op10(spark, sf_dir):
+    found = privacy.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc_id", *[counted("spans", kind) for kind in privacy.KINDS[:4]],
+        F.sha2(privacy.listed(base), 256).alias("base_sha256"), privacy.listed(F.col("spans")).alias("spans"))
