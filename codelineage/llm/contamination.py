@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codelineage.llm.names import free_name
+
 # Bytes other than 0-9, a-z and those of longer characters part words; A-Z become a-z.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -155,7 +157,7 @@ def scan(
     # A word takes two characters at least with its blank, so a block holds block_words or fewer on average.
     most = items.agg(F.sum(F.length("t") / 2 + 1).alias("n")).first()["n"]
     blocks = int(most or 0) // block_words + 1
-    state = [f"{into}_{c}" for c in ("n", "items", "starts", "ends")]
+    state = [free_name(docs.columns, f"{into}_{c}") for c in ("n", "items", "starts", "ends")]
     kinds = ("long", "array<string>", "array<long>", "array<long>")
     out = docs.withColumns({c: (F.lit(0) if k == "long" else F.array()).cast(k) for c, k in zip(state, kinds, strict=True)})
     schema = out.schema
@@ -172,7 +174,8 @@ def scan(
     n, found, starts, ends = (F.col(c) for c in state)
     spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
     hit = F.aggregate(spans, F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["start"])
-    return out.select(*docs.columns, F.struct(
+    kept = [c for c in docs.columns if c.lower() != into.lower()]
+    return out.select(*kept, F.struct(
         n.alias("n_words"), hit.alias("n_hit"), found.alias("items"), spans.alias("spans")).alias(into))
 
 

@@ -350,10 +350,8 @@ def extract(pages: DataFrame, *, source: str = "html", model: Field | None = Non
 
     White space inside a block becomes one space, references are decoded, nothing is cut. A null or empty page, or one
     without content, has the empty text; equal pages have equal texts; all rows and other columns stay.
-    ``into`` must not be a column of ``pages``. The model is fitted to made labelled pages unless one is given.
+    A column that is named ``into`` already is replaced. The model is fitted to made labelled pages unless one is given.
     """
-    if into in pages.columns:
-        raise ValueError(f"{into} is a column of the pages")
     known = model or standard_field()
 
     @F.pandas_udf("string")

@@ -145,10 +145,8 @@ def find(
     ``least_bits`` of information on it and, among all texts, shares at least ``least_share`` of its
     texts with it; copies of one context count once. ``share`` is that part for terms, null for entities. Spans of
     the patterns never change. A null or empty text has none; equal rows get equal spans; all rows
-    and other columns stay. ``into`` must not be a column of ``docs``.
+    and other columns stay. A column that is named ``into`` already is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column of the documents")
     given = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     rows = written(docs.select(*given, F.col(text).alias("text"), base_spans(F.col(text)).alias("spans")).withColumn(
         "row", F.monotonically_increasing_id()), "texts")
@@ -164,7 +162,8 @@ def find(
         F.lit(None).cast("double").alias("share")))
     joined = rows.join(added, "row", "left")
     every = F.when(F.col("added").isNull(), named).otherwise(F.array_sort(F.concat(named, "added")))
-    return joined.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], every.alias(into))
+    kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() != into.lower()]
+    return joined.select(*kept, every.alias(into))
 
 
 def listed(spans: Column) -> Column:

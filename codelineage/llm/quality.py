@@ -177,11 +177,8 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "qua
     """Add ``into``: a score from 0 to 1, higher for texts more like those labelled 1.
 
     Every row is scored from its whole text alone, a null one like an empty one; all rows and other columns stay.
-    ``into`` must not be a column of ``docs``.
+    A column that is named ``into`` already is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column of the documents")
-
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
         if not len(texts):

@@ -64,10 +64,10 @@ def op7(spark, sf_dir):
         (F.col("quality") >= 0.5).cast("int").alias("predicted"))
 
 
-def scored(docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``quality`` by a model that never sees the labels of fold 1."""
+def scored(docs: DataFrame, sf_dir: str, into: str = "quality") -> DataFrame:
+    """The documents with their score by a model that never sees the labels of fold 1."""
     labels = table(docs.sparkSession, sf_dir, "labels").filter(quality.fold_of("doc_id") != 1)
-    return quality.score(docs, quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label"))))
+    return quality.score(docs, quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label"))), into=into)
 
 
 def counted(spans: str, kind: str):

@@ -216,10 +216,8 @@ def scan(docs: DataFrame, *, text: str = "text", grammar: Grammar | None = None,
 
     Positions are code points, end exclusive; spans stand by start, then by kind as in KINDS. A null or empty text
     has none; equal rows get equal spans; every row and other column stays as it is.
-    ``into`` must not be a column of ``docs``.
+    A column that is named ``into`` already is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column of the documents")
     known = grammar or standard_grammar()
 
     @F.pandas_udf("array<string>")

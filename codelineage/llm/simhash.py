@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codelineage.llm.components import components, joined_labels
+from codelineage.llm.names import free_name
 from codelineage.storage import written
 
 LANES = 4
@@ -152,7 +153,9 @@ def first_of_each(docs: DataFrame, found: DataFrame, *, key: str = "doc_id") ->
     Rows with a null key stay: nothing tells them apart from others by key.
     """
     kept = found.filter(F.col(key) == F.col("component")).select(key).distinct()
-    same = Window.partitionBy(key).orderBy(*[c for c in docs.columns if c != key])
+    ordered = [c for c, kind in docs.dtypes if c != key and "map<" not in kind and "variant" not in kind]
+    same = Window.partitionBy(key).orderBy(*ordered or [key])
+    copy = free_name(docs.columns, "copy")
     named = docs.filter(F.col(key).isNotNull()).join(kept, key, "left_semi")
-    one = named.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").drop("_copy")
-    return one.unionByName(docs.filter(F.col(key).isNull()))
+    one = named.withColumn(copy, F.row_number().over(same)).filter(F.col(copy) == 1).drop(copy)
+    return one.select(*docs.columns).unionByName(docs.filter(F.col(key).isNull()))

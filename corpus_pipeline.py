@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codelineage.llm import contamination, queries, secrets, simhash
+from codelineage.llm.names import free_name
 from codelineage.storage import written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; without any labels all of them."""
-    return queries.scored(docs, sf_dir).filter(F.col("quality") >= 0.5).select(*docs.columns)
+    score = free_name(docs.columns, "quality")
+    return queries.scored(docs, sf_dir, score).filter(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,16 +27,18 @@ def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words, or none, stand in a benchmark window."""
-    found = contamination.scan(docs, queries.table(spark, sf_dir, "benchmark"))
-    return found.filter(~contamination.contaminated(F.col("found"))).select(*docs.columns)
+    name = free_name(docs.columns, "found")
+    found = contamination.scan(docs, queries.table(spark, sf_dir, "benchmark"), into=name)
+    return found.filter(~contamination.contaminated(F.col(name))).select(*docs.columns)
 
 
 def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the name of its kind in place of every secret; n_chars follows the text."""
-    found = secrets.scan(docs)
-    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secrets")))
+    name = free_name(docs.columns, "secrets")
+    found = secrets.scan(docs, into=name)
+    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col(name)))
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)
 
 
