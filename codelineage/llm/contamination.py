@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from codelineage.llm.names import free_name
 
+# What a row holds of the blocks so far.
+STATE = "struct<n:long,items:array<string>,starts:array<long>,ends:array<long>>"
 # Bytes other than 0-9, a-z and those of longer characters part words; A-Z become a-z.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -103,7 +105,7 @@ def _counted(block: Block, shingle: int, text: str):
     return run
 
 
-def _matched(block: Block, shingle: int, text: str, state: list[str]):
+def _matched(block: Block, shingle: int):
     prefixes = block.prefixes(shingle)
 
     def found(t, items, spans):
@@ -125,15 +127,13 @@ def _matched(block: Block, shingle: int, text: str, state: list[str]):
                 merged.append([start, end])
         return len(words), sorted(items), [s for s, _ in merged], [e for _, e in merged]
 
-    def run(batches):
-        for batch in batches:
-            rows = [
-                found(t, set(i), list(zip(s, e, strict=True)))
-                for t, i, s, e in zip(*(batch[c] for c in (text, *state[1:])), strict=True)
-            ]
-            for place, name in enumerate(state):
-                batch[name] = [row[place] for row in rows]
-            yield batch
+    @F.pandas_udf(STATE)
+    def run(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
+        rows = [
+            found(t, set(() if i is None else i), [] if i is None else list(zip(s, e, strict=True)))
+            for t, i, s, e in zip(texts, before["items"], before["starts"], before["ends"], strict=True)
+        ]
+        return pd.DataFrame(rows, columns=["n", "items", "starts", "ends"])
 
     return run
 
@@ -149,34 +149,30 @@ def scan(
     words). A window is ``window`` consecutive words of an item, or a shorter item as a whole. A null
     or empty text has no words and is never hit; an item without words has no window; items
     without an id are left out; items that share an id or a text count as they are. Equal rows get
-    equal results. ``into`` must not be a column of ``docs``.
+    equal results. A column that is named ``into`` already is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column of the documents")
     items = benchmark.filter(F.col(item).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("t"))
     # A word takes two characters at least with its blank, so a block holds block_words or fewer on average.
     most = items.agg(F.sum(F.length("t") / 2 + 1).alias("n")).first()["n"]
     blocks = int(most or 0) // block_words + 1
-    state = [free_name(docs.columns, f"{into}_{c}") for c in ("n", "items", "starts", "ends")]
-    kinds = ("long", "array<string>", "array<long>", "array<long>")
-    out = docs.withColumns({c: (F.lit(0) if k == "long" else F.array()).cast(k) for c, k in zip(state, kinds, strict=True)})
-    schema = out.schema
+    name = free_name(docs.columns, "state")
+    out = docs.withColumn(name, F.lit(None).cast(STATE))
     for number in range(blocks):
         block = Block()
         for row in items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(blocks)) == number).toLocalIterator():
             block.add(row["item"], row["t"], window)
         if not block.windows and number < blocks - 1:
-            continue
+            continue  # the last block counts the words even if there is nothing to find
         counts = docs.select(text).mapInPandas(_counted(block, shingle, text), "size int, code long, n long")
         for row in counts.groupBy("size", "code").agg(F.sum("n").alias("n")).collect() if block.windows else ():
             block.counts[row["size"], row["code"]] = row["n"]
-        out = out.mapInPandas(_matched(block, shingle, text, state), schema)
-    n, found, starts, ends = (F.col(c) for c in state)
-    spans = F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+        out = out.withColumn(name, _matched(block, shingle)(F.col(text), F.col(name)))
+    state = F.col(name)
+    spans = F.zip_with(state["starts"], state["ends"], lambda a, b: F.struct(a.alias("start"), b.alias("end")))
     hit = F.aggregate(spans, F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["start"])
     kept = [c for c in docs.columns if c.lower() != into.lower()]
     return out.select(*kept, F.struct(
-        n.alias("n_words"), hit.alias("n_hit"), found.alias("items"), spans.alias("spans")).alias(into))
+        state["n"].alias("n_words"), hit.alias("n_hit"), state["items"].alias("items"), spans.alias("spans")).alias(into))
 
 
 def contaminated(found: Column, share: int = 20) -> Column:

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECES = ("start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 # Sequence numbers of one task; the task's number stands above them.
@@ -227,5 +228,7 @@ def pack(
             rows, sequence = pack_documents(waiting, capacity, piece, sequence)
             yield frame(rows)
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, {PIECES}")
+    # Keys travel as text: pandas would round large numbers beside nulls.
+    kind = docs.schema[key].dataType
+    pieces = docs.select(F.col(key).cast("string").alias(key), text).mapInPandas(run, f"`{key}` string, {PIECES}")
+    return pieces.withColumn(key, F.col(key).cast(kind))

@@ -151,10 +151,10 @@ class Chunk:
 
     def __init__(self, kind: Kind, rows: pd.DataFrame, key: str, text: str):
         texts = rows[text].fillna("").to_list()
-        keys = rows[key].to_list()
-        order = sorted(range(len(rows)), key=lambda i: (NO_KEY if pd.isna(keys[i]) else int(keys[i]), texts[i]))
-        self.keys = [None if pd.isna(keys[i]) else int(keys[i]) for i in order]
-        self.ranks = np.array([NO_KEY if k is None else k for k in self.keys], np.int64)
+        ranks = [NO_KEY if k is None else int(k) for k in rows[key]]
+        order = sorted(range(len(rows)), key=lambda i: (ranks[i], texts[i]))
+        self.keys = [rows[key].iloc[i] for i in order]
+        self.ranks = np.array([ranks[i] for i in order], np.int64)
         self.texts = [texts[i] for i in order]
         found = [kind.symbols(t) for t in self.texts]
         self.ends = np.cumsum([len(s) for s, _ in found]) if found else np.zeros(0, np.int64)
@@ -353,7 +353,8 @@ def _apply(kind: Kind, key: str, text: str):
 
 def without_repeats(docs: DataFrame, kind: Kind, *, key: str, text: str) -> DataFrame:
     """One row for each of ``docs``: the key and what ``kind.finish`` gives of its text and the removed symbols."""
-    held = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
+    # Keys travel as text: pandas would round large numbers beside nulls.
+    held = docs.select(F.col(key).cast("long").cast("string").alias(key), F.col(text).alias(text))
     size = docs.agg(F.sum(F.octet_length(text).cast("long") + 64)).first()[0] or 1
     chunks = int(size // CHUNK_BYTES) + 1
     buckets = int(size // BUCKET_BYTES) + 1
@@ -368,5 +369,6 @@ def without_repeats(docs: DataFrame, kind: Kind, *, key: str, text: str) -> Data
         _send_surroundings(kind, buckets, key, text), "bucket long, chunk long, data binary")
     told = runs.groupBy("bucket").applyInPandas(
         _answer_surroundings(kind, buckets), "chunk long, members boolean, data binary")
-    return held.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
-        _apply(kind, key, text), f"`{key}` long, {kind.schema}")
+    done = held.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
+        _apply(kind, key, text), f"`{key}` string, {kind.schema}")
+    return done.withColumn(key, F.col(key).cast("long"))

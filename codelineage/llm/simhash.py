@@ -50,13 +50,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """(key, fingerprint long) of every row; the long holds the 64 bits as they are."""
-    def run(batches):
-        for batch in batches:
-            prints = np.fromiter((fingerprint(t, shingle) for t in batch[text]), np.uint64, len(batch))
-            yield pd.DataFrame({key: batch[key], "fingerprint": prints.view(np.int64)})
+    @F.pandas_udf("long")
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, fingerprint long")
+    return docs.select(key, prints(text).alias("fingerprint"))
 
 
 def _lane(i: int):
