@@ -106,19 +106,17 @@ def fit(
     that many is taken by a hash of the key; every row of ``docs`` is scored whatever the
     sample. Without labels, or with labels of one kind, every text gets their mean (1 without any).
     """
-    def stats(batches):
-        for batch in batches:
-            yield pd.DataFrame({key: batch[key], "x": [statistics(t).tolist() for t in batch[text]]})
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: statistics(t).tolist())
 
-    kind = docs.schema[key].dataType.simpleString()
     wanted = labels.filter(F.col("label").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(
         (F.avg("label") >= 0.5).cast("int").alias("label"))
     n = wanted.count()
     if n > max_rows:
         wanted = wanted.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
-    measured = docs.select(key, text).mapInPandas(stats, f"`{key}` {kind}, x array<double>")
     fold = F.pmod(F.xxhash64(key, F.lit("fold")), F.lit(FOLDS)).cast("int")
-    rows = written(measured.join(wanted, key).select("x", "label", fold.alias("fold")), "training")
+    rows = written(docs.select(key, measured(text).alias("x")).join(wanted, key).select("x", "label", fold.alias("fold")), "training")
 
     summed = rows.agg(
         F.count("label").alias("n"), F.sum("label").alias("ones"),

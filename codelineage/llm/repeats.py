@@ -3,10 +3,11 @@
 A window is ``length`` consecutive symbols of one document. Every window holds an anchor: the run of
 ``width`` symbols whose hash is least in it, chosen alike wherever the window stands. So
 
-1. chunks of documents send the distinct hashes of their anchors to buckets, which answer
-   which of them occur again elsewhere;
-2. chunks send the distinct surroundings of those anchors to buckets by content; an exact
-   index there tells for each window where it starts first;
+1. chunks of documents send the distinct hashes of their anchors, with a hash of the surroundings, to
+   buckets, which answer which of them occur again, and whether in one form of surroundings or several;
+2. chunks send where those anchors stand to buckets by content, and the distinct surroundings
+   themselves if they have several forms; an exact index there tells for each window where it
+   starts first. Surroundings of one form need no index: every window starts first where they do;
 3. chunks apply the answers to their texts.
 
 A passage that very many documents share is sent once a chunk, whatever its number of copies.
@@ -166,60 +167,34 @@ class Chunk:
         return np.searchsorted(self.ends, places, "right")
 
 
-def _distinct_anchors(kind: Kind, chunk: Chunk):
-    """Sorted distinct anchor hashes, whether each occurs twice in the chunk, places with their number, and all hashes."""
-    places, hashes = anchors(chunk.symbols.astype(np.uint64), chunk.ends, kind.length, kind.width)
-    values, number = np.unique(mixed(hashes[places] ^ _U(0x5851F42D4C957F2D)), return_inverse=True)
-    if kind.own_document:
-        twice = np.bincount(number, minlength=len(values)) > 1
-    else:
-        doc = chunk.document_of(places)
-        low, high = np.full(len(values), len(chunk.keys)), np.full(len(values), -1)
-        np.minimum.at(low, number, doc)
-        np.maximum.at(high, number, doc)
-        twice = high > low
-    return values, twice, places, number, hashes
+@dataclass
+class Anchored:
+    """The anchors of a chunk: place, symbols left and right that their windows reach, hash, name of the surroundings."""
 
+    place: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    name: np.ndarray
 
-def _send_anchors(kind: Kind, buckets: int, key: str, text: str):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        values, twice, _, _, _ = _distinct_anchors(kind, Chunk(kind, rows, key, text))
-        cuts = np.searchsorted(by_bucket(values, buckets), np.arange(buckets + 1))
-        # Six bytes of the hash: a false repeat costs a comparison, no more.
-        short = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
-        return pd.DataFrame(
-            [(b, int(rows["chunk"].iloc[0]), short[i:j].tobytes() + np.packbits(twice[i:j]).tobytes(), int(j - i))
-             for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i],
-            columns=["bucket", "chunk", "data", "n"])
-
-    return run
+    def take(self, which) -> Anchored:
+        return Anchored(*(getattr(self, f)[which] for f in ("place", "left", "right", "value", "name")))
 
 
-def _answer_anchors(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per value sent: 0 if it occurs once, 1 if again, 2 if many chunks hold it."""
-    values, twice = [], []
-    for data, n in zip(rows["data"], rows["n"], strict=True):
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, 2:] = np.frombuffer(data, np.uint8, 6 * n).reshape(n, 6)
-        values.append(wide.view("<u8").ravel())
-        twice.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=6 * n), count=n).astype(bool))
-    _, number, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-    count = count[number]
-    state = np.where(count > HOT_CHUNKS, 2, ((count > 1) | np.concatenate(twice)).astype(int)).astype(np.uint8)
-    parts = np.split(state, np.cumsum(rows["n"])[:-1])
-    return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "data": [zlib.compress(p.tobytes(), 1) for p in parts]})
+def _named(prefix: np.ndarray, place, left, right) -> np.ndarray:
+    """A hash of the symbols from ``left`` before to ``right`` behind each place, and of where the place is in them."""
+    whole = mixed((prefix[place + right] - prefix[place - left]) * powers(_INVERSE, len(prefix))[place - left])
+    return mixed(whole ^ (left.astype(np.uint64) * _U(0x9FB21C651E98DF25)) ^ right.astype(np.uint64))
 
 
-def _bounded(chunk: Chunk, kind: Kind, hashes, places, state):
-    """Repeated anchors with the symbols left and right that their windows reach."""
-    again = np.flatnonzero(state > 0)
-    p = places[again]
-    doc = chunk.document_of(p)
-    own, sides = hashes[p], []
+def _anchored(kind: Kind, chunk: Chunk, prefix: np.ndarray) -> Anchored:
+    place, hashes = anchors(chunk.symbols.astype(np.uint64), chunk.ends, kind.length, kind.width)
+    doc = chunk.document_of(place)
+    own, sides = hashes[place], []
     for sign, border in ((-1, chunk.starts[doc]), (1, chunk.ends[doc] - kind.width)):
-        reached, open_ = np.zeros(len(p), np.int64), np.arange(len(p))
+        reached, open_ = np.zeros(len(place), np.int64), np.arange(len(place))
         for step in range(1, kind.length - kind.width + 1):
-            q = p[open_] + sign * step
+            q = place[open_] + sign * step
             inside = sign * (border[open_] - q) >= 0
             open_, q = open_[inside], q[inside]
             # The leftmost of equal hashes is a window's anchor, so a window has one.
@@ -228,7 +203,68 @@ def _bounded(chunk: Chunk, kind: Kind, hashes, places, state):
         sides.append(reached)
     left, right = sides[0], sides[1] + kind.width
     keep = left + right >= kind.length
-    return p[keep], left[keep], right[keep], (state[again] == 2)[keep]
+    place, left, right = place[keep], left[keep], right[keep]
+    value = mixed(own[keep] ^ _U(0x5851F42D4C957F2D))
+    return Anchored(place, left, right, value, _named(prefix, place, left, right))
+
+
+def _extremes(x: np.ndarray, number: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest ``x`` of each of ``n`` numbers, all of which occur."""
+    order = np.argsort(number, kind="stable")
+    begin = np.searchsorted(number[order], np.arange(n))
+    return (np.minimum.reduceat(x[order], begin), np.maximum.reduceat(x[order], begin)) if n else (x[:0], x[:0])
+
+
+def _short(values: np.ndarray) -> np.ndarray:
+    """Six bytes of each hash."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+
+
+def _long(data: bytes, n: int, at: int) -> np.ndarray:
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, 2:] = np.frombuffer(data, np.uint8, 6 * n, at).reshape(n, 6)
+    return wide.view("<u8").ravel()
+
+
+def _send_anchors(kind: Kind, buckets: int, key: str, text: str):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        chunk = Chunk(kind, rows, key, text)
+        found = _anchored(kind, chunk, prefix_hashes(chunk.symbols.astype(np.uint64)))
+        values, number = np.unique(found.value, return_inverse=True)
+        if kind.own_document:
+            twice = np.bincount(number, minlength=len(values)) > 1
+        else:
+            low, high = _extremes(chunk.document_of(found.place), number, len(values))
+            twice = high > low
+        name, other = _extremes(found.name, number, len(values))
+        cuts = np.searchsorted(by_bucket(values, buckets), np.arange(buckets + 1))
+        value, name_, bits = _short(values), _short(name), (twice, name != other)
+        return pd.DataFrame(
+            [(b, int(rows["chunk"].iloc[0]),
+              value[i:j].tobytes() + name_[i:j].tobytes() + b"".join(np.packbits(x[i:j]).tobytes() for x in bits), int(j - i))
+             for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i],
+            columns=["bucket", "chunk", "data", "n"])
+
+    return run
+
+
+def _answer_anchors(rows: pd.DataFrame) -> pd.DataFrame:
+    """Per value sent: 0 if it occurs once, 1 if again in the same surroundings, 2 if in several, 3 if so in many chunks."""
+    value, name, twice, various = [], [], [], []
+    for data, n in zip(rows["data"], rows["n"], strict=True):
+        value.append(_long(data, n, 0))
+        name.append(_long(data, n, 6 * n))
+        step = -(-n // 8)
+        for out, at in ((twice, 12 * n), (various, 12 * n + step)):
+            out.append(np.unpackbits(np.frombuffer(data, np.uint8, step, at), count=n).astype(bool))
+    values, number, count = np.unique(np.concatenate(value), return_inverse=True, return_counts=True)
+    low, high = _extremes(np.concatenate(name), number, len(values))
+    _, differs = _extremes(np.concatenate(various), number, len(values))
+    _, again = _extremes(np.concatenate(twice), number, len(values))
+    differs |= low != high
+    state = np.where(differs, np.where(count > HOT_CHUNKS, 3, 2), ((count > 1) | again).astype(int)).astype(np.uint8)
+    parts = np.split(state[number], np.cumsum(rows["n"])[:-1])
+    return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "data": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
 
 def _send_surroundings(kind: Kind, buckets: int, key: str, text: str):
@@ -238,40 +274,45 @@ def _send_surroundings(kind: Kind, buckets: int, key: str, text: str):
             return pd.DataFrame({c: [] for c in columns})
         number_of = int(rows["chunk"].iloc[0])
         chunk = Chunk(kind, rows, key, text)
-        _, _, places, number, hashes = _distinct_anchors(kind, chunk)
+        prefix = prefix_hashes(chunk.symbols.astype(np.uint64))
+        found = _anchored(kind, chunk, prefix)
         answers = answers.sort_values("bucket")
-        state = np.frombuffer(b"".join(zlib.decompress(d) for d in answers["data"]), np.uint8)[number]
-        p, left, right, hot = _bounded(chunk, kind, hashes, places, state)
-        # Hot anchors: a run of its own for every window around them.
-        h = np.flatnonzero(hot)
-        first, last = np.maximum(0, kind.length - right[h]), left[h]
+        state = np.frombuffer(b"".join(zlib.decompress(d) for d in answers["data"]), np.uint8)
+        state = state[np.unique(found.value, return_inverse=True)[1]]
+        # Hot anchors: a run of its own for every window around them, and a bucket by its content.
+        hot = found.take(state == 3)
+        first, last = np.maximum(0, kind.length - hot.right), hot.left
         n = last - first + 1
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-        p, left, right, alone = (
-            np.concatenate([p[~hot], np.repeat(p[h], n)]), np.concatenate([left[~hot], offset]),
-            np.concatenate([right[~hot], kind.length - offset]), np.concatenate([np.zeros((~hot).sum(), bool), np.ones(n.sum(), bool)]))
-        prefix = prefix_hashes(chunk.symbols.astype(np.uint64))
-        whole = mixed((prefix[p + right] - prefix[p - left]) * powers(_INVERSE, len(prefix))[p - left])
-        own = mixed((prefix[p + kind.width] - prefix[p]) * powers(_INVERSE, len(prefix))[p])
-        name = mixed(whole ^ (left.astype(np.uint64) * _U(0x9FB21C651E98DF25)) ^ right.astype(np.uint64))
-        names, at, member = np.unique(name, return_index=True, return_inverse=True)
-        doc = chunk.document_of(p)
-        # Members come in order of document and place, so a run's first is its least.
+        place = np.repeat(hot.place, n)
+        name = _named(prefix, place, offset, kind.length - offset)
+        single = Anchored(place, offset, kind.length - offset, name, name)
+        rest = found.take((state > 0) & (state < 3))
+        bare = np.concatenate([state[(state > 0) & (state < 3)] == 1, np.ones(len(place), bool)])
+        rest = Anchored(*(np.concatenate([getattr(rest, f), getattr(single, f)]) for f in ("place", "left", "right", "value", "name")))
+        names, member = np.unique(rest.name, return_inverse=True)
+        doc = chunk.document_of(rest.place)
+        # A run's first member, by document and place.
+        order = np.argsort(rest.place, kind="stable")
+        at = order[np.unique(rest.name[order], return_index=True)[1]]
         several = np.bincount(member, minlength=len(names)) > 1
-        bucket = by_bucket(mixed(np.where(alone, whole, own)[at] ^ _U(0xA0761D6478BD642F)), buckets)
+        bucket = by_bucket(mixed(rest.value[at] ^ _U(0xA0761D6478BD642F)), buckets)
         out = []
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)):
             u = order[cuts[b]:cuts[b + 1]]
             a = at[u]
+            full = a[~bare[a]]
+            begin, end = rest.place[full] - rest.left[full], rest.place[full] + rest.right[full]
             out.append((int(b), number_of, packed(
-                number=u.astype(np.uint32), name=names[u], left=left[a].astype(np.uint8), right=right[a].astype(np.uint8),
-                several=several[u], doc=chunk.ranks[doc[a]], place=(p[a] - chunk.starts[doc[a]]).astype(np.int64),
-                runs=np.frombuffer(kind.surroundings(chunk, p[a] - left[a], p[a] + right[a]), np.uint8))))
+                number=u.astype(np.uint32), name=names[u], left=rest.left[a].astype(np.uint8), right=rest.right[a].astype(np.uint8),
+                several=several[u], bare=bare[a], doc=chunk.ranks[doc[a]], place=(rest.place[a] - chunk.starts[doc[a]]).astype(np.int64),
+                runs=np.frombuffer(kind.surroundings(chunk, begin, end), np.uint8))))
         # The members themselves stay with the chunk: a bucket of its own hands them back.
+        order = np.argsort(rest.place, kind="stable")
         out.append((buckets + number_of, number_of, packed(
-            p=p.astype(np.uint32), left=left.astype(np.uint8), right=right.astype(np.uint8), member=member.astype(np.uint32))))
+            step=np.diff(rest.place[order], prepend=0).astype(np.uint32), member=member[order].astype(np.uint32))))
         return pd.DataFrame(out, columns=columns)
 
     return run
@@ -283,8 +324,8 @@ def _answer_surroundings(kind: Kind, buckets: int):
             return pd.DataFrame({"chunk": rows["chunk"], "members": True, "data": rows["data"]})
         sent = [unpacked(d) for d in rows["data"]]
         sizes = [len(s[0]) for s in sent]
-        number, name, left, right, several, doc, place = (np.concatenate([s[i] for s in sent]) for i in range(7))
-        # A run that several chunks sent is indexed once, under its first occurrence.
+        number, name, left, right, several, bare, doc, place = (np.concatenate([s[i] for s in sent]) for i in range(8))
+        # A run that several chunks sent stands once, under its first occurrence.
         by = np.lexsort((place, doc, name))
         fresh = np.concatenate([[True], name[by][1:] != name[by][:-1]])
         chosen = by[fresh]
@@ -293,21 +334,34 @@ def _answer_surroundings(kind: Kind, buckets: int):
         order = np.lexsort((place[chosen], doc[chosen]))  # ranks of the owners
         rank = np.empty(len(chosen), np.int64)
         rank[order] = np.arange(len(chosen))
-        bytes_ = b"".join(s[7].tobytes() for s in sent)
-        least = kind.first(bytes_, left, right, chosen, rank)  # (runs, offsets) ranks, -1 where there is no window
-        answer = least[run_of]
         own = rank[run_of]
         first_doc, first_place = doc[chosen[order]], place[chosen[order]]
         # What the chunk cannot know: windows that start first elsewhere, or in a run it holds several times.
-        same_first = (first_doc[own] == doc) & (first_place[own] == place)
-        tell = (answer >= 0) & ((answer != own[:, None]) | several[:, None] | ~same_first[:, None])
-        row, offset = np.nonzero(tell)
-        value = answer[row, offset]
-        begins = np.ones(len(row), bool)
-        begins[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1]) | (offset[1:] != offset[:-1] + 1)
-        start = np.flatnonzero(begins)
-        end = np.append(start[1:], len(row))[:len(start)] - 1
-        row, low, high, value = row[start], offset[start], offset[end], value[start]
+        foreign = (first_doc[own] != doc) | (first_place[own] != place) | several
+
+        # Surroundings in one form only: all their windows start first where the run does.
+        told = np.flatnonzero(bare & foreign)
+        answers = [(told, np.maximum(0, kind.length - right[told].astype(np.int64)), left[told].astype(np.int64), own[told])]
+        full = np.flatnonzero(~bare)
+        if len(full):
+            at = np.full(len(name), -1)
+            at[full] = np.arange(len(full))
+            index = np.flatnonzero(~bare[chosen])
+            least = kind.first(
+                b"".join(s[8].tobytes() for s in sent), left[full], right[full], at[chosen[index]], rank[index])
+            row_of = np.full(len(chosen), -1)
+            row_of[index] = np.arange(len(index))
+            answer = least[row_of[run_of[full]]]
+            row, offset = np.nonzero((answer >= 0) & ((answer != own[full][:, None]) | foreign[full][:, None]))
+            value = answer[row, offset]
+            begins = np.ones(len(row), bool)
+            begins[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1]) | (offset[1:] != offset[:-1] + 1)
+            start = np.flatnonzero(begins)
+            end = np.append(start[1:], len(row))[:len(start)] - 1
+            answers.append((full[row[start]], offset[start], offset[end], value[start]))
+        row, low, high, value = (np.concatenate([a[i] for a in answers]) for i in range(4))
+        order = np.argsort(row, kind="stable")
+        row, low, high, value = row[order], low[order], high[order], value[order]
         out, top = [], np.cumsum(sizes)
         for chunk, a, b in zip(rows["chunk"], np.searchsorted(row, top - sizes), np.searchsorted(row, top), strict=True):
             if b > a:
@@ -325,8 +379,8 @@ def _apply(kind: Kind, key: str, text: str):
         gone = np.zeros(len(chunk.symbols) + 1, np.int64)
         told = [unpacked(d) for d in answers.loc[~answers["members"].astype(bool), "data"]] if len(answers) else []
         if told:
-            p, left, _, member = unpacked(answers.loc[answers["members"].astype(bool), "data"].iloc[0])
-            p = p.astype(np.int64)
+            step, member = unpacked(answers.loc[answers["members"].astype(bool), "data"].iloc[0])
+            p = np.cumsum(step.astype(np.int64))
             number, low, high, doc, place = (np.concatenate([t[i] for t in told]) for i in range(5))
             # Pair every answer with all members of its run.
             by_member = np.argsort(member, kind="stable")
