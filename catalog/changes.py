@@ -151,13 +151,13 @@ def h13(x):
 @query("i2_create_example", """
     SELECT doc_id, source AS repo_name, md5(i) AS input_md5, md5(o) AS output_md5, length(i) // 4 AS input_tokens_approx, length(o) // 4 AS output_tokens_approx
     FROM (SELECT doc_id, source, """ + INPUT_SQL.format(repo="source", version="concat('v', doc_id)", codebase="text") + """ AS i,
-                 concat('# Changes from v', doc_id, ' to v', doc_id + 1, chr(10), chr(10), left(text, 300)) AS o FROM documents)""")
+                 concat('# Changes from v', doc_id, ' to v', doc_id + 1, chr(10), chr(10), text) AS o FROM documents)""")
 def i2(x):
     version = F.concat(F.lit("v"), F.col("doc_id").cast("string"))
     rows = x.table("documents").select(
         F.col("source").alias("repo"), version.alias("from_version"),
         F.concat(F.lit("v"), (F.col("doc_id") + 1).cast("string")).alias("to_version"),
-        F.col("text").alias("codebase_text"), F.left("text", F.lit(300)).alias("diff_text"),
+        F.col("text").alias("codebase_text"), F.col("text").alias("diff_text"),
         F.lit(1).alias("num_files_in_codebase"), F.lit(1).alias("num_files_changed"), F.lit(0).alias("num_dependencies"))
     return create_examples(rows, CREATED).select(
         F.expr("CAST(substring(from_version, 2) AS BIGINT)").alias("doc_id"), "repo_name",
@@ -212,7 +212,7 @@ def i3(x):
     return fingerprints(built.examples)
 
 
-@query("i4_single_repository", "SELECT * FROM (" + EXAMPLES_SQL + ") WHERE repo_name = 'src7' AND from_version = 'v1.0.0'")
+@query("i4_single_repository", "SELECT * FROM (" + EXAMPLES_SQL + ") WHERE repo_name = 'src7'")
 def i4(x):
-    built = build_single("src7", x.releases3(), whole(x), CREATED, max_versions=1, known_packages=x.known_packages())
+    built = build_single("src7", x.releases3(), whole(x), CREATED, known_packages=x.known_packages())
     return fingerprints(built.examples)

@@ -125,9 +125,9 @@ def i16(x):
 VIEW_SQL = """name, format('{:,}', stars) AS stars, CAST(release_count AS VARCHAR) AS releases, language, coalesce(last_release, 'N/A') AS last_release"""
 
 
-@query("f4_repos_by_stars", "SELECT name, stars FROM fx_repos ORDER BY stars DESC, name LIMIT 100")
+@query("f4_repos_by_stars", "SELECT name, stars FROM fx_repos ORDER BY stars DESC, name")
 def f4(x):
-    return ops.by_stars(x.repos()).limit(100).select("name", "stars")
+    return ops.by_stars(x.repos()).select("name", "stars")
 
 
 @query("f5_top_repos_view", f"SELECT {VIEW_SQL} FROM (SELECT * FROM fx_repos ORDER BY fx_repos.stars DESC, name LIMIT 50)")

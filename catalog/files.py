@@ -60,20 +60,19 @@ def b4(x):
 
 
 @query("b5_oversize_stub", """
-    SELECT repo, version, path, CASE WHEN size > 3000 THEN concat('[FILE TOO LARGE: ', format('{:,}', size), ' bytes - content omitted]') END AS stub
+    SELECT repo, version, path, CASE WHEN stub LIKE '[BINARY %' AND stub NOT LIKE '[BINARY FILE%' THEN stub
+                                     WHEN size > 3000 THEN concat('[FILE TOO LARGE: ', format('{:,}', size), ' bytes - content omitted]')
+                                     ELSE stub END AS stub
     FROM fx_class""")
 def b5(x):
-    size = F.col("size")
-    return x.raw().select(*FILE, F.when(size > 3000, snapshot.oversize_stub(size)).alias("stub"))
+    return snapshot.with_stub(x.raw().select(*FILE, "size", "head"), Settings(max_file_size=3000)).select(*FILE, "stub")
 
 
 @query("b6_binary_stub", """
-    SELECT repo, version, path, stub, CAST(length(stub) AS BIGINT) AS stub_size FROM fx_class
-    WHERE regexp_matches(lower(path), '[.](png|gz)$')""")
+    SELECT repo, version, path, stub, CAST(length(stub) AS BIGINT) AS stub_size FROM fx_class""")
 def b6(x):
     rows = snapshot.with_stub(x.raw().select(*FILE, "size", "head"))
-    return rows.filter(F.lower("path").rlike(r"[.](png|gz)\z")).select(
-        *FILE, "stub", F.length("stub").cast("long").alias("stub_size"))
+    return rows.select(*FILE, "stub", F.length("stub").cast("long").alias("stub_size"))
 
 
 @query("b7_content_sniff", """

@@ -83,13 +83,14 @@ class Inputs:
             """
             SELECT concat('org', o_custkey % 50, '/repo', o_custkey % 50) AS repo, concat('v', o_orderkey) AS tag_name,
                    CASE WHEN o_orderkey % 3 = 0 THEN 'tag' ELSE 'commit' END AS ref_type, md5(concat('c', o_orderkey)) AS ref_sha
-            FROM {orders} WHERE o_orderkey % 13 <> 0
+            FROM {orders}
             """, orders=orders)
         objects = self._sql(
             """
             SELECT concat('org', o_custkey % 50, '/repo', o_custkey % 50) AS repo,
-                   md5(concat('c', o_orderkey)) AS tag_sha, md5(concat('p', o_orderkey)) AS commit_sha
-            FROM {orders} WHERE o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0
+                   md5(concat('c', o_orderkey)) AS tag_sha,
+                   CASE WHEN o_orderkey % 7 <> 0 THEN md5(concat('p', o_orderkey)) END AS commit_sha
+            FROM {orders}
             """, orders=orders)
         return raw, refs, objects
 
@@ -117,12 +118,12 @@ class Inputs:
             F.col("last_updated").alias("updated_at"), "url")
 
     def part_releases(self) -> DataFrame:
-        """Releases of the repositories made from parts, one per large line item."""
+        """Releases of the repositories made from parts, one per line item."""
         return self._sql(
             """
             SELECT concat(p_brand, '/', p_partkey) AS repo, concat('r', l_orderkey, '.', l_linenumber) AS tag_name,
                    CAST(l_shipdate AS TIMESTAMP) AS published_at, l_orderkey * 10 + l_linenumber AS release_id
-            FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_quantity > 40
+            FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
             """, lineitem=self.table("lineitem"), part=self.table("part"))
 
     def config(self) -> DataFrame:
@@ -170,9 +171,9 @@ class Inputs:
         return self._sql(
             """
             SELECT source AS repo_name, concat('v', doc_id) AS from_version, concat('v', doc_id + 1) AS to_version,
-                   '2024-01-01T00:00:00' AS created_at, text AS input_text, left(text, 200) AS output_text,
+                   '2024-01-01T00:00:00' AS created_at, text AS input_text, text AS output_text,
                    CAST(length(text) DIV 4 AS BIGINT) AS input_tokens_approx,
-                   CAST(length(left(text, 200)) DIV 4 AS BIGINT) AS output_tokens_approx,
+                   CAST(length(text) DIV 4 AS BIGINT) AS output_tokens_approx,
                    doc_id % 50 + 1 AS num_files_in_codebase, doc_id % 7 AS num_files_changed, doc_id % 3 AS num_dependencies
             FROM {documents}
             """, documents=self.table("documents"))
@@ -217,7 +218,7 @@ VIEWS = {
     "fx_tag_commits": """
         SELECT repo, tag_name, CASE WHEN release_id % 3 <> 0 THEN commit_sha
                WHEN release_id % 7 <> 0 THEN md5(concat('p', release_id)) END AS commit_sha
-        FROM fx_releases WHERE release_id % 13 <> 0""",
+        FROM fx_releases""",
     "fx_repos": f"""
         SELECT concat(p_brand, '/', p_partkey) AS name, p_name AS description, CAST(p_size AS BIGINT) * 100 AS stars,
                CASE p_size % 4 WHEN 0 THEN 'Python' WHEN 1 THEN 'C++' WHEN 2 THEN 'Rust' ELSE 'Unknown' END AS language,
@@ -229,7 +230,7 @@ VIEWS = {
     "fx_part_releases": """
         SELECT concat(p_brand, '/', p_partkey) AS repo, concat('r', l_orderkey, '.', l_linenumber) AS tag_name,
                l_shipdate AS published_at, l_orderkey * 10 + l_linenumber AS release_id
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 40""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "fx_config": """
         SELECT concat(p_brand, '/', p_partkey) AS name,
                CASE WHEN p_size % 4 = 0 THEN NULL ELSE concat_ws(' ', p_name, p_type, p_name, p_brand, p_name, p_name) END AS description,
@@ -252,8 +253,8 @@ VIEWS = {
     "fx_known": f"SELECT * FROM (VALUES {_values(KNOWN)}) AS t(package, github_repo, priority)",
     "fx_examples": """
         SELECT source AS repo_name, concat('v', doc_id) AS from_version, concat('v', doc_id + 1) AS to_version,
-               text AS input_text, left(text, 200) AS output_text, length(text) // 4 AS input_tokens_approx,
-               length(left(text, 200)) // 4 AS output_tokens_approx, doc_id % 50 + 1 AS num_files_in_codebase,
+               text AS input_text, text AS output_text, length(text) // 4 AS input_tokens_approx,
+               length(text) // 4 AS output_tokens_approx, doc_id % 50 + 1 AS num_files_in_codebase,
                doc_id % 7 AS num_files_changed, doc_id % 3 AS num_dependencies
         FROM documents""",
     # Requirement lines parsed with regular expressions.
@@ -277,7 +278,6 @@ VIEWS = {
                coalesce(stub, content) AS shown, coalesce(CAST(length(stub) AS BIGINT), size) AS shown_size
         FROM (SELECT f.*, coalesce(l.language, 'unknown') AS language,
                      CASE WHEN b.kind IS NOT NULL THEN concat('[BINARY ', b.kind, ': ', format('{{:,}}', f.size), ' bytes]')
-                          WHEN f.size > 1048576 THEN concat('[FILE TOO LARGE: ', format('{{:,}}', f.size), ' bytes - content omitted]')
                           WHEN cut THEN concat('[BINARY FILE: ', format('{{:,}}', f.size), ' bytes]') END AS stub
               FROM (SELECT *, CAST({_UTF8_BYTES} AS BIGINT) AS size,
                            lower(regexp_extract(split_part(path, '/', -1), '^.+(\.[^.]+)$', 1)) AS ext,

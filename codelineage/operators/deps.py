@@ -15,6 +15,7 @@ from codelineage.functions.requirements import (
 )
 from codelineage.functions.text import basename, text_mode
 from codelineage.operators.joins import lookup_join, salted_join
+from codelineage.operators.ordered import with_order
 from codelineage.operators.releases import latest_release
 from codelineage.operators.render import cell_texts, lines, with_body
 
@@ -178,8 +179,8 @@ def fetchable(deps: DataFrame) -> DataFrame:
     return deps.filter(F.col("github_repo").isNotNull())
 
 
-def selected(deps: DataFrame, max_deps: int = 10, dedupe_repo: bool = False) -> DataFrame:
-    """At most ``max_deps`` fetchable dependencies per snapshot, as (…, dep_rank, github_repo).
+def selected(deps: DataFrame, max_deps: int | None = None, dedupe_repo: bool = False) -> DataFrame:
+    """The fetchable dependencies per snapshot, ``max_deps`` at most, as (…, dep_rank, github_repo).
 
     With more than max_deps the known-package priority decides, else the order of
     mention. Taking max_deps + 1 rows by priority tells the two cases apart and
@@ -192,6 +193,9 @@ def selected(deps: DataFrame, max_deps: int = 10, dedupe_repo: bool = False) ->
             .agg(F.min_by(F.struct("key", "name", "priority", *PLACE), F.struct(*PLACE)).alias("first"))
             .select(*SNAPSHOT, "github_repo", "first.*")
         )
+    if max_deps is None:
+        ranked = with_order(rows, SNAPSHOT, PLACE, number="dep_rank")
+        return ranked.select(*SNAPSHOT, F.col("dep_rank").cast("int").alias("dep_rank"), "name", "github_repo")
     by_priority = Window.partitionBy(*SNAPSHOT).orderBy("priority", *PLACE)
     snapshot = Window.partitionBy(*SNAPSHOT)
     top = rows.withColumn("by_priority", F.row_number().over(by_priority)).filter(F.col("by_priority") <= max_deps + 1)

@@ -67,10 +67,7 @@ def pair_renames(changes: DataFrame) -> DataFrame:
         *PAIR, F.coalesce("old_sha", "new_sha").alias("sha"), "path", basename(F.col("path")).alias("name"),
         F.col("old_sha").isNotNull().alias("is_old"))
     same_name, rest = _matched(_on_both_sides(one_sided), [*PAIR, "sha", "name"])
-    rest = _on_both_sides(rest)
-    renames = same_name
-    if not rest.isEmpty():
-        renames = renames.unionByName(_matched(rest, [*PAIR, "sha"])[0])
+    renames = same_name.unionByName(_matched(_on_both_sides(rest), [*PAIR, "sha"])[0])
 
     renamed = renames.select(
         *PAIR, F.col("new_path").alias("path"), "old_path", F.lit("renamed").alias("change_type"),
@@ -322,7 +319,9 @@ def unified_diffs(
     )
 
 
-def truncated(diff: Column, limit: int) -> Column:
+def truncated(diff: Column, limit: int | None) -> Column:
+    if limit is None:
+        return diff
     return F.when(F.length(diff) > limit, F.concat(F.left(diff, F.lit(limit)), F.lit(TRUNCATED))).otherwise(diff)
 
 

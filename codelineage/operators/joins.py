@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
-BROADCAST_ROWS = 500_000
+# Key tables of up to this many bytes are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 ROWS_PER_COPY = 64
 
 
@@ -24,16 +25,22 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def _bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df``: text lengths, and sixteen bytes for any other value."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")).cast("long"), F.lit(0)) + 16 for c in df.columns]
+    return df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
+
+
 def lookup_join(
     big: DataFrame, small: DataFrame, on: list[str], spread: Column | None, how: str = "inner"
 ) -> DataFrame:
     """Join file-sized rows with a narrow table of keys without moving the files.
 
-    The key table is counted (up to the limit); within it, it is broadcast and
+    The bytes of the key table are summed; within the limit it is broadcast and
     ``big`` is joined in place. A larger one falls back to :func:`salted_join`,
     or to a plain join where ``spread`` is None because no key of ``big`` repeats.
     """
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if _bytes(small) <= BROADCAST_BYTES:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how) if spread is None else salted_join(big, small, on, spread, how)
 

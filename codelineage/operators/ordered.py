@@ -1,7 +1,6 @@
 """Row numbers, running sums and next rows over ordered groups of any size.
 
-A plain ``Window.partitionBy(key)`` puts a whole group in one task, which is fine
-while all rows together are few: the rows are counted first. Beyond that, the
+A plain ``Window.partitionBy(key)`` puts a whole group in one task. Here the
 rows are range-partitioned on (keys, order), so a large group spreads over many
 chunks. Windows run inside a chunk, and what a chunk needs from its neighbours is
 one small row per (chunk, key). Only keys that cross a chunk border need such a
@@ -16,8 +15,6 @@ from pyspark.sql import functions as F
 from codelineage.storage import written
 
 CHUNK = "_chunk"
-# Up to this many rows in total, one task may hold a group.
-SINGLE_TASK_ROWS = 1_000_000
 
 
 def with_order(
@@ -38,21 +35,6 @@ def with_order(
     Keys must not be null, and (keys, order) should identify a row.
     """
     sum_before, following = sum_before or {}, following or {}
-    if df.count() <= SINGLE_TASK_ROWS:
-        return _in_plain_windows(df, keys, order, number, sum_before, following)
-    return _in_chunks(df, keys, order, number, sum_before, following)
-
-
-def _in_plain_windows(df, keys, order, number, sum_before, following) -> DataFrame:
-    group = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-    earlier = group.rowsBetween(Window.unboundedPreceding, -1)
-    columns = {number: F.row_number().over(group).cast("long")} if number else {}
-    columns |= {c: F.coalesce(F.sum(src).over(earlier), F.lit(0)) for c, src in sum_before.items()}
-    columns |= {c: F.lead(e).over(group) for c, e in following.items()}
-    return df.withColumns(columns)
-
-
-def _in_chunks(df, keys, order, number, sum_before, following) -> DataFrame:
     chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
     # Written, so that every use below sees the same chunk for a row.

@@ -61,6 +61,7 @@ def with_stub(files: DataFrame, settings: Settings = Settings(), binary_extensio
     too large, binary by content.
     """
     kinds = F.broadcast(dims.binary_types(files.sparkSession, binary_extensions))
+    oversize = F.lit(False) if settings.max_file_size is None else F.col("size") > settings.max_file_size
     by_content = F.coalesce(F.col("kind"), F.lit("FILE"))
     return (
         with_language(files)
@@ -68,7 +69,7 @@ def with_stub(files: DataFrame, settings: Settings = Settings(), binary_extensio
         .withColumn(
             "stub",
             F.when(F.col("kind").isNotNull(), binary_stub(F.col("kind"), F.col("size")))
-            .when(F.col("size") > settings.max_file_size, oversize_stub(F.col("size")))
+            .when(oversize, oversize_stub(F.col("size")))
             .when(looks_binary(F.col("head")), binary_stub(by_content, F.col("size"))),
         )
         .drop("ext", "kind")
@@ -101,17 +102,17 @@ def file_sizes(files: DataFrame, settings: Settings = Settings(), binary_extensi
 
 
 def budget_cutoffs(
-    sizes: DataFrame, max_codebase_size: int, key: tuple[str, ...] = ("repo", "version")
+    sizes: DataFrame, max_codebase_size: int | None, key: tuple[str, ...] = ("repo", "version")
 ) -> DataFrame | None:
-    """First path left out per snapshot, for the snapshots that exceed the budget; None without any.
+    """First path left out per snapshot, for the snapshots that exceed the budget; None without a budget.
 
     A file stays while the total before it (in path order) is below the budget.
     Totals are pre-aggregated, so only snapshots above the budget are ordered.
     """
+    if max_codebase_size is None:
+        return None
     over = sizes.groupBy(*key).agg(F.sum("size").alias("_total")).filter(F.col("_total") > max_codebase_size)
     over = written(over.select(*key), "over_budget")
-    if over.isEmpty():
-        return None
     crowded = lookup_join(sizes, over, list(key), F.col("path"), "left_semi")
     ordered = with_order(crowded.select(*key, "path", "size"), list(key), ["path"], sum_before={"before": "size"})
     cutoffs = ordered.filter(F.col("before") >= max_codebase_size).groupBy(*key).agg(F.min("path").alias("cutoff_path"))

@@ -7,18 +7,15 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Settings:
-    # The defaults a run without configuration uses.
-    max_file_size: int = 1048576
-    max_codebase_size: int = 104857600
+    # Limits are off unless they are asked for: nothing is dropped or cut by default.
+    max_file_size: int | None = None
+    max_codebase_size: int | None = None
     include_dependencies: bool = True
     dependency_depth: int = 1
     output_format: str = "jsonl"
-    hub_username: str = ""
-    hub_naming: str = "combined"
-    hub_dataset_name: str = "sft-codebase-diffs"
-    max_dependencies: int = 10
+    max_dependencies: int | None = None
     context_lines: int = 3
-    max_diff_size: int = 10485760
+    max_diff_size: int | None = None
     # Largest text kept in one cell. Invalid bytes become three-byte replacement
     # characters, so three times this value must stay under Spark's 2 GB cell.
     max_cell_bytes: int = 268435456

@@ -77,8 +77,7 @@ def test_pairs_without_files_are_rejected_not_fatal(built):
 @pytest.mark.parametrize("large", [False, True])
 def test_parts_equal_the_whole_texts(tables, rows, large, monkeypatch):
     if large:  # the ways taken beyond the counted bounds
-        monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     cut = build_dataset(*tables, NOW, Settings(max_cell_bytes=700))
     parts = {}
     for side, table in (("input_text", cut.input_parts), ("output_text", cut.output_parts)):
@@ -93,8 +92,7 @@ def test_parts_equal_the_whole_texts(tables, rows, large, monkeypatch):
 
 
 def test_large_ways_give_the_same_examples(tables, rows, monkeypatch):
-    monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(joins, "ROWS_PER_COPY", 1)
     again = build_dataset(*tables, NOW).examples.collect()
     assert {(r.repo_name, r.from_version): r for r in again} == rows

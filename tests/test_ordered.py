@@ -16,10 +16,8 @@ def rows(spark):
     ).cache()
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
 @pytest.mark.parametrize("keys", [["key"], []])
-def test_both_ways_equal_a_plain_window(rows, keys, limit, monkeypatch):
-    monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", limit)
+def test_chunks_equal_a_plain_window(rows, keys):
     got = ordered.with_order(
         rows, keys, ["place"], number="rn", sum_before={"before": "size"}, following={"next": F.col("value")})
     w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("place")
@@ -32,7 +30,6 @@ def test_both_ways_equal_a_plain_window(rows, keys, limit, monkeypatch):
 
 
 def test_a_hot_key_is_spread_and_the_carry_stays_small(rows, monkeypatch):
-    monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
     seen = []
     real = ordered.written
     monkeypatch.setattr(ordered, "written", lambda df, name: seen.append(real(df, name)) or seen[-1])
