@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, pages, passages, privacy, quality, secrets, simhash, substrings
+from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, secrets, simhash, substrings
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -45,7 +45,7 @@ def op9(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-@query("op4_decontamination")
+@query("op4_decontamination", oracles.CONTAMINATION)
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -84,21 +84,21 @@ def op8(spark, sf_dir):
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secrets")).alias("spans"))
 
 
-@query("op3_embeddings")
+@query("op3_embeddings", oracles.EMBEDDINGS)
 def op3(spark, sf_dir):
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select(
         "vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-@query("op2_substrings")
+@query("op2_substrings", oracles.SUBSTRINGS)
 def op2(spark, sf_dir):
     found = substrings.without_repeated_substrings(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op6_passages")
+@query("op6_passages", oracles.PASSAGES)
 def op6(spark, sf_dir):
     found = passages.without_repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

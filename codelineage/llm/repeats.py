@@ -32,6 +32,8 @@ CHUNK_BYTES = 1 << 21
 BUCKET_BYTES = 1 << 23
 # An anchor that more chunks hold is sent window by window.
 HOT_CHUNKS = 64
+# Of the hash that tells one form of surroundings from another, sent with every anchor.
+NAME_BYTES = 5
 NO_KEY = np.iinfo(np.int64).max
 
 _MASK = (1 << 64) - 1
@@ -215,17 +217,32 @@ def _extremes(x: np.ndarray, number: np.ndarray, n: int) -> tuple[np.ndarray, np
     return (np.minimum.reduceat(x[order], begin), np.maximum.reduceat(x[order], begin)) if n else (x[:0], x[:0])
 
 
-def _short(values: np.ndarray) -> np.ndarray:
-    """Six bytes of each hash."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+def _cut(hashes: np.ndarray, size: int) -> bytes:
+    """The upper ``size`` bytes of each hash."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - size:].tobytes()
 
 
-def _long(data: bytes, n: int, at: int) -> np.ndarray:
+def _uncut(data: bytes, n: int, size: int, at: int = 0) -> np.ndarray:
     wide = np.zeros((n, 8), np.uint8)
-    wide[:, 2:] = np.frombuffer(data, np.uint8, 6 * n, at).reshape(n, 6)
+    wide[:, 8 - size:] = np.frombuffer(data, np.uint8, n * size, at).reshape(n, size)
     return wide.view("<u8").ravel()
 
 
+def _rising(values: np.ndarray) -> bytes:
+    """Six bytes of each of the sorted hashes, as steps: four bytes, and the rest compressed."""
+    steps = np.diff(values >> _U(16), prepend=_U(0))
+    high = zlib.compress((steps >> _U(32)).astype("<u2").tobytes(), 1)
+    return np.array([len(high)], "<u4").tobytes() + steps.astype("<u4").tobytes() + high
+
+
+def _risen(data: bytes, n: int) -> tuple[np.ndarray, int]:
+    """The values of ``_rising`` and where their data ends."""
+    size = int(np.frombuffer(data, "<u4", 1)[0])
+    end = 4 + 4 * n + size
+    high = np.frombuffer(zlib.decompress(data[4 + 4 * n:end]), "<u2").astype(np.uint64)
+    return np.cumsum(np.frombuffer(data, "<u4", n, 4).astype(np.uint64) + (high << _U(32))), end
+
+
 def _send_anchors(kind: Kind, buckets: int, key: str, text: str):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         chunk = Chunk(kind, rows, key, text)
@@ -238,10 +255,10 @@ def _send_anchors(kind: Kind, buckets: int, key: str, text: str):
             twice = high > low
         name, other = _extremes(found.name, number, len(values))
         cuts = np.searchsorted(by_bucket(values, buckets), np.arange(buckets + 1))
-        value, name_, bits = _short(values), _short(name), (twice, name != other)
+        bits = (twice, name != other)
         return pd.DataFrame(
             [(b, int(rows["chunk"].iloc[0]),
-              value[i:j].tobytes() + name_[i:j].tobytes() + b"".join(np.packbits(x[i:j]).tobytes() for x in bits), int(j - i))
+              _rising(values[i:j]) + _cut(name[i:j], NAME_BYTES) + b"".join(np.packbits(x[i:j]).tobytes() for x in bits), int(j - i))
              for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i],
             columns=["bucket", "chunk", "data", "n"])
 
@@ -252,10 +269,11 @@ def _answer_anchors(rows: pd.DataFrame) -> pd.DataFrame:
     """Per value sent: 0 if it occurs once, 1 if again in the same surroundings, 2 if in several, 3 if so in many chunks."""
     value, name, twice, various = [], [], [], []
     for data, n in zip(rows["data"], rows["n"], strict=True):
-        value.append(_long(data, n, 0))
-        name.append(_long(data, n, 6 * n))
-        step = -(-n // 8)
-        for out, at in ((twice, 12 * n), (various, 12 * n + step)):
+        values, at = _risen(data, n)
+        value.append(values)
+        name.append(_uncut(data, n, NAME_BYTES, at))
+        at, step = at + NAME_BYTES * n, -(-n // 8)
+        for out, at in ((twice, at), (various, at + step)):
             out.append(np.unpackbits(np.frombuffer(data, np.uint8, step, at), count=n).astype(bool))
     values, number, count = np.unique(np.concatenate(value), return_inverse=True, return_counts=True)
     low, high = _extremes(np.concatenate(name), number, len(values))
@@ -298,16 +316,22 @@ def _send_surroundings(kind: Kind, buckets: int, key: str, text: str):
         several = np.bincount(member, minlength=len(names)) > 1
         bucket = by_bucket(mixed(rest.value[at] ^ _U(0xA0761D6478BD642F)), buckets)
         out = []
+        # Runs are numbered by bucket, so a bucket's are known from the first one's number.
         order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        place_of = np.empty(len(order), np.int64)
+        place_of[order] = np.arange(len(order))
+        names, at, several, bucket, member = names[order], at[order], several[order], bucket[order], place_of[member]
+        start = rest.place - chunk.starts[doc] if kind.own_document else np.zeros(len(rest.place), np.int64)
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)):
-            u = order[cuts[b]:cuts[b + 1]]
+            u = slice(cuts[b], cuts[b + 1])
             a = at[u]
             full = a[~bare[a]]
             begin, end = rest.place[full] - rest.left[full], rest.place[full] + rest.right[full]
             out.append((int(b), number_of, packed(
-                number=u.astype(np.uint32), name=names[u], left=rest.left[a].astype(np.uint8), right=rest.right[a].astype(np.uint8),
-                several=several[u], bare=bare[a], doc=chunk.ranks[doc[a]], place=(rest.place[a] - chunk.starts[doc[a]]).astype(np.int64),
+                number=np.array([cuts[b]], np.uint32), name=np.frombuffer(_cut(names[u], 6), np.uint8),
+                left=rest.left[a].astype(np.uint8), right=rest.right[a].astype(np.uint8),
+                several=several[u], bare=bare[a], doc=chunk.ranks[doc[a]], place=start[a],
                 runs=np.frombuffer(kind.surroundings(chunk, begin, end), np.uint8))))
         # The members themselves stay with the chunk: a bucket of its own hands them back.
         order = np.argsort(rest.place, kind="stable")
@@ -323,8 +347,10 @@ def _answer_surroundings(kind: Kind, buckets: int):
         if rows["bucket"].iloc[0] >= buckets:
             return pd.DataFrame({"chunk": rows["chunk"], "members": True, "data": rows["data"]})
         sent = [unpacked(d) for d in rows["data"]]
-        sizes = [len(s[0]) for s in sent]
-        number, name, left, right, several, bare, doc, place = (np.concatenate([s[i] for s in sent]) for i in range(8))
+        sizes = [len(s[2]) for s in sent]
+        left, right, several, bare, doc, place = (np.concatenate([s[i] for s in sent]) for i in range(2, 8))
+        name = np.concatenate([_uncut(s[1].tobytes(), n, 6) for s, n in zip(sent, sizes, strict=True)])
+        number = np.concatenate([int(s[0][0]) + np.arange(n, dtype=np.uint32) for s, n in zip(sent, sizes, strict=True)])
         # A run that several chunks sent stands once, under its first occurrence.
         by = np.lexsort((place, doc, name))
         fresh = np.concatenate([[True], name[by][1:] != name[by][:-1]])
