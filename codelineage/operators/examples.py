@@ -42,12 +42,18 @@ def create_examples(rows: DataFrame, created_at: str) -> DataFrame:
     }).select(*EXAMPLE_COLUMNS)
 
 
-def example_meta(examples: DataFrame) -> DataFrame:
-    """Light rows for statistics: text lengths instead of texts."""
-    return examples.withColumns({
-        "input_size": F.length("input_text").cast("long"),
-        "output_size": F.length("output_text").cast("long"),
-    }).select(*EXAMPLE_META.fieldNames())
+def example_meta(
+    examples: DataFrame, input_parts: DataFrame | None = None, output_parts: DataFrame | None = None
+) -> DataFrame:
+    """Light rows for statistics: text lengths instead of texts, from the parts where a text is kept in parts."""
+    key = ["repo_name", "from_version", "to_version"]
+    for side, parts in (("input", input_parts), ("output", output_parts)):
+        size = F.length(f"{side}_text").cast("long")
+        if parts is not None:
+            lengths = parts.groupBy(F.col("repo").alias("repo_name"), *key[1:]).agg(F.sum(F.length("text")).alias(f"_{side}"))
+            examples, size = examples.join(lengths, key, "left"), F.coalesce(size, F.col(f"_{side}"))
+        examples = examples.withColumn(f"{side}_size", size)
+    return examples.select(*EXAMPLE_META.fieldNames())
 
 
 def chat_messages(input_: Column, output: Column, system_prompt: str | None) -> Column:

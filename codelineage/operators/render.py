@@ -132,7 +132,7 @@ def output_title(from_version: Column, to_version: Column) -> Column:
 def cell_texts(
     pieces: DataFrame, keys: list[str], order: list[str], separator: str = "\\n", max_bytes: int = Settings().max_cell_bytes
 ) -> DataFrame:
-    """(keys, body): the ``piece`` values of each key in order, NULL where they exceed ``max_bytes``.
+    """(keys, body): the ``piece`` values of each key in order; reading a body beyond ``max_bytes`` is an error.
 
     Sizes are summed first, so no task gathers a group beyond the bound; such a
     text is available from :func:`text_parts`.
@@ -141,10 +141,10 @@ def cell_texts(
     sizes = table.groupBy(*keys).agg(F.sum(F.octet_length("piece") + len(separator)).alias("_bytes"))
     over = written(sizes.filter(F.col("_bytes") > max_bytes).select(*keys), "oversize")
     body = joined("piece", ", ".join(order), separator).alias("body")
-    if over.isEmpty():
-        return table.groupBy(*keys).agg(body)
     fitting = salted_join(table, over, keys, F.concat_ws("\n", *order), "left_anti").groupBy(*keys).agg(body)
-    return fitting.unionByName(over.withColumn("body", F.lit(None).cast("string")))
+    name = F.concat_ws(" ", *[F.col(c).cast("string") for c in keys])
+    refused = F.raise_error(F.concat(F.lit("text beyond one cell, read it with text_parts: "), name)).cast("string")
+    return fitting.unionByName(over.withColumn("body", refused))
 
 
 def with_body(header: Column, body: Column) -> Column:
@@ -153,7 +153,7 @@ def with_body(header: Column, body: Column) -> Column:
 
 
 def snapshot_texts(snapshot: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """One text per (repo, version), NULL where it would not fit a cell."""
+    """One text per (repo, version), an error to read where it would not fit a cell."""
     key = ["repo", "version"]
     totals = snapshot.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size"))
     bodies = cell_texts(snapshot_sections(snapshot), key, ["path"], max_bytes=max_bytes)
@@ -163,7 +163,7 @@ def snapshot_texts(snapshot: DataFrame, include_header: bool = True, max_bytes:
 
 
 def diff_texts(diffs: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """One text per pair, NULL where it would not fit a cell."""
+    """One text per pair, an error to read where it would not fit a cell."""
     bodies = cell_texts(diff_sections(diffs), PAIR, ["file_path"], max_bytes=max_bytes)
     if not include_header:
         return bodies.select(*PAIR, F.col("body").alias("text"))
@@ -236,7 +236,7 @@ def tree_lines(paths: DataFrame) -> DataFrame:
 
 
 def file_trees(paths: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """Rendered tree per (repo, version), NULL where it would not fit a cell."""
+    """Rendered tree per (repo, version), an error to read where it would not fit a cell."""
     key = ["repo", "version"]
     title = lines(F.concat(F.lit("# File Tree for "), F.col("repo"), F.lit("@"), F.col("version")), "")
     bodies = cell_texts(tree_lines(paths).withColumnRenamed("line", "piece"), key, ["node"], max_bytes=max_bytes)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from codelineage.operators.discover import config_from
 from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, chat_examples, example_meta
 from codelineage.operators.stats import card_stats, dataset_stats, repo_counts, stats_report
+from codelineage.plans.dataset import Dataset
 from codelineage.schemas import EXAMPLE_COLUMNS
 from codelineage.settings import Settings
 from codelineage.sources.tables import read_examples
@@ -45,7 +46,7 @@ def save_report(examples_or_meta: DataFrame, folder: str, mode: str = "errorifex
 
 
 def save_dataset(
-    examples: DataFrame,
+    built: Dataset | DataFrame,
     folder: str,
     output_format: str = "jsonl",
     system_prompt: str | None = DEFAULT_SYSTEM_PROMPT,
@@ -55,9 +56,15 @@ def save_dataset(
     """Write the examples in the asked formats, then statistics and card figures.
 
     The examples are computed once: the Parquet output (or, without one, a table
-    in the shared folder) feeds every other output.
+    in the shared folder) feeds every other output. Of a whole dataset the texts that fit no
+    cell are written as ordered parts beside the examples, and statistics count them.
     """
     Settings(output_format=output_format)
+    examples = built if isinstance(built, DataFrame) else built.examples
+    parts = {} if isinstance(built, DataFrame) else {"input_parts": built.input_parts, "output_parts": built.output_parts}
+    parts = {name: table for name, table in parts.items() if table is not None}
+    for name, table in parts.items():
+        table.write.mode(mode).parquet(f"{folder}/{name}.parquet")
     if output_format == "jsonl":
         rows = written(examples, "examples")
     else:
@@ -66,7 +73,7 @@ def save_dataset(
     if output_format in ("jsonl", "both"):
         save_examples_jsonl(rows, f"{folder}/dataset.jsonl", compress, mode)
         save_examples_chat_jsonl(rows, f"{folder}/dataset_chat.jsonl", system_prompt, compress, mode)
-    save_report(rows, folder, mode)
+    save_report(example_meta(rows, **parts), folder, mode)
 
 
 def save_config(repos: DataFrame, path: str, mode: str = "errorifexists") -> None:

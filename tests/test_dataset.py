@@ -71,7 +71,8 @@ def test_example(built, rows):
 
 
 def test_pairs_without_files_are_rejected_not_fatal(built):
-    assert [(r.repo, r.from_version, r.to_version, r.error) for r in built.rejects.collect()] == [("a/b", "v3", "v4", "no files for v4")]
+    assert sorted((r.repo, r.from_version, r.to_version, r.error) for r in built.rejects.collect()) == [
+        ("a/b", "v1", "v2", "no files for dependency numpy/numpy main"), ("a/b", "v3", "v4", "no files for v4")]
 
 
 @pytest.mark.parametrize("large", [False, True])
@@ -169,6 +170,27 @@ def landing(spark, folder, rows):
     releases(spark, rows).coalesce(1).write.mode("append").parquet(folder)
 
 
+def test_texts_in_parts_are_written_and_counted(spark, tables, rows, tmp_path):
+    cut = build_dataset(*tables, NOW, Settings(max_cell_bytes=700))
+    sinks.save_dataset(cut, str(tmp_path / "cut"), "both")
+    for side in ("input", "output"):
+        kept = {(r.repo_name, r.from_version): r[f"{side}_text"] or "" for r in read_examples(spark, str(tmp_path / "cut/dataset.parquet")).collect()}
+        for r in spark.read.parquet(str(tmp_path / f"cut/{side}_parts.parquet")).orderBy("part_no").collect():
+            kept[r.repo, r.from_version] += r.text
+        assert kept == {k: r[f"{side}_text"] for k, r in rows.items()}
+    meta = ex.example_meta(cut.examples, cut.input_parts, cut.output_parts)
+    assert {(r.repo_name, r.from_version): (r.input_size, r.output_size) for r in meta.collect()} == {
+        k: (len(r.input_text), len(r.output_text)) for k, r in rows.items()}
+
+
+def test_dependencies_without_files_are_rejected(spark, tables):
+    releases_, files_ = tables
+    built = build_dataset(releases_, files_.filter("repo <> 'pytorch/pytorch'"), NOW)
+    missing = "no files for dependency pytorch/pytorch t2rc"
+    assert sorted((r.from_version, r.error) for r in built.rejects.collect() if "pytorch" in r.error) == [("v1", missing), ("v2", missing)]
+    assert {r.num_dependencies for r in built.examples.collect()} == {0}
+
+
 def stream(spark, folder):
     schema = releases(spark, RELEASES).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from codelineage.functions import patterns
@@ -107,8 +108,11 @@ def test_parts_make_up_the_text(spark):
 
 def test_texts_beyond_a_cell_stay_available_in_parts(spark):
     rows = snapshot.classified(files(spark, [("o/r", "v1", f"f{i}", "x" * 50) for i in range(20)] + [("o/s", "v1", "f", "y")]))
-    got = by(render.snapshot_texts(rows, include_header=False, max_bytes=1000), "repo")
-    assert got["o/r"].text is None and got["o/r"].num_files == 20 and got["o/s"].text.endswith("y\n")
+    cut = render.snapshot_texts(rows, include_header=False, max_bytes=1000)
+    assert by(cut.select("repo", "num_files"), "repo")["o/r"].num_files == 20
+    assert by(cut.filter("repo = 'o/s'"), "repo")["o/s"].text.endswith("y\n")
+    with pytest.raises(Exception, match="text_parts: o/r v1"):
+        cut.collect()
     whole = by(render.snapshot_texts(rows, include_header=False), "repo")["o/r"].text
     pieces = render.snapshot_sections(rows).filter("repo = 'o/r'").withColumn("piece", F.concat("piece", F.lit("\n")))
     parts = render.text_parts(pieces, ["repo", "version"], ["path"], 1000).orderBy("part_no").collect()
