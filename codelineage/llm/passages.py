@@ -142,7 +142,7 @@ def _words(text: str):
 
 
 def _runs(chunk, starts, ends) -> bytes:
-    words = [w for text in chunk.raw for w in text]
+    words = chunk.all_raw
     return b"".join(b" ".join(words[a:b]) + b"\n" for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -165,6 +165,11 @@ class Chunk:
         self.symbols = np.concatenate([s for s, _ in found]) if found else np.zeros(0, np.uint64)
         self.raw = [r for _, r in found]
 
+    @cached_property
+    def all_raw(self) -> list:
+        """The raw symbols of all documents in one list, by place."""
+        return [x for raw in self.raw for x in raw]
+
     def document_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, "right")
 
