@@ -1,7 +1,7 @@
 """Ordered text assembly: snapshots, diffs, file trees, dependency summaries.
 
 The long form (one row per section, with its order columns) is the primary
-product. ``one_text`` puts sections into one cell, ``text_parts`` cuts texts
+product. ``cell_texts`` puts sections into one cell, ``text_parts`` cuts texts
 that would not fit a cell into ordered parts whose concatenation is the text.
 """
 
