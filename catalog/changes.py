@@ -28,14 +28,10 @@ def diffs3(x):
     return written(diff.file_diffs(pairs3(x), table3(x)), "file_diffs")
 
 
-@query("c2_version_diff", r"""
-    SELECT repo, from_version, to_version, path AS file_path, change_type,
-           CASE change_type WHEN 'added' THEN new_n WHEN 'deleted' THEN 0 WHEN 'modified' THEN CASE WHEN new_n > old_n THEN 3 ELSE 1 END END AS additions,
-           CASE change_type WHEN 'added' THEN 0 WHEN 'deleted' THEN old_n WHEN 'modified' THEN CASE WHEN new_n > old_n THEN 1 ELSE 3 END END AS deletions
-    FROM (SELECT *, len(string_split(old_content, chr(10))) AS old_n, len(string_split(new_content, chr(10))) AS new_n FROM fx_changes)""")
+@query("c2_version_diff", """
+    SELECT repo, from_version, to_version, path, change_type, sha256(old_content) AS old_sha, sha256(new_content) AS new_sha FROM fx_changes""")
 def c2(x):
-    rows = diff.file_diffs(pairs3(x), table3(x), detect_renames=False)
-    return rows.select(*PAIR, "file_path", "change_type", "additions", "deletions")
+    return diff.path_changes(pairs3(x), x.raw()).select(*PAIR, "path", "change_type", "old_sha", "new_sha")
 
 
 @query("c3_renames", "SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r")

@@ -144,6 +144,10 @@ def snapshot_totals(sizes: DataFrame) -> DataFrame:
 
 
 def files_at(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """Text of each requested (repo, version, path), NULL where there is no such file."""
-    found = files.select(*FILE_KEY, decoded(F.col("content")).alias("text"))
-    return requests.join(found, FILE_KEY, "left")
+    """Text of each requested (repo, version, path), NULL where there is no such file.
+
+    The keys are looked up first, so that only requested contents are moved.
+    """
+    wanted = requests.select(*FILE_KEY).distinct()
+    found = lookup_join(files.select(*FILE_KEY, "content"), wanted, FILE_KEY, None, "left_semi")
+    return requests.join(found.select(*FILE_KEY, decoded(F.col("content")).alias("text")), FILE_KEY, "left")

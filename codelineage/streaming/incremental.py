@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from codelineage.operators.diff import PAIR
 from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, example_meta
 from codelineage.operators.joins import salted_join
 from codelineage.operators.releases import ORDER, release_pairs, stable_releases
 from codelineage.operators.stats import dataset_stats
-from codelineage.plans.dataset import build_pairs
+from codelineage.plans.dataset import Dataset, build_pairs
 from codelineage.settings import Settings
 from codelineage.sources.sinks import save_examples_chat_jsonl, save_examples_jsonl
 from codelineage.storage import written
@@ -96,19 +97,50 @@ def start_examples(
         if pairs.isEmpty():
             return
         built = build_pairs(pairs, all_releases(), files(), created_at, settings, known_packages)
-        examples = written(built.examples, "examples")
-        part = f"batch_id={batch_id}"
-        save_examples_jsonl(examples, f"{folder}/dataset.jsonl/{part}", mode="overwrite")
-        save_examples_chat_jsonl(examples, f"{folder}/dataset_chat.jsonl/{part}", system_prompt, mode="overwrite")
-        example_meta(examples).write.mode("overwrite").parquet(f"{folder}/example_meta/{part}")
-        for name, parts in (("input_parts", built.input_parts), ("output_parts", built.output_parts)):
-            if parts is not None:
-                parts.write.mode("overwrite").parquet(f"{folder}/{name}/{part}")
-        built.rejects.write.mode("overwrite").parquet(f"{folder}/rejects/{part}")
+        _save(built, folder, batch_id, system_prompt)
 
     return _run(releases, folder, each_batch)
 
 
+def _save(built: Dataset, folder: str, batch_id: int, system_prompt: str | None) -> None:
+    examples = written(built.examples, "examples")
+    part = f"batch_id={batch_id}"
+    save_examples_jsonl(examples, f"{folder}/dataset.jsonl/{part}", mode="overwrite")
+    save_examples_chat_jsonl(examples, f"{folder}/dataset_chat.jsonl/{part}", system_prompt, mode="overwrite")
+    meta = example_meta(examples, built.input_parts, built.output_parts)
+    meta.write.mode("overwrite").parquet(f"{folder}/example_meta/{part}")
+    for name, parts in (("input_parts", built.input_parts), ("output_parts", built.output_parts)):
+        if parts is not None:
+            parts.write.mode("overwrite").parquet(f"{folder}/{name}/{part}")
+    built.rejects.write.mode("overwrite").parquet(f"{folder}/rejects/{part}")
+
+
+def catch_up(
+    releases: DataFrame, files: DataFrame, folder: str, created_at: str, settings: Settings = Settings(),
+    known_packages: DataFrame | None = None, system_prompt: str | None = DEFAULT_SYSTEM_PROMPT,
+) -> None:
+    """Bring the output to what one batch over all ``releases`` and ``files`` gives.
+
+    Pairs without an example, because a release came late or its files did, are built into a
+    batch of a negative number; examples whose pair a late release has split are listed in
+    ``stale`` and left out by :func:`current`. Run it while no stream writes to the folder.
+    """
+    spark = releases.sparkSession
+    done = spark.read.parquet(f"{folder}/example_meta").withColumnRenamed("repo_name", "repo")
+    wanted = written(release_pairs(releases).drop("pair_no"), "wanted")
+    missing = written(wanted.join(done, PAIR, "left_anti"), "missing")
+    stale = written(done.join(wanted, PAIR, "left_anti").select(*PAIR).distinct(), "stale")
+    number = min(0, done.agg(F.min("batch_id")).first()[0] or 0) - 1
+    _save(build_pairs(missing, releases, files, created_at, settings, known_packages), folder, number, system_prompt)
+    stale.write.mode("overwrite").parquet(f"{folder}/stale")
+
+
+def current(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows of an output table (by repo_name and versions) that no later release has made stale."""
+    stale = rows.sparkSession.read.parquet(f"{folder}/stale").withColumnRenamed("repo", "repo_name")
+    return rows.join(stale, ["repo_name", *PAIR[1:]], "left_anti")
+
+
 def running_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics over everything streamed so far, from the light rows only."""
     return dataset_stats(spark.read.parquet(f"{folder}/example_meta"))

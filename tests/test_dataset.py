@@ -16,7 +16,7 @@ from codelineage.settings import Settings
 from codelineage.sources import sinks
 from codelineage.sources.archives import read_release_archives
 from codelineage.sources.tables import read_config, read_examples
-from codelineage.streaming.incremental import running_stats, start_examples, start_pairing
+from codelineage.streaming.incremental import catch_up, current, running_stats, start_examples, start_pairing
 from helpers import files, releases
 
 NOW = "2024-01-01T00:00:00"
@@ -209,6 +209,20 @@ def test_incremental_run_equals_the_batch_run(spark, tables, rows, tmp_path):
     assert read_examples(spark, out + "/dataset.jsonl").count() == len(rows)
 
 
+def test_catching_up_equals_the_batch_run(spark, tables, rows, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    # v2 arrives after v3, and the files of v1 come only after the stream.
+    for part in (RELEASES[:1] + RELEASES[2:3], RELEASES[4:], RELEASES[1:2], RELEASES[3:4]):
+        landing(spark, source, part)
+    late = tables[1].filter("NOT (repo = 'a/b' AND version = 'v1')")
+    start_examples(stream(spark, source), lambda: tables[0], lambda: late, out, NOW).awaitTermination()
+    assert not spark.read.parquet(out + "/pairs").filter("to_version = 'v2'").count()
+    for _ in range(2):
+        catch_up(*tables, out, NOW)
+        got = current(read_examples(spark, out + "/dataset.jsonl").select(*schemas.EXAMPLE_COLUMNS), out).collect()
+        assert len(got) == len(rows) and {(r.repo_name, r.from_version): r for r in got} == rows
+
+
 def test_late_releases_are_set_aside(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for part in ([("o/r", "v1", "2024-01-01", 1), ("o/r", "v3", "2024-03-01", 3)], [("o/r", "v2", "2024-02-01", 2), ("o/r", "v4", "2024-04-01", 4)]):
