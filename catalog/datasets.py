@@ -1,5 +1,8 @@
 """Statistics, reports, chat form, split and the written outputs."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -189,9 +192,12 @@ def light(x):
     return stats.dataset_stats(meta), stats.repo_counts(meta)
 
 
-@query("i12_stats_report", "SELECT line_no, repo_name, line FROM (" + " UNION ALL ".join(
+REPORT_SQL = "SELECT line_no, repo_name, line FROM (" + " UNION ALL ".join(
     f"SELECT {i} AS line_no, '' AS repo_name, {line} AS line FROM ({UNROUNDED})" for i, line in enumerate(REPORT)) + f"""
-    UNION ALL SELECT {len(REPORT)}, repo_name, concat('- **', repo_name, '**: ', count(*), ' examples') FROM {EX} GROUP BY repo_name)""")
+    UNION ALL SELECT {len(REPORT)}, repo_name, concat('- **', repo_name, '**: ', count(*), ' examples') FROM {EX} GROUP BY repo_name)"""
+
+
+@query("i12_stats_report", REPORT_SQL)
 def i12(x):
     return stats.stats_report(*light(x))
 
@@ -202,9 +208,12 @@ for side in ("input", "output"):
     CARD += [(side, n, *cells) for n, cells in zip(("mean", "min", "max"), table_sql(f"{side}_size", f"{side}_tokens", "~"))]
 
 
-@query("i13_card_stats", " UNION ALL ".join(
-    f"SELECT '{s}' AS section, '{i}' AS item, {size} AS size, {tokens} AS tokens FROM ({UNROUNDED})" for s, i, size, tokens in CARD)
-    + f" UNION ALL SELECT DISTINCT 'sources', repo_name, '', '' FROM {EX}")
+CARD_SQL = " UNION ALL ".join(
+    f"SELECT '{s}' AS section, '{i}' AS item, {size} AS size, {tokens} AS tokens FROM ({UNROUNDED})" for s, i, size, tokens in CARD
+) + f" UNION ALL SELECT DISTINCT 'sources', repo_name, '', '' FROM {EX}"
+
+
+@query("i13_card_stats", CARD_SQL)
 def i13(x):
     return stats.card_stats(*light(x))
 
@@ -222,20 +231,26 @@ def i14(x):
     return stats.summary_view(*light(x))
 
 
-@query("i11_save_dataset", f"""
-    SELECT 'jsonl' AS kind, count(*) AS n FROM {EX} UNION ALL SELECT 'chat', count(*) FROM {EX} UNION ALL SELECT 'parquet', count(*) FROM {EX}
-    UNION ALL SELECT 'stats lines', {len(REPORT)} + count(DISTINCT repo_name) FROM {EX}
-    UNION ALL SELECT 'card rows', {len(CARD)} + count(DISTINCT repo_name) FROM {EX}""")
+WRITTEN_SQL = f"SELECT '{{kind}}' AS kind, concat(repo_name, '|', from_version) AS item, md5(concat(input_text, output_text)) AS content_md5 FROM {EX}"
+
+
+@query("i11_save_dataset", " UNION ALL ".join(WRITTEN_SQL.format(kind=k) for k in ("jsonl", "chat", "parquet")) + f"""
+    UNION ALL SELECT 'stats', '', md5(line) FROM ({REPORT_SQL})
+    UNION ALL SELECT 'card', concat(section, '|', item), md5(concat(size, tokens)) FROM ({CARD_SQL})""")
 def i11(x):
-    folder, read = fresh_path(x.spark, "dataset"), x.spark.read
+    folder, spark = fresh_path(x.spark, "dataset"), x.spark
     sinks.save_dataset(x.examples(), folder, "both")
-    outputs = {
-        "jsonl": read_examples(x.spark, f"{folder}/dataset.jsonl"), "chat": read.text(f"{folder}/dataset_chat.jsonl"),
-        "parquet": read_examples(x.spark, f"{folder}/dataset.parquet"), "stats lines": read.text(f"{folder}/stats.md"),
-        "card rows": read.text(f"{folder}/card"),
-    }
-    counts = None
-    for kind, rows in outputs.items():
-        one = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    item = F.concat_ws("|", "repo_name", "from_version")
+    both = F.md5(F.concat("input_text", "output_text"))
+    chat = spark.read.schema(ops.chat_examples(x.examples()).schema).json(f"{folder}/dataset_chat.jsonl")
+    text_of = lambda i: F.col("messages")[i]["content"]
+    outputs = [
+        ("jsonl", read_examples(spark, f"{folder}/dataset.jsonl"), item, both),
+        ("parquet", read_examples(spark, f"{folder}/dataset.parquet"), item, both),
+        ("chat", chat, F.concat_ws("|", "metadata.repo_name", "metadata.from_version"), F.md5(F.concat(text_of(1), text_of(2)))),
+        ("stats", spark.read.text(f"{folder}/stats.md"), F.lit(""), F.md5("value")),
+        ("card", spark.read.schema("section string, item string, size string, tokens string").json(f"{folder}/card"),
+         F.concat_ws("|", "section", "item"), F.md5(F.concat("size", "tokens"))),
+    ]
+    rows = [table.select(F.lit(kind).alias("kind"), name.alias("item"), digest.alias("content_md5")) for kind, table, name, digest in outputs]
+    return reduce(DataFrame.unionByName, rows)
