@@ -39,7 +39,8 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes[other], nodes[label[other]]
 
 
-def _contracted(batches):
+def contracted(batches):
+    """Fewer links (u, v) that join the same nodes, for a task's batches of them."""
     waiting, n = [], 0
     for batch in batches:
         waiting.append(batch)
@@ -59,12 +60,12 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links(u, v)`` of 64-bit integers that reaches a smaller one.
 
     ``component`` is the smallest node reachable; nodes that are the smallest of
-    their component are left out. Tasks contract the links they hold; what is left goes through
+    their component are left out. Tasks that find links should contract them first; they go through
     alternating rounds that point every node at the smallest neighbour of its
     neighbours, until a round changes nothing. A node of very many links is met by
     combining minima before the shuffle and by joins that can be split.
     """
-    edges = written(links.mapInPandas(_contracted, "u long, v long").distinct(), "links")
+    edges = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct(), "links")
     before = None
     while True:
         # u > v in every row: a node points at a smaller one.

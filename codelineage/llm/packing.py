@@ -24,7 +24,7 @@ PIECES = ("start long, length long, doc_tokens long, sequence_id long, offset lo
 # Sequence numbers of one task; the task's number stands above them.
 SEQUENCES_PER_TASK = 1 << 40
 # Words kept per worker; a full store is emptied.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 ENCODED_AT_ONCE = 256
 
 # Text of these characters is its own NFC form and splits alike here and in the tokenizer.
@@ -53,9 +53,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self):
         self.number: dict[str, int] = {}
         self.lengths = self.starts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -90,7 +90,7 @@ class Encoder:
             else:
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.number) > KNOWN_WORDS:
-            self._forget()
+            self.forget()
         at = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(at < 0).tolist()
         if unknown:
@@ -227,6 +227,7 @@ def pack(
         if waiting:
             rows, sequence = pack_documents(waiting, capacity, piece, sequence)
             yield frame(rows)
+        encode.forget()  # workers outlive the task
 
     # Keys travel as text: pandas would round large numbers beside nulls.
     kind = docs.schema[key].dataType

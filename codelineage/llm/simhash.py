@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codelineage.llm.components import components, joined_labels
+from codelineage.llm.components import components, contracted, joined_labels
 from codelineage.llm.names import free_name
 from codelineage.storage import written
 
@@ -122,7 +122,7 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
         .join(tiles.withColumnRenamed("prints", "a"), [*lanes, "part"])
         .select("a", "b", (same_lanes & (F.col("part") == F.col("t_part"))).alias("same"))
     )
-    return paired.mapInPandas(_links(radius), "u long, v long")
+    return paired.mapInPandas(lambda batches: contracted(_links(radius)(batches)), "u long, v long")
 
 
 def near_duplicates(
