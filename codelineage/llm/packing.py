@@ -24,7 +24,7 @@ PIECES = ("start long, length long, doc_tokens long, sequence_id long, offset lo
 # Sequence numbers of one task; the task's number stands above them.
 SEQUENCES_PER_TASK = 1 << 40
 # Words kept per worker; a full store is emptied.
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 300_000
 ENCODED_AT_ONCE = 256
 
 # Text of these characters is its own NFC form and splits alike here and in the tokenizer.
@@ -227,7 +227,6 @@ def pack(
         if waiting:
             rows, sequence = pack_documents(waiting, capacity, piece, sequence)
             yield frame(rows)
-        encode.forget()  # workers outlive the task
 
     # Keys travel as text: pandas would round large numbers beside nulls.
     kind = docs.schema[key].dataType
