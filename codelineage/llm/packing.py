@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 PIECES = ("start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 # Sequence numbers of one task; the task's number stands above them.
 SEQUENCES_PER_TASK = 1 << 40
-# Words kept per worker; a full store is emptied.
+# Words kept per worker; a full store drops those that are rarely used.
 KNOWN_WORDS = 300_000
 ENCODED_AT_ONCE = 256
 
@@ -57,9 +57,23 @@ class Encoder:
 
     def forget(self):
         self.number: dict[str, int] = {}
-        self.lengths = self.starts = np.zeros(0, np.int64)
+        self.lengths = self.starts = self.uses = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def thin(self):
+        """Keep the words used most often, at most half of what may be known; most words come once."""
+        least = 2
+        while (self.uses >= least).sum() > KNOWN_WORDS // 2:
+            least *= 2
+        kept = np.flatnonzero(self.uses >= least)
+        words = list(self.number)
+        self.number = {words[i]: n for n, i in enumerate(kept.tolist())}
+        lengths = self.lengths[kept]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        self.ids = self.ids[np.arange(total) + np.repeat(self.starts[kept] - (ends - lengths), lengths)]
+        self.lengths, self.starts, self.uses = lengths, ends - lengths, self.uses[kept] // 2
+
     def _learn(self, words: list[str]):
         tokenize, letters = self.model.tokenize, self.letters
         found = [
@@ -73,6 +87,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, ends - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
 
     def __call__(self, text: str) -> np.ndarray:
@@ -90,12 +105,13 @@ class Encoder:
             else:
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if len(self.number) > KNOWN_WORDS:
-            self.forget()
+            self.thin()
         at = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(at < 0).tolist()
         if unknown:
             self._learn(list({words[i] for i in unknown}))
             at[unknown] = [self.number[words[i]] for i in unknown]
+        self.uses += np.bincount(at, minlength=len(self.uses))
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         ids = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - lengths), lengths)]
