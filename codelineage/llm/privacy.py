@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and terms that reveal who is meant.
 
 Entities found by the patterns are protected. For every term that stands near an entity the corpus tells how
-much it gives away: the pointwise mutual information of term and entity, from the contexts they share, the texts that
-hold the term and the texts that hold the entity. Terms above the thresholds are spans of
+much it gives away: the pointwise mutual information of term and entity, from the different texts in which they stand
+together, those that hold the term and those that hold the entity. Terms above the thresholds are spans of
 their own, to be generalised or removed with the entity. Everything is DataFrame expressions.
 """
 
@@ -27,6 +27,8 @@ _WORD, _BETWEEN = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 _FOUND = "array<struct<start:int,end:int,value:string>>"
 # Lists of terms up to this size are broadcast, a few MB; longer ones are joined by a shuffle.
 BROADCAST_TERMS = 100_000
+# Lists of row numbers up to this size likewise.
+BROADCAST_ROWS = 1_000_000
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -114,18 +116,33 @@ def _near(rows: DataFrame, reach: int) -> DataFrame:
     ).select("row", "entity", "context", "w.term", "w.start", "w.end")
 
 
+def _one_of_each(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(row) of one row for each different text, and how many they are."""
+    # Texts are told apart by 128 bits; a large group of copies is reduced in every task first.
+    firsts = written(rows.filter(F.col("text").isNotNull()).groupBy(F.md5("text").alias("name")).agg(F.min("row").alias("row")).select("row"), "firsts")
+    n = firsts.count()
+    return F.broadcast(firsts) if n <= BROADCAST_ROWS else firsts, n
+
+
 def disclosing_terms(rows: DataFrame, near: DataFrame, least_contexts: int, least_bits: float, least_share: float) -> DataFrame:
-    """(term, entity, bits, share): terms that give an entity away, by all texts of ``rows``."""
-    shared = near.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_both")).filter(F.col("n_both") >= least_contexts)
+    """(term, entity, bits, share): terms that give an entity away, by all different texts of ``rows``.
+
+    All counts but that of the contexts are of different texts, so ``share`` is at most 1 and copies change nothing.
+    """
+    firsts, n = _one_of_each(rows)
+    seen = written(near.join(firsts, "row", "left_semi"), "seen")
+    shared = (
+        seen.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("row").alias("n_both"))
+        .filter(F.col("n_contexts") >= least_contexts)
+    )
     shared = written(shared, "shared")
     terms = shared.select("term").distinct()
-    words = rows.filter(F.col("text").isNotNull()).select(
+    words = rows.join(firsts, "row", "left_semi").select(
         F.explode(F.array_distinct(F.split(F.lower("text"), _BETWEEN))).alias("term"))
     few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
     held = words.join(F.broadcast(terms) if few else terms, "term", "left_semi")
     of_term = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entities = near.groupBy("entity").agg(F.count_distinct("row").alias("n_entity"))
-    n = rows.count()
+    entities = seen.groupBy("entity").agg(F.count_distinct("row").alias("n_entity"))
     bits = F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
     return (
         shared.join(of_term, "term").join(entities, "entity")
@@ -142,8 +159,8 @@ def find(
 
     Positions are code points, end exclusive; spans stand by start, then kind as in KINDS. Kind "term" is a
     word within ``reach`` characters of an entity that stands near it in ``least_contexts`` different contexts or more, carries
-    ``least_bits`` of information on it and, among all texts, shares at least ``least_share`` of its
-    texts with it; copies of one context count once. ``share`` is that part for terms, null for entities. Spans of
+    ``least_bits`` of information on it and, among all different texts, shares at least ``least_share`` of its
+    texts with it; copies of a text count once in all these numbers, and copies of one context once as contexts. ``share`` is that part for terms, null for entities. Spans of
     the patterns never change. A null or empty text has none; equal rows get equal spans; all rows
     and other columns stay. A column that is named ``into`` already is replaced.
     """

@@ -127,6 +127,21 @@ def test_terms_that_reveal_an_entity(spark):
     assert "Zephyrine" not in clean and "[email]" in clean and "the" in clean
 
 
+@pytest.mark.parametrize("copies", [1, 10, 1000])
+def test_copied_texts_keep_their_terms(spark, copies):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = [(i, f"{word()} {word()} {word()}") for i in range(400)]
+    told = [f"{word()} Zephyrine {word()} boss@corp.example {word()} {word()}" for _ in range(3)]
+    rows += [(1000 + i, text) for i, text in enumerate(told * copies)]
+    # A word of as many other texts as told ones stays at half its share, however often the told ones are copied.
+    rows += [(900 + i, f"zephyrine {word()}") for i in range(3)]
+    got = privacy.find(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id >= 1000").select(
+        "doc_id", F.filter("spans", lambda s: s["kind"] == "term").alias("terms")).collect()
+    assert len(got) == 3 * copies
+    assert all([(s.value, s.share) for s in r.terms] == [("zephyrine", 0.5)] for r in got)
+
+
 def made_quality(n, seed):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choices("aeinorst", k=rng.randint(1, 9)))
