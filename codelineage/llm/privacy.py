@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and terms that reveal who is meant.
 
-Entities found by the patterns are protected. For every term that stands near an entity the corpus tells how
+Entities found by the patterns are protected. For every term that shares texts with an entity the corpus tells how
 much it gives away: the pointwise mutual information of term and entity, from the different texts in which they stand
 together, those that hold the term and those that hold the entity. Terms above the thresholds are spans of
-their own, to be generalised or removed with the entity. Everything is DataFrame expressions.
+their own wherever they stand, to be generalised or removed with the entity. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.storage import written
 
 # Kinds in order. The quantifiers never give back what they took and a match starts where its run does, which finds the
@@ -91,8 +92,8 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*lists))
 
 
-def _near(rows: DataFrame, reach: int) -> DataFrame:
-    """(row, entity, term, start, end, context) of the words within ``reach`` characters of an entity."""
+def _places(rows: DataFrame, reach: int) -> DataFrame:
+    """(row, entity, start, context, near) of every entity: its surroundings of ``reach`` characters and their words."""
     spans = rows.filter(F.size("spans") > 0).select("row", "text", "spans", F.explode("spans").alias("s"))
     sides = spans.select(
         "row", "spans", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
@@ -109,11 +110,57 @@ def _near(rows: DataFrame, reach: int) -> DataFrame:
     # A word that the edge of the context cuts is no whole word; one that touches an entity is part of it.
     whole = lambda w: ((w["start"] > F.col("left_at")) | (F.col("left_at") == 0)) & (
         (w["end"] < F.col("right_at") + reach) | (F.col("right_at") + reach >= F.col("size")))
-    apart = lambda w: ~F.exists("spans", lambda s: (w["start"] <= s["end"]) & (s["start"] <= w["end"]))
     context = F.xxhash64(F.regexp_replace(F.lower(F.concat("left", F.lit(" "), "right")), r"\s+", " "))
-    return sides.select(
-        "row", "entity", context.alias("context"), F.explode(F.filter(words, lambda w: whole(w) & apart(w))).alias("w"),
-    ).select("row", "entity", "context", "w.term", "w.start", "w.end")
+    near = F.array_distinct(F.transform(F.filter(words, lambda w: whole(w) & _apart(w)), lambda w: w["term"]))
+    return sides.select("row", "entity", F.col("here").alias("start"), context.alias("context"), near.alias("near"))
+
+
+def _apart(word):
+    return ~F.exists("spans", lambda s: (word["start"] <= s["end"]) & (s["start"] <= word["end"]))
+
+
+def _terms(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower)
+
+
+def _free_terms() -> Column:
+    """The different words of a text that touch no entity."""
+    text, start = F.col("text"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    tail = lambda piece: F.regexp_replace(piece, r"^[\p{L}\p{N}]++", "")
+    head = lambda piece: F.regexp_replace(piece, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++\z", "")
+
+    def step(s, span):
+        piece = F.substring(text, s["at"] + 1, span["start"] - s["at"])
+        piece = head(F.when(s["at"] > 0, tail(piece)).otherwise(piece))
+        return F.struct(
+            F.greatest(s["at"], span["end"]).alias("at"),
+            F.when(span["start"] > s["at"], F.concat(s["out"], F.array(piece))).otherwise(s["out"]).alias("out"))
+
+    pieces = F.aggregate("spans", start, step, lambda s: F.concat(
+        s["out"], F.array(tail(F.substring(text, s["at"] + 1, F.length(text))))))
+    return F.array_distinct(F.flatten(F.transform(pieces, _terms)))
+
+
+def _marked() -> Column:
+    """Spans of the words of ``text`` that ``risky`` (term to share) names and that touch no entity."""
+    text, risky = F.col("text"), F.col("risky")
+    found = F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+    gaps = F.split(text, _WORD, -1)
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, value: F.struct(
+        F.length(gap).alias("gap"), F.length(value).alias("size"), F.lower(value).alias("term")))
+    out = "array<struct<start:int,rank:int,end:int,kind:string,value:string,share:double>>"
+
+    def step(s, w):
+        begin = s["at"] + w["gap"]
+        one = F.struct(
+            begin.alias("start"), F.lit(len(KINDS) - 1).alias("rank"), (begin + w["size"]).alias("end"), F.lit("term").alias("kind"),
+            w["term"].alias("value"), F.element_at(risky, w["term"]).alias("share"))
+        return F.struct(
+            (begin + w["size"]).alias("at"),
+            F.when(F.map_contains_key(risky, w["term"]), F.concat(s["out"], F.array(one))).otherwise(s["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(out).alias("out"))
+    return F.filter(F.aggregate(steps, start, step, lambda s: s["out"]), _apart)
 
 
 def _one_of_each(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -124,28 +171,57 @@ def _one_of_each(rows: DataFrame) -> tuple[DataFrame, int]:
     return F.broadcast(firsts) if n <= BROADCAST_ROWS else firsts, n
 
 
-def disclosing_terms(rows: DataFrame, near: DataFrame, least_contexts: int, least_bits: float, least_share: float) -> DataFrame:
+def _held(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """The ``words(row, term)`` that are among ``terms(term, ..)``, with the columns of both."""
+    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    return words.join(F.broadcast(terms), "term") if few else salted_join(words, terms, ["term"], F.col("row"))
+
+
+def _words(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("text").isNotNull()).select("row", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+
+
+def disclosing_terms(rows: DataFrame, reach: int, least_contexts: int, least_bits: float, least_share: float) -> DataFrame:
     """(term, entity, bits, share): terms that give an entity away, by all different texts of ``rows``.
 
     All counts but that of the contexts are of different texts, so ``share`` is at most 1 and copies change nothing.
     """
     firsts, n = _one_of_each(rows)
-    seen = written(near.join(firsts, "row", "left_semi"), "seen")
-    shared = (
-        seen.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("row").alias("n_both"))
-        .filter(F.col("n_contexts") >= least_contexts)
+    own = rows.join(firsts, "row", "left_semi")
+    places = written(_places(own, reach), "places")
+    # Bounds that no pair beyond them can meet: texts of both are no more than those of either.
+    most = n / 2.0 ** least_bits * (1 + 1e-9)
+    entities = written(
+        places.groupBy("entity").agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("row").alias("n_entity"))
+        .filter((F.col("n_contexts") >= least_contexts) & (F.col("n_entity") <= most)).select("entity", "n_entity"), "entities")
+    kept = written(lookup_join(places, entities, ["entity"], F.col("row")), "kept")
+    holders = written(kept.select("row").distinct(), "holders")
+    free = written(
+        lookup_join(own.filter(F.size("spans") > 0), holders, ["row"], None, "left_semi").select("row", _free_terms().alias("terms")), "free")
+    free = free.select("row", F.explode("terms").alias("term"))
+    candidates = written(free.groupBy("term").count().filter(F.col("count") <= most).select("term"), "candidates")
+    of_term = written(
+        _held(_words(own), candidates).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).filter(F.col("n_term") <= most), "terms")
+    # Every word of a text is in it with every entity of the text; a word that is near none of an entity's places has the first's context.
+    first = kept.groupBy("row", "entity", "n_entity").agg(F.min_by("context", "start").alias("first"))
+    pairs = (
+        _held(free, of_term).join(first, "row").filter(F.col("n_term") * least_share <= F.col("n_entity") * (1 + 1e-9))
+        .select("term", "entity", "row", "n_term", "n_entity", "first", F.lit(None).cast("long").alias("context"))
+    )
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    near = kept.select(F.explode("near").alias("term"), "entity", "row", none("long", "n_term"), none("long", "n_entity"), none("long", "first"), "context")
+    both = (
+        pairs.unionByName(near).groupBy("term", "entity", "row")
+        .agg(F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"), F.max("first").alias("first"), F.collect_set("context").alias("near"))
+        .filter(F.col("first").isNotNull())
+        .select("term", "entity", "row", "n_term", "n_entity", F.explode(F.when(F.size("near") > 0, F.col("near")).otherwise(F.array("first"))).alias("context"))
     )
-    shared = written(shared, "shared")
-    terms = shared.select("term").distinct()
-    words = rows.join(firsts, "row", "left_semi").select(
-        F.explode(F.array_distinct(F.split(F.lower("text"), _BETWEEN))).alias("term"))
-    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    held = words.join(F.broadcast(terms) if few else terms, "term", "left_semi")
-    of_term = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entities = seen.groupBy("entity").agg(F.count_distinct("row").alias("n_entity"))
     bits = F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
     return (
-        shared.join(of_term, "term").join(entities, "entity")
+        both.groupBy("term", "entity").agg(
+            F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"),
+            F.count_distinct("context").alias("n_contexts"), F.count_distinct("row").alias("n_both"))
+        .filter(F.col("n_contexts") >= least_contexts)
         .select("term", "entity", bits.alias("bits"), (F.col("n_both") / F.col("n_term")).alias("share"))
         .filter((F.col("bits") >= least_bits) & (F.col("share") >= least_share))
     )
@@ -157,28 +233,31 @@ def find(
 ) -> DataFrame:
     """Add ``into``, the personal data of every row: an array of structs start, rank, end, kind, value, share.
 
-    Positions are code points, end exclusive; spans stand by start, then kind as in KINDS. Kind "term" is a
-    word within ``reach`` characters of an entity that stands near it in ``least_contexts`` different contexts or more, carries
-    ``least_bits`` of information on it and, among all different texts, shares at least ``least_share`` of its
-    texts with it; copies of a text count once in all these numbers, and copies of one context once as contexts. ``share`` is that part for terms, null for entities. Spans of
+    Positions are code points, end exclusive; spans stand by start, then kind as in KINDS. Kind "term" is a word that
+    gives an entity away, wherever it stands in any text without touching an entity: it shares texts with the entity, in
+    ``least_contexts`` different contexts or more, carries ``least_bits`` of information on it and, among all different
+    texts, shares at least ``least_share`` of its texts with it. The contexts of a word are the ``reach`` characters about those places
+    of the entity that it stands within, or about the entity's first place in a text where it stands within none.
+    Copies of a text count once in all these numbers, and copies of one context once as contexts. ``share``
+    is the largest such part for terms, null for entities. Spans of
     the patterns never change. A null or empty text has none; equal rows get equal spans; all rows
     and other columns stay. A column that is named ``into`` already is replaced.
     """
     given = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    rows = written(docs.select(*given, F.col(text).alias("text"), base_spans(F.col(text)).alias("spans")).withColumn(
-        "row", F.monotonically_increasing_id()), "texts")
-    near = written(_near(rows, reach), "near")
-    risky = disclosing_terms(rows, near, least_contexts, least_bits, least_share)
-    added = (
-        near.join(risky, ["term", "entity"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
-        .groupBy("row").agg(F.collect_list(F.struct(
-            "start", F.lit(len(KINDS) - 1).alias("rank"), "end", F.lit("term").alias("kind"), F.col("term").alias("value"), "share")).alias("added"))
-    )
+    names = [c.lower() for c in docs.columns]
+    # The text is written once if it is a column of its own.
+    body = f"c{names.index(text.lower())}" if text.lower() in names else "body"
+    extra = [] if body != "body" else [F.col(text).alias(body)]
+    rows = written(docs.select(*given, *extra, base_spans(F.col(text)).alias("spans")).withColumn(
+        "row", F.monotonically_increasing_id()), "texts").withColumn("text", F.col(body))
+    risky = disclosing_terms(rows, reach, least_contexts, least_bits, least_share)
+    risky = written(risky.groupBy("term").agg(F.max("share").alias("share")), "risky")
+    added = _held(_words(rows), risky).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("risky"))
     named = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"),
         F.lit(None).cast("double").alias("share")))
     joined = rows.join(added, "row", "left")
-    every = F.when(F.col("added").isNull(), named).otherwise(F.array_sort(F.concat(named, "added")))
+    every = F.when(F.col("risky").isNull(), named).otherwise(F.array_sort(F.concat(named, _marked())))
     kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() != into.lower()]
     return joined.select(*kept, every.alias(into))
 

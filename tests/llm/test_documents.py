@@ -142,6 +142,25 @@ def test_copied_texts_keep_their_terms(spark, copies):
     assert all([(s.value, s.share) for s in r.terms] == [("zephyrine", 0.5)] for r in got)
 
 
+def test_terms_are_marked_wherever_they_stand(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    far = lambda: " ".join(word() for _ in range(30))
+    rows = [(i, f"{word()} {word()} {word()}") for i in range(500)]
+    # One name near the address and again far from it, one that always stands far, and one text that has no address.
+    rows += [(1000 + i, f"{word()} Zephyrine {word()} boss@corp.example {far()} Zephyrine {far()} Quixotry, xQuixotry {word()}") for i in range(5)]
+    rows += [(2000, f"{word()} zephyrine {word()}")]
+    # Words far from an address that is copied with its surroundings are of one context.
+    rows += [(3000 + i, f"mail {'x ' * 100} ann@corp.example {'x ' * 100} Lonely {word()}") for i in range(5)]
+    found = privacy.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    got = {r.doc_id: [(texts[r.doc_id][s.start:s.end], s.share) for s in r.spans if s.kind == "term"] for r in found}
+    for i in range(5):
+        assert got.pop(1000 + i) == [("Zephyrine", 5 / 6), ("Zephyrine", 5 / 6), ("Quixotry", 1.0), ("xQuixotry", 1.0)]
+    assert got.pop(2000) == [("zephyrine", 5 / 6)]
+    assert not any(got.values())
+
+
 def made_quality(n, seed):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choices("aeinorst", k=rng.randint(1, 9)))
