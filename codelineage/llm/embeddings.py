@@ -1,6 +1,6 @@
 """Near-duplicate vectors by PCA-ordered tiled comparison.
 
-Unit vectors are rotated to the principal axes of the table and laid in tiles along the first.
+Unit vectors are rotated to the principal axes of all vectors of their length and laid in tiles along the first.
 Every pair of tiles whose first coordinates can belong to near vectors is compared: products of the leading
 coordinates first, with the product of the remaining norms as a bound on the rest, and only pairs that can still
 reach the threshold go on to more coordinates. What passes is decided by the cosine of the original
@@ -58,9 +58,14 @@ def principal_axes(vectors: DataFrame, size: int) -> np.ndarray:
     return np.linalg.eigh(total)[1][:, ::-1].copy()
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    # By a power of two, which rounds nothing, so that products and squares do not overflow.
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def near_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, same: bool):
     """Chunks (i, j) of rows of ``a`` and ``b`` with cosine at the threshold or above; i < j within one tile."""
-    a64, b64 = a.astype(np.float64), b.astype(np.float64)
+    a64, b64 = _scaled(a.astype(np.float64)), _scaled(b.astype(np.float64))
     norms = [np.sqrt((x * x).sum(1)) for x in (a64, b64)]
     ra, rb = _unit(a64) @ axes, _unit(b64) @ axes
     size = ra.shape[1]
@@ -90,12 +95,12 @@ def near_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float,
             yield p[exact >= threshold], q[exact >= threshold]
 
 
-def _tile_rows(batches):
+def _tile_rows(batches, kind):
     """The vectors of one task in tiles along the first axis; a task's vectors come sorted."""
     waiting, n, number = [], 0, 0
 
     def tile(rows):
-        x = np.stack(rows["x"].to_numpy()).astype(np.float32)
+        x = np.stack(rows["x"].to_numpy()).astype(kind)
         return pd.DataFrame({
             "number": [number], "low": [rows["first"].iloc[0]], "high": [rows["first"].iloc[-1]],
             "ids": [rows["id"].to_numpy(np.int64).tobytes()], "copies": [rows["copies"].to_numpy(np.int64).tobytes()],
@@ -113,7 +118,7 @@ def _tile_rows(batches):
         yield tile(pd.concat(waiting))
 
 
-def _tiles(classes: DataFrame, axes: np.ndarray, n: int) -> DataFrame:
+def _tiles(classes: DataFrame, axes: np.ndarray, n: int, kind) -> DataFrame:
     first_axis = axes[:, 0]
 
     @F.pandas_udf("double")
@@ -123,18 +128,18 @@ def _tiles(classes: DataFrame, axes: np.ndarray, n: int) -> DataFrame:
     parts = -(-n // (4 * TILE))
     ordered = classes.withColumn("first", first("x")).repartitionByRange(parts, "first").sortWithinPartitions("first", "id")
     tiles = ordered.mapInPandas(
-        _tile_rows, "number int, low double, high double, ids binary, copies binary, vectors binary")
+        lambda batches: _tile_rows(batches, kind), "number int, low double, high double, ids binary, copies binary, vectors binary")
     return written(tiles, "tiles")
 
 
-def _compared(axes: np.ndarray, threshold: float):
+def _compared(axes: np.ndarray, threshold: float, kind):
     size = len(axes)
 
     def run(pairs: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in pairs.itertuples():
             (a, a_ids, a_copies), (b, b_ids, b_copies) = (
-                (np.frombuffer(v, np.float32).reshape(-1, size), np.frombuffer(i, np.int64), np.frombuffer(c, np.int64))
+                (np.frombuffer(v, kind).reshape(-1, size), np.frombuffer(i, np.int64), np.frombuffer(c, np.int64))
                 for v, i, c in ((row.a_vectors, row.a_ids, row.a_copies), (row.b_vectors, row.b_ids, row.b_copies)))
             same = row.a == row.b
             links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -153,34 +158,10 @@ def _compared(axes: np.ndarray, threshold: float):
     return run
 
 
-def near_duplicates(
-    rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9
-) -> DataFrame:
-    """(key, n_links, component) of every row: how many other rows it links with, and the smallest key reachable.
-
-    Two rows link if the cosine of their vectors in double precision is ``threshold`` or more; no link is
-    left out. Vectors that are null, empty or zero, that hold null or non-finite components, or that are not of the
-    commonest length link with nothing, nor do rows with a null key; their component is their own
-    key. Equal vectors are compared once and counted as often as they occur. Other columns are
-    not read. The number of tile pairs grows with the square of the tiles that the first axis cannot part.
-    """
-    if not 0 < threshold <= 1:
-        raise ValueError("threshold: must lie above 0, at most 1")
-    x = F.transform(vector, lambda c: c.cast("float"))
-    finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    nonzero = F.exists("x", lambda c: c != 0)
-    usable = F.col(key).isNotNull() & F.col("x").isNotNull() & F.coalesce(finite & nonzero, F.lit(False))
-    given = rows.select(F.col(key).alias("id"), x.alias("x"))
-    good = given.filter(usable)
-    sizes = good.groupBy(F.size("x").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    if sizes is None:
-        return given.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    size = sizes["size"]
-    good = good.filter(F.size("x") == size)
-    classes = written(
-        good.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+def _near(classes: DataFrame, size: int, n: int, threshold: float, kind) -> DataFrame:
+    """(id, other, links) of the near vectors among ``classes(x, id, copies)`` of one length, which stand for ``n`` rows."""
     axes = principal_axes(classes.select("x"), size)
-    tiles = _tiles(classes, axes, sizes["count"])
+    tiles = _tiles(classes, axes, n, kind)
 
     # One narrow row a tile goes through the window that numbers them.
     tiles = tiles.withColumn("name", F.md5("ids"))
@@ -196,9 +177,49 @@ def near_duplicates(
     )
     whole = tiles.join(numbered.select("name", "tile"), "name")
     side = lambda s: whole.select(F.col("tile").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("ids", "copies", "vectors")])
-    found = written(
+    return written(
         pairs.join(side("a"), "a").join(side("b"), "b").groupBy("a", "b")
-        .applyInPandas(_compared(axes, threshold), "id long, other long, links long"), "near")
+        .applyInPandas(_compared(axes, threshold, kind), "id long, other long, links long"), "near")
+
+
+def near_duplicates(
+    rows: DataFrame, *, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, every_length: bool = False
+) -> DataFrame:
+    """(key, n_links, component) of every row: how many other rows it links with, and the smallest key reachable.
+
+    Two rows link if the cosine of their vectors in double precision is ``threshold`` or more; no link is
+    left out. Vectors of different lengths never link, and those of another length than the commonest link with each other
+    only with ``every_length``. Vectors that are null, empty or zero, or that hold null or
+    non-finite components link with nothing, nor do rows with a null key; their component is their own
+    key. Equal vectors are compared once and counted as often as they occur. Other columns are
+    not read. The number of tile pairs grows with the square of the tiles that the first axis cannot part.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold: must lie above 0, at most 1")
+    # Components keep their precision: float as it is, all others as double.
+    single = rows.select(F.col(vector).alias("x")).schema["x"].dataType.elementType.simpleString() == "float"
+    x = F.transform(vector, lambda c: c.cast("float" if single else "double"))
+    finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    nonzero = F.exists("x", lambda c: c != 0)
+    usable = F.col(key).isNotNull() & F.col("x").isNotNull() & F.coalesce(finite & nonzero, F.lit(False))
+    given = rows.select(F.col(key).alias("id"), x.alias("x"))
+    good = given.filter(usable)
+    classes = written(
+        good.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    length = F.size("x")
+    sizes = classes.groupBy(length.alias("size")).agg(F.count(F.lit(1)).alias("different"), F.sum("copies").alias("n")).orderBy("size").collect()
+    if not sizes:
+        return given.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    if not every_length:
+        sizes = [max(sizes, key=lambda row: (row["n"], -row["size"]))]
+        usable &= length == sizes[0]["size"]
+        classes = classes.filter(length == sizes[0]["size"])
+    # A length with one vector has nothing to compare.
+    found = classes.sparkSession.createDataFrame([], "id long, other long, links long")
+    for row in sizes:
+        if row["different"] > 1:
+            of_size = classes.filter(length == row["size"])
+            found = found.unionByName(_near(of_size, row["size"], row["n"], threshold, np.float32 if single else np.float64))
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.filter("links = 0").select(F.col("id").alias("u"), F.col("other").alias("v")))
@@ -207,5 +228,5 @@ def near_duplicates(
         .select("x", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     )
     linked = given.filter(usable).join(of_class, "x").select("id", "n_links", "component")
-    alone = given.filter(~usable | (F.size("x") != size)).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    alone = given.filter(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone).select(F.col("id").alias(key), "n_links", "component")

@@ -86,7 +86,7 @@ def op8(spark, sf_dir):
 
 @query("op3_embeddings", oracles.EMBEDDINGS)
 def op3(spark, sf_dir):
-    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), every_length=True)
     return found.select(
         "vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
 

@@ -102,6 +102,16 @@ def test_embeddings(spark, monkeypatch, tile):
     assert max(n for n, _ in want.values()) > 30
 
 
+def test_embeddings_of_every_length_in_double_precision(spark):
+    turned = lambda c: [c, (1 - c * c) ** 0.5]
+    rows = [(1, [1.0, 0.0]), (2, turned(0.9 + 1e-9)), (3, [1.0, 0.0, 0.0]), (4, [*turned(0.9 - 1e-9), 0.0])]
+    rows += [(5, [1e300, 0.0, 0.0, 0.0]), (6, [2e300, 1e299, 0.0, 0.0]), (7, [1.0] * 5), (8, [1.0] * 6), (9, [1.0] * 6), (10, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component) for r in embeddings.near_duplicates(df, every_length=True).collect()}
+    linked = {1: 1, 2: 1, 5: 5, 6: 5, 8: 8, 9: 8}
+    assert got == {i: (1, linked[i]) if i in linked else (0, i) for i, _ in rows}
+
+
 def test_no_usable_embeddings(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, embeddings.near_duplicates(df).collect())) == [(1, 0, 1), (2, 0, 2)]
