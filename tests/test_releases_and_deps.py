@@ -87,11 +87,18 @@ def test_summary(spark):
 def test_the_ten_most_important_dependencies(spark, count, by_priority):
     names = list(dims.KNOWN_PACKAGES)[:count][::-1]
     rows = files(spark, [("o/r", "v1", "requirements.txt", "\n".join(names))])
-    got = deps.selected(deps.dependencies(rows, dims.known_packages(spark))).orderBy("dep_rank").collect()
+    got = deps.selected(deps.dependencies(rows, dims.known_packages(spark)), 10).orderBy("dep_rank").collect()
     want = names[::-1][:10] if by_priority else names
     assert [r.name for r in got] == want and [r.dep_rank for r in got] == list(range(1, 11))
 
 
+def test_without_a_limit_all_dependencies_by_mention(spark):
+    names = list(dims.KNOWN_PACKAGES)[:30][::-1]
+    rows = files(spark, [("o/r", "v1", "requirements.txt", "\n".join(names))])
+    got = deps.selected(deps.dependencies(rows, dims.known_packages(spark))).orderBy("dep_rank").collect()
+    assert [(r.name, r.dep_rank) for r in got] == [(n, i) for i, n in enumerate(names, 1)]
+
+
 def test_aliases_of_one_repository(spark):
     rows = deps.dependencies(files(spark, [("o/r", "v1", "requirements.txt", "pytorch\ntorch\njax")]), dims.known_packages(spark))
     assert [r.github_repo for r in deps.selected(rows).orderBy("dep_rank").collect()] == ["pytorch/pytorch", "pytorch/pytorch", "google/jax"]
