@@ -51,3 +51,70 @@ EMBEDDINGS = """
     counted AS (SELECT u, count(*) AS n FROM links GROUP BY u)
     SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(v, vec_id)) AS component_id, least(vec_id, coalesce(v, vec_id)) = vec_id AS kept
     FROM embeddings e LEFT JOIN counted c ON c.u = e.vec_id LEFT JOIN least m ON m.u = e.vec_id"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bytes_ = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    bits = "list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda s, b: {bits}), CAST(4294967295 AS BIGINT))"
+
+
+# Costs and edits of the rest of a conversation from its last row to its first, for the four places in the role pattern
+# (0 nothing yet, 1 after system, 2 after user, 3 after assistant): structs of cost, audit and repaired turns.
+_WAY = "{{'cost': {}, 'audit': {}, 'said': {}}}"
+_NONE = _WAY.format("CAST(1000000000 AS BIGINT)", "''", "CAST([] AS VARCHAR[])")
+
+
+def _way(cost: str, letter: str, then: str, said: str = "") -> str:
+    rest = f"list_prepend({said}, {then}.said)" if said else f"{then}.said"
+    return _WAY.format(f"{then}.cost + {cost}", f"'{letter}' || {then}.audit", rest)
+
+
+def _consumed(place: int) -> str:
+    extra = "CASE WHEN fault = 3 THEN 3 ELSE 0 END"
+    after, name = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}[place]
+    keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[place]
+    kept = " ".join(f"WHEN initial = '{i}' THEN {_way(extra, 'K', f'g{p}', 'own')}" for i, p in keeps.items())
+    return f"""least({_way('4', 'D', f'g{place}')},
+        CASE WHEN fault IN (1, 2) THEN {_NONE} ELSE {_way(f'3 + {extra}', 'R', f'g{after}', f"'{name}:' || text")} END,
+        CASE WHEN fault IN (1, 2) THEN {_NONE} {kept} ELSE {_NONE} END)"""
+
+
+_USER, _ASSISTANT = "'user:'", "'assistant:'"
+REPAIR = rf"""
+    WITH RECURSIVE given AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fate FROM conversations),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+               CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM given, range(CASE WHEN fate = 3 THEN 2 ELSE 1 END) WHERE fate <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged),
+    judged AS (
+        SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, role || ':' || text AS own,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS two, lead(i) OVER (PARTITION BY conv_id ORDER BY i) IS NULL AS last,
+               CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1
+                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 3 ELSE 0 END AS fault
+        FROM placed),
+    rest(conv_id, i, g0, g1, g2, g3) AS (
+        SELECT conv_id, max(i) + 1, {_WAY.format('CAST(0 AS BIGINT)', "''", 'CAST([] AS VARCHAR[])')}, {_WAY.format('CAST(6 AS BIGINT)', "'II'", f'[{_USER}, {_ASSISTANT}]')},
+               {_WAY.format('CAST(3 AS BIGINT)', "'I'", f'[{_ASSISTANT}]')}, {_WAY.format('CAST(0 AS BIGINT)', "''", 'CAST([] AS VARCHAR[])')}
+        FROM judged GROUP BY conv_id
+        UNION ALL
+        SELECT conv_id, i, least(c0, {_way('3', 'I', 'd2', _USER)}), least(c1, {_way('3', 'I', 'd2', _USER)}), d2, d3
+        FROM (SELECT *, least(c2, {_way('3', 'I', 'c3', _ASSISTANT)}) AS d2, least(c3, {_way('3', 'I', 'c2', _USER)}) AS d3
+              FROM (SELECT r.conv_id, j.i, {_consumed(0)} AS c0, {_consumed(1)} AS c1, {_consumed(2)} AS c2, {_consumed(3)} AS c3
+                    FROM rest r JOIN judged j ON j.conv_id IS NOT DISTINCT FROM r.conv_id AND j.i = r.i - 1))),
+    counted AS (
+        SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+               count_if(fault = 1) AS blank, count_if(fault = 2) AS duplicate, count_if(fault = 3) AS truncated,
+               count_if(two NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv_id),
+    done AS (SELECT conv_id, g0.cost AS cost, g0.audit AS audit, array_to_string(g0.said, chr(10)) AS said FROM rest WHERE i = 1)
+    SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+           CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id"""

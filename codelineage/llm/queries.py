@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, secrets, simhash, substrings
+from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, repair, secrets, simhash, substrings
 from codelineage.llm.packing import pack
 
 QUERIES = {}
@@ -117,3 +117,29 @@ def op10(spark, sf_dir):
     return found.select(
         "doc_id", *[counted("spans", kind) for kind in privacy.KINDS[:4]],
         F.sha2(privacy.listed(base), 256).alias("base_sha256"), privacy.listed(F.col("spans")).alias("spans"))
+
+
+def crc32_of(text):
+    return F.crc32(text.cast("binary"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) with the faults that the contract plants; nulls in its key, role and text stand for one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = crc32_of(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    rows = rows.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), fate.alias("fate")).filter("fate <> 0")
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fate") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+@query("op11_repair", oracles.REPAIR)
+def op11(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.audited(damaged(rows))
+    ids = rows.select(F.col("conv_id").alias("given")).distinct()
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return ids.join(found, F.col("given").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("given").alias("conv_id"), *[F.coalesce(c, none.get(c, F.lit(0).cast("long"))).alias(c)
+                                           for c in (*repair.FAULTS, "audit", "repaired_sha256")])
