@@ -94,9 +94,11 @@ REPAIR = rf"""
     judged AS (
         SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, role || ':' || text AS own,
                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS two, lead(i) OVER (PARTITION BY conv_id ORDER BY i) IS NULL AS last,
-               CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1
+               CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1
                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
-                    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 3 ELSE 0 END AS fault
+                    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 3 ELSE 0 END AS fault
         FROM placed),
     rest(conv_id, i, g0, g1, g2, g3) AS (
         SELECT conv_id, max(i) + 1, {_WAY.format('CAST(0 AS BIGINT)', "''", 'CAST([] AS VARCHAR[])')}, {_WAY.format('CAST(6 AS BIGINT)', "'II'", f'[{_USER}, {_ASSISTANT}]')},
@@ -118,3 +120,32 @@ REPAIR = rf"""
            coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
     FROM (SELECT DISTINCT conv_id FROM conversations) a
     LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+TRIE = f"""
+    WITH numbered AS (
+        SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS head FROM (SELECT DISTINCT conv_id FROM numbered)),
+    lengths AS (SELECT conv_id, count(*) AS n FROM numbered GROUP BY conv_id),
+    rebuilt AS (
+        SELECT c.conv_id, place, said FROM convs c JOIN numbered n ON n.conv_id = c.base AND place <= head
+        UNION ALL
+        SELECT c.conv_id, place - head + least(head, coalesce(l.n, 0)), said FROM convs c JOIN numbered n USING (conv_id) LEFT JOIN lengths l ON l.conv_id = c.base WHERE place > head),
+    prefixes AS (
+        SELECT conv_id, 0 AS depth, [] AS prefix, '' AS last_text FROM convs
+        UNION ALL
+        SELECT conv_id, place, list(said) OVER (PARTITION BY conv_id ORDER BY place), said.text FROM rebuilt),
+    members AS (SELECT conv_id, depth, last_text, min(conv_id) OVER (PARTITION BY depth, prefix) AS node, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes),
+    nodes AS (
+        SELECT node, depth, count(*) AS n_convs, (count(*) - 1) * max(strlen(last_text)) AS saved,
+               sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+        FROM members GROUP BY node, depth),
+    children AS (SELECT p.node, p.depth, count(*) AS n FROM nodes n JOIN members p ON p.conv_id = n.node AND p.depth = n.depth - 1 GROUP BY ALL),
+    totals AS (
+        SELECT m.node, m.depth, count_if(c.n IS NULL) AS n_leaves, sum(n.saved) AS saved
+        FROM nodes n LEFT JOIN children c USING (node, depth) JOIN members m ON m.conv_id = n.node AND m.depth <= n.depth GROUP BY ALL)
+    SELECT n.node AS conv_id, CAST(n.depth AS BIGINT) AS depth, p.node AS parent_conv_id, n.n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+           CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, ends_sha256
+    FROM nodes n JOIN totals t USING (node, depth) LEFT JOIN children c USING (node, depth)
+    LEFT JOIN members p ON p.conv_id = n.node AND p.depth = n.depth - 1"""

@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, repair, secrets, simhash, substrings
+from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, repair, secrets, simhash, substrings, trie
 from codelineage.llm.packing import pack
+from codelineage.operators.joins import lookup_join
+from codelineage.operators.ordered import with_order
+from codelineage.storage import written
 
 QUERIES = {}
 ORACLES = {}
@@ -143,3 +146,41 @@ def op11(spark, sf_dir):
     return ids.join(found, F.col("given").eqNullSafe(F.col("conv_id")), "left").select(
         F.col("given").alias("conv_id"), *[F.coalesce(c, none.get(c, F.lit(0).cast("long"))).alias(c)
                                            for c in (*repair.FAULTS, "audit", "repaired_sha256")])
+
+
+# Turns that a rebuilt conversation takes from another, and conversations that take them from one, at most.
+HEAD, SHARED = 8, 5
+
+
+def rebuilt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, keys) for the trie: conversations whose first turns are those of the first of every five.
+
+    Turns in the order of ``turn`` (null first), then MD5 of role and text; rows without conv_id take no part.
+    """
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    content = F.unhex(F.md5(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text)))
+    rows = rows.filter("conv_id IS NOT NULL").select(
+        F.col("conv_id").alias("key"), F.col("turn").isNotNull().alias("known"), F.coalesce("turn", F.lit(0)).alias("at"),
+        content.alias("content"), F.octet_length(text).cast("long").alias("size"))
+    # Read twice below, so that its numbers are settled first.
+    numbered = written(
+        with_order(rows, ["key"], ["known", "at", "content"], number="place").select("key", "content", "size", F.col("place").cast("long").alias("place")), "turns")
+    base, head = F.col("key") - F.col("key") % SHARED, crc32_of(F.col("key").cast("string")) % (HEAD + 1)
+    keys = numbered.select("key").distinct()
+    tops = numbered.filter((F.col("place") <= HEAD) & (F.col("key") == base)).withColumnRenamed("key", "base")
+    theirs = keys.select("key", base.alias("base"), head.alias("head")).join(tops, "base").filter("place <= head")
+    lengths = tops.groupBy("base").agg(F.count(F.lit(1)).alias("length"))
+    own = numbered.withColumns({"base": base, "head": head}).filter("place > head")
+    own = lookup_join(own, lengths, ["base"], F.col("place"), "left")
+    taken = F.least("head", F.coalesce("length", F.lit(0)))
+    items = theirs.select("key", F.col("place").alias("position"), "content", "size").unionByName(
+        own.select("key", (F.col("place") - F.col("head") + taken).alias("position"), "content", "size"))
+    return items, keys
+
+
+@query("op13_trie", oracles.TRIE)
+def op13(spark, sf_dir):
+    found = trie.prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))
+    return found.select(
+        F.col("key").alias("conv_id"), "depth", F.col("parent_key").alias("parent_conv_id"), F.col("n_keys").alias("n_convs"), "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256")
