@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codelineage.llm import contamination, embeddings, oracles, pages, passages, privacy, quality, repair, secrets, simhash, substrings, trie
+from codelineage.llm import contamination, embeddings, neighbours, oracles, pages, passages, privacy, quality, repair, secrets, simhash, substrings, trie
 from codelineage.llm.packing import pack
 from codelineage.operators.joins import lookup_join
 from codelineage.operators.ordered import with_order
@@ -148,6 +148,12 @@ def op11(spark, sf_dir):
                                            for c in (*repair.FAULTS, "audit", "repaired_sha256")])
 
 
+@query("op12_neighbours")
+def op12(spark, sf_dir):
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+
+
 # Turns that a rebuilt conversation takes from another, and conversations that take them from one, at most.
 HEAD, SHARED = 8, 5
 

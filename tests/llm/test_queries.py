@@ -42,7 +42,7 @@ def rows(spark, name):
 def test_all_are_bound():
     bound = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(bound)
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
