@@ -4,18 +4,20 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SUBSTRINGS = """
-    WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-    bytes AS (SELECT doc_id, h, length(h) // 2 AS n FROM docs),
-    places AS (SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS w FROM (SELECT doc_id, h, unnest(range(1, n - 48)) AS i FROM bytes WHERE n >= 50)),
-    firsts AS (SELECT w, min(doc_id) AS first FROM places GROUP BY w HAVING count(*) > 1),
-    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM places JOIN firsts USING (w) WHERE first < doc_id),
-    kept AS (SELECT doc_id, h, i, g.i IS NOT NULL AS gone FROM (SELECT doc_id, h, unnest(range(1, n + 1)) AS i FROM bytes) LEFT JOIN gone g USING (doc_id, i)),
-    spans AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM kept),
-    done AS (SELECT doc_id, count_if(gone) AS n_removed, count_if(begins) AS n_spans,
-                    coalesce(string_agg(CASE WHEN NOT gone THEN substr(h, 2 * i - 1, 2) END, '' ORDER BY i), '') AS left_over FROM spans GROUP BY doc_id)
+    WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+    blocks AS (SELECT doc_id, s, n, substr(h, 2 * s + 1, 698) AS h FROM (SELECT *, unnest(range(0, n - 49, 300)) AS s FROM docs WHERE n >= 50)),
+    places AS (SELECT doc_id, s + i AS i, substr(h, 2 * i - 1, 100) AS w FROM (SELECT *, unnest(range(1, least(300, n - 49 - s) + 1)) AS i FROM blocks)),
+    firsts AS (SELECT w, min(doc_id) AS first FROM places GROUP BY w HAVING min(doc_id) < max(doc_id)),
+    hits AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS begins FROM places JOIN firsts USING (w) WHERE first < doc_id),
+    numbered AS (SELECT doc_id, i, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+    runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 49 AS b FROM numbered GROUP BY doc_id, run),
+    gaps AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS last FROM runs),
+    cut AS (SELECT doc_id, sum(b - a + 1) AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(h, 2 * last + 1, 2 * (a - 1 - last)), '' ORDER BY run) || substr(any_value(h), 2 * max(b) + 1) AS left_over
+            FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
     SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-           sha256(unhex(coalesce(left_over, ''))) AS kept_sha256
-    FROM bytes LEFT JOIN done USING (doc_id)"""
+           sha256(unhex(coalesce(left_over, h))) AS kept_sha256
+    FROM docs LEFT JOIN cut USING (doc_id)"""
 
 PASSAGES = r"""
     WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),

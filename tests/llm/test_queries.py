@@ -18,8 +18,6 @@ from check import TABLES, rows_of
 from codelineage.llm import queries, secrets
 
 FOLDER = "/root/testdata/sf0.001"
-# The quickest scale of this counterpart still takes minutes in SQL.
-SLOW = {"op2_substrings"}
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +44,7 @@ def test_all_are_bound():
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, db, name):
     df = queries.QUERIES[name](spark, FOLDER)
     cursor = db.execute(queries.ORACLES[name])
