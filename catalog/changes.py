@@ -39,18 +39,72 @@ def c3(x):
     return diff.changed_files(pairs3(x), x.raw()).select(*PAIR, "path", "old_path", "change_type")
 
 
-@query("c3_near_renames", """
-    SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r WHERE change_type IN ('modified', 'renamed')
-    UNION ALL
-    SELECT repo, from_version, to_version, path, NULL, change_type FROM fx_loose WHERE NOT near
-    UNION ALL
-    SELECT repo, from_version, to_version, max(CASE WHEN change_type = 'added' THEN path END),
-           max(CASE WHEN change_type = 'deleted' THEN path END), 'renamed' FROM fx_loose WHERE near GROUP BY repo, from_version, to_version, doc_id""")
+def near_sql(loose: str, threshold: float, rounds: int = 8) -> str:
+    """CTEs up to ``near`` (pair, old_path, new_path): all contents of a pair compared by all lines, the best couples first."""
+    pair = "repo, from_version, to_version"
+    ctes = [f"""
+    loose AS MATERIALIZED (SELECT {pair}, path, is_old, md5(content) AS sha, content,
+        row_number() OVER (PARTITION BY {pair}, is_old, md5(content) ORDER BY path) AS place FROM {loose}),
+    pieces AS (SELECT sha, string_split(content, chr(10)) AS parts FROM (SELECT DISTINCT sha, content FROM loose)),
+    lines AS MATERIALIZED (
+        SELECT sha, line, count(*) AS n, strlen(line) AS size FROM (
+            SELECT sha, unnest(list_transform(parts[:-2], lambda x: x || chr(10)) || CASE WHEN parts[-1] = '' THEN [] ELSE [parts[-1]] END) AS line FROM pieces)
+        GROUP BY sha, line),
+    totals AS (SELECT sha, sum(n * size) AS total FROM lines GROUP BY sha),
+    contents AS MATERIALIZED (SELECT {pair}, is_old, sha, min(path) AS first, count(*) AS n FROM loose GROUP BY ALL),
+    shared AS (
+        SELECT a.repo, a.from_version, a.to_version, a.sha AS a, b.sha AS b, sum(least(x.n, y.n) * x.size) AS shared
+        FROM contents a JOIN contents b ON a.is_old AND NOT b.is_old AND a.repo = b.repo AND a.from_version = b.from_version
+        JOIN lines x ON x.sha = a.sha JOIN lines y ON y.sha = b.sha AND y.line = x.line GROUP BY ALL),
+    open0 AS MATERIALIZED (
+        SELECT s.repo, s.from_version, s.to_version, s.a, s.b, shared / greatest(t.total, u.total) AS score, a.first AS fa, b.first AS fb,
+               a.n AS la, b.n AS lb, 0 AS ua, 0 AS ub
+        FROM shared s JOIN totals t ON t.sha = s.a JOIN totals u ON u.sha = s.b
+        JOIN contents a ON a.is_old AND a.sha = s.a AND a.repo = s.repo AND a.from_version = s.from_version
+        JOIN contents b ON NOT b.is_old AND b.sha = s.b AND b.repo = s.repo AND b.from_version = s.from_version
+        WHERE shared >= greatest(t.total, u.total) * {threshold})"""]
+    for i in range(rounds):
+        ctes.append(f"""
+    best{i} AS MATERIALIZED (
+        SELECT *, least(la, lb) AS taken FROM open{i}
+        QUALIFY row_number() OVER (PARTITION BY {pair}, a ORDER BY score DESC, fa, fb) = 1 AND row_number() OVER (PARTITION BY {pair}, b ORDER BY score DESC, fa, fb) = 1),
+    open{i + 1} AS MATERIALIZED (
+        SELECT o.repo, o.from_version, o.to_version, o.a, o.b, o.score, o.fa, o.fb, o.la - coalesce(x.taken, 0) AS la, o.lb - coalesce(y.taken, 0) AS lb,
+               o.ua + coalesce(x.taken, 0) AS ua, o.ub + coalesce(y.taken, 0) AS ub
+        FROM open{i} o LEFT JOIN best{i} x ON x.repo = o.repo AND x.from_version = o.from_version AND x.a = o.a
+        LEFT JOIN best{i} y ON y.repo = o.repo AND y.from_version = o.from_version AND y.b = o.b
+        WHERE o.la > coalesce(x.taken, 0) AND o.lb > coalesce(y.taken, 0))""")
+    best = " UNION ALL ".join(f"SELECT * FROM best{i}" for i in range(rounds))
+    ctes.append(f"""
+    near AS MATERIALIZED (
+        SELECT m.repo, m.from_version, m.to_version, o.path AS old_path, n.path AS new_path FROM ({best}) m
+        JOIN loose o ON o.is_old AND o.repo = m.repo AND o.from_version = m.from_version AND o.sha = m.a AND o.place > ua AND o.place <= ua + taken
+        JOIN loose n ON NOT n.is_old AND n.repo = m.repo AND n.from_version = m.from_version AND n.sha = m.b AND n.place = o.place - ua + ub)""")
+    return "WITH " + ",".join(ctes)
+
+
+NEAR_ROWS = """
+    SELECT repo, from_version, to_version, path, NULL AS old_path, CASE WHEN is_old THEN 'deleted' ELSE 'added' END AS change_type FROM loose l
+    WHERE NOT EXISTS (SELECT 1 FROM near m WHERE m.repo = l.repo AND m.from_version = l.from_version AND (CASE WHEN l.is_old THEN m.old_path ELSE m.new_path END) = l.path)
+    UNION ALL SELECT repo, from_version, to_version, new_path, old_path, 'renamed' FROM near"""
+
+
+@query("c3_near_renames", near_sql("fx_loose", 0.5) + NEAR_ROWS + """
+    UNION ALL SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r WHERE change_type IN ('modified', 'renamed')""")
 def c3_near(x):
     rows = diff.changed_files(pairs3(x), table3(x), near_threshold=0.5)
     return rows.select(*PAIR, "path", "old_path", "change_type")
 
 
+@query("c3_moved_and_edited", near_sql("fx_moved_loose", 0.7) + NEAR_ROWS + """
+    UNION ALL SELECT repo, from_version, to_version, path, NULL, 'modified' FROM fx_moved_changes WHERE old_content IS NOT NULL AND new_content IS NOT NULL""")
+def c3_moved(x):
+    """Every file moved, renamed or edited, many of one name; exact and near renames in one matching."""
+    files = written(x.moved(), "moved")
+    changes = written(diff.path_changes(pairs3(x), files).withColumn("old_path", F.lit(None).cast("string")), "changes")
+    return diff.near_renames(changes, files, 0.7).select(*PAIR, "path", "old_path", "change_type")
+
+
 @query("c8_changed_files", """
     SELECT p.repo, p.from_version, p.to_version, f.path, 'added' AS change_type FROM fx_pairs3 p JOIN fx_files f ON f.repo = p.repo AND f.version = p.to_version
     WHERE NOT EXISTS (SELECT 1 FROM fx_files o WHERE o.repo = p.repo AND o.version = p.from_version AND o.path = f.path)
@@ -107,7 +161,8 @@ def d7(x):
 @query("d8_unified_text", """
     SELECT repo, from_version, to_version, md5(string_agg(diff_content, chr(10) ORDER BY file_path)) AS text_md5 FROM fx_diffs GROUP BY ALL""")
 def d8(x):
-    return render.unified_text(diffs3(x)).select(*PAIR, F.md5("unified_diff").alias("text_md5"))
+    parts = render.unified_text(diffs3(x), 1024)
+    return rejoined(parts, PAIR, "unified_diff").select(*PAIR, F.md5("unified_diff").alias("text_md5"))
 
 
 @query("f2_diffs_by_path", """
@@ -161,7 +216,16 @@ def i2(x):
         "input_tokens_approx", "output_tokens_approx")
 
 
-def fingerprints(examples):
+def rejoined(rows, keys, text, *others):
+    """Whole texts of rows in parts."""
+    return rows.groupBy(*keys).agg(render.joined(text, "part_no", "").alias(text), *[F.max(c).alias(c) for c in others])
+
+
+def fingerprints(records):
+    key = ["repo_name", "from_version", "to_version"]
+    examples = records.groupBy(*key).agg(
+        *[render.joined(c, "part_no", "").alias(c) for c in ("input_text", "output_text")],
+        *[F.max(c).alias(c) for c in ("input_tokens_approx", "output_tokens_approx", "num_files_in_codebase", "num_files_changed", "num_dependencies")])
     return examples.select(
         "repo_name", "from_version", "to_version", F.md5("input_text").alias("input_md5"), F.md5("output_text").alias("output_md5"),
         "input_tokens_approx", "output_tokens_approx", "num_files_in_codebase", "num_files_changed", "num_dependencies")
@@ -194,7 +258,7 @@ def whole(x):
 
 @query("i5_dataset", EXAMPLES_SQL)
 def i5(x):
-    built = build_dataset(x.releases3(), whole(x), CREATED, known_packages=x.known_packages())
+    built = build_dataset(x.releases3(), whole(x), CREATED, Settings(max_cell_bytes=1024), known_packages=x.known_packages())
     return fingerprints(built.examples)
 
 

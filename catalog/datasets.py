@@ -9,10 +9,10 @@ from catalog.registry import query
 from codelineage.functions import text
 from codelineage.operators import examples as ops
 from codelineage.operators import stats
-from codelineage.operators.render import cell_texts
+from codelineage.operators.render import joined, text_parts
 from codelineage.schemas import EXAMPLE_COLUMNS
 from codelineage.sources import sinks
-from codelineage.sources.tables import read_examples
+from codelineage.sources.tables import read_records
 from codelineage.storage import fresh_path
 
 EX = "fx_examples"
@@ -105,8 +105,8 @@ def i6_conversations(x):
     message = F.concat("role", F.lit(":"), F.md5("text"))
     turns = x.table("conversations")
     counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
-    texts = cell_texts(turns.withColumn("piece", message), ["conv_id"], ["turn"], "|")
-    return counts.join(texts.withColumnRenamed("body", "messages"), "conv_id")
+    texts = text_parts(turns.withColumn("piece", message), ["conv_id"], ["turn"], separator="|")
+    return counts.join(texts.select("conv_id", F.col("text").alias("messages")), "conv_id")
 
 
 @query("i7_column_order", f"SELECT from_version, '{','.join(EXAMPLE_COLUMNS)}' AS column_names FROM {EX}")
@@ -115,38 +115,53 @@ def i7(x):
     return rows.select("from_version", F.lit(",".join(rows.columns)).alias("column_names"))
 
 
+EXAMPLE = ["repo_name", "from_version", "to_version"]
+
+
+def whole_texts(records):
+    """Examples of the records that a sink has written."""
+    return records.groupBy(*EXAMPLE).agg(
+        *[joined(c, "part_no", "").alias(c) for c in ("input_text", "output_text")],
+        *[F.max(c).alias(c) for c in ("input_tokens_approx", "num_dependencies")])
+
+
+def chat_texts(x, path):
+    """(example, roles, input_text, output_text, output_tokens_approx) of the chat records under ``path``."""
+    rows = x.spark.read.schema(ops.chat_examples(x.records()).schema).json(path)
+    text_of = lambda i: F.col("messages")[i]["content"]
+    rows = rows.select("metadata.*", "part_no", F.size("messages").alias("roles"), text_of(1).alias("input_text"), text_of(2).alias("output_text"))
+    return rows.groupBy(*EXAMPLE).agg(
+        *[joined(c, "part_no", "").alias(c) for c in ("input_text", "output_text")], F.max("roles").alias("messages"), F.max("output_tokens_approx").alias("output_tokens_approx"))
+
+
 READ_BACK = f"SELECT repo_name, from_version, to_version, md5(input_text) AS input_md5, md5(output_text) AS output_md5, input_tokens_approx, num_dependencies FROM {EX}"
 
 
 def read_back(rows):
-    return rows.select("repo_name", "from_version", "to_version", F.md5("input_text").alias("input_md5"),
+    return whole_texts(rows).select("repo_name", "from_version", "to_version", F.md5("input_text").alias("input_md5"),
                        F.md5("output_text").alias("output_md5"), "input_tokens_approx", "num_dependencies")
 
 
 @query("i8_jsonl_sink", READ_BACK)
 def i8(x):
     path = fresh_path(x.spark, "jsonl") + ".jsonl"
-    sinks.save_examples_jsonl(x.examples(), path)
-    return read_back(read_examples(x.spark, path))
+    sinks.save_examples_jsonl(x.records(), path)
+    return read_back(read_records(x.spark, path))
 
 
 @query("i9_chat_sink", f"SELECT repo_name, from_version, 3 AS messages, md5(input_text) AS user_md5, md5(output_text) AS assistant_md5, output_tokens_approx FROM {EX}")
 def i9(x):
     path = fresh_path(x.spark, "chat")
-    sinks.save_examples_chat_jsonl(x.examples(), path)
-    schema = ops.chat_examples(x.examples()).schema
-    rows = x.spark.read.schema(schema).json(path)
-    return rows.select(
-        "metadata.repo_name", "metadata.from_version", F.size("messages").alias("messages"),
-        F.md5(F.col("messages")[1]["content"]).alias("user_md5"), F.md5(F.col("messages")[2]["content"]).alias("assistant_md5"),
-        "metadata.output_tokens_approx")
+    sinks.save_examples_chat_jsonl(x.records(), path)
+    return chat_texts(x, path).select(
+        "repo_name", "from_version", "messages", F.md5("input_text").alias("user_md5"), F.md5("output_text").alias("assistant_md5"), "output_tokens_approx")
 
 
 @query("i10_parquet_sink", READ_BACK)
 def i10(x):
     path = fresh_path(x.spark, "out") + ".parquet"
-    sinks.save_examples_parquet(x.examples(), path)
-    return read_back(read_examples(x.spark, path))
+    sinks.save_examples_parquet(x.records(), path)
+    return read_back(read_records(x.spark, path))
 
 
 MEAN = "CAST({c}_mean AS DOUBLE)"
@@ -239,15 +254,13 @@ WRITTEN_SQL = f"SELECT '{{kind}}' AS kind, concat(repo_name, '|', from_version)
     UNION ALL SELECT 'card', concat(section, '|', item), md5(concat(size, tokens)) FROM ({CARD_SQL})""")
 def i11(x):
     folder, spark = fresh_path(x.spark, "dataset"), x.spark
-    sinks.save_dataset(x.examples(), folder, "both")
+    sinks.save_dataset(x.records(), folder, "both")
     item = F.concat_ws("|", "repo_name", "from_version")
     both = F.md5(F.concat("input_text", "output_text"))
-    chat = spark.read.schema(ops.chat_examples(x.examples()).schema).json(f"{folder}/dataset_chat.jsonl")
-    text_of = lambda i: F.col("messages")[i]["content"]
     outputs = [
-        ("jsonl", read_examples(spark, f"{folder}/dataset.jsonl"), item, both),
-        ("parquet", read_examples(spark, f"{folder}/dataset.parquet"), item, both),
-        ("chat", chat, F.concat_ws("|", "metadata.repo_name", "metadata.from_version"), F.md5(F.concat(text_of(1), text_of(2)))),
+        ("jsonl", whole_texts(read_records(spark, f"{folder}/dataset.jsonl")), item, both),
+        ("parquet", whole_texts(read_records(spark, f"{folder}/dataset.parquet")), item, both),
+        ("chat", chat_texts(x, f"{folder}/dataset_chat.jsonl"), item, both),
         ("stats", spark.read.text(f"{folder}/stats.md"), F.lit(""), F.md5("value")),
         ("card", spark.read.schema("section string, item string, size string, tokens string").json(f"{folder}/card"),
          F.concat_ws("|", "section", "item"), F.md5(F.concat("size", "tokens"))),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.changes import pairs3, whole
+from catalog.changes import pairs3, rejoined, whole
 from catalog.registry import query
 from codelineage.functions.patterns import in_snapshot
 from codelineage.functions.requirements import (
@@ -157,7 +157,7 @@ def i4b(x):
                CASE WHEN github_repo IS NULL THEN '' ELSE concat(chr(10), '   GitHub: ', github_repo) END), chr(10) ORDER BY line_no)) AS summary
     FROM fx_deps GROUP BY repo""")
 def d13(x):
-    return deps.dependency_summaries(resolved(x)).select("repo", "summary")
+    return rejoined(deps.dependency_summaries(resolved(x), 1024), ["repo", "version"], "summary").select("repo", "summary")
 
 
 @query("c5_latest_release", """

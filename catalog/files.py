@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from catalog.changes import rejoined
 from catalog.fixtures import BAR
 from catalog.registry import query
 from codelineage.functions import patterns, text
@@ -165,7 +166,8 @@ def e4(x):
     FROM fx_visible GROUP BY repo, version""")
 def d6(x):
     files = snapshot.classified(x.raw().filter(patterns.in_snapshot(F.col("path"))))
-    return render.snapshot_texts(files).select("repo", "version", "num_files", "total_size", F.md5("text").alias("text_md5"))
+    whole = rejoined(render.snapshot_texts(files, max_bytes=1024), ["repo", "version"], "text", "num_files", "total_size")
+    return whole.select("repo", "version", "num_files", "total_size", F.md5("text").alias("text_md5"))
 
 
 @query("f1_files_by_path", """
@@ -188,4 +190,4 @@ def d11_lines(x):
                                  string_agg(line, chr(10) ORDER BY string_split(node, '/'))) AS tree
     FROM fx_tree_lines GROUP BY repo, version""")
 def d11(x):
-    return render.file_trees(x.files().select(*FILE))
+    return rejoined(render.file_trees(x.files().select(*FILE), 1024), ["repo", "version"], "tree")

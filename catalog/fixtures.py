@@ -17,6 +17,18 @@ EXTENSIONS = [".py", ".md", ".png", ".cpp", ".TXT", ".tar.gz", "", ".json"]
 VERSIONS = [("v1.0.0", "2024-01-01"), ("v1.1.0", "2024-02-01"), ("v2.0.0", "2024-03-01")]
 
 
+# One text for both engines; the lines of a file are the sentences of a document.
+MOVED = """
+    SELECT source AS repo, version,
+           CASE doc_id % 3 WHEN 0 THEN concat('pkg', CAST(doc_id + k * 5000 AS STRING), '/__init__.py')
+                           WHEN 1 THEN concat('src/n', CAST(doc_id * 31 + k AS STRING), '.py')
+                           ELSE concat('keep/', CAST(doc_id AS STRING), '.md') END AS path,
+           concat('import os\n\n', replace(text, '. ', '.\n'), '\n',
+                  CASE WHEN doc_id % 4 < 3 THEN concat('tail ', CAST(k AS STRING), '\nmore ', CAST(doc_id AS STRING), '\n') ELSE '' END) AS content
+    FROM {documents} CROSS JOIN LATERAL {versions}
+    WHERE doc_id % 7 <> k + 1"""
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -46,6 +58,18 @@ class Inputs:
     def raw(self) -> DataFrame:
         return raw_files(self.files().withColumn("content", F.encode("content", "UTF-8")))
 
+    def moved(self) -> DataFrame:
+        """Raw files that change their folder or name in every version, most of them with edits; many share one file name."""
+        return raw_files(self._sql(MOVED.format(documents="{documents}", versions="posexplode(array('v1.0.0', 'v1.1.0', 'v2.0.0')) AS v(k, version)"),
+                                   documents=self.table("documents")).withColumn("content", F.encode("content", "UTF-8")))
+
+    def records(self) -> DataFrame:
+        """The examples in parts of 500 characters."""
+        parts = F.greatest(F.ceil(F.length("input_text") / 500), F.ceil(F.length("output_text") / 500), F.lit(1)).cast("int")
+        rows = self.examples().withColumn("parts", parts).withColumn("part_no", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return rows.withColumns({
+            c: F.substring(c, F.col("part_no") * 500 + 1, F.lit(500)) for c in ("input_text", "output_text")})
+
     def manifest_files(self) -> DataFrame:
         """One small requirements file per part, the same in every version."""
         rows = self.requirements().select(
@@ -338,13 +362,20 @@ VIEWS = {
         LEFT JOIN fx_renames r ON r.repo = c.repo AND r.from_version = c.from_version AND r.path = c.path AND c.change_type = 'added'
         WHERE NOT (c.change_type = 'deleted' AND EXISTS (
             SELECT 1 FROM fx_renames x WHERE x.repo = c.repo AND x.from_version = c.from_version AND x.old_path = c.path))""",
-    # Files moved and edited at once: all lines but the last are shared with the longer text.
     "fx_loose": """
-        SELECT repo, from_version, to_version, path, doc_id, change_type, n = 2 AND
-               octet_length(encode(shorter)) - octet_length(encode(string_split(shorter, chr(10))[-1])) >= octet_length(encode(longer)) * 0.5 AS near
-        FROM (SELECT *, count(*) OVER w AS n, arg_min(coalesce(old_content, new_content), length(coalesce(old_content, new_content))) OVER w AS shorter,
-                     arg_max(coalesce(old_content, new_content), length(coalesce(old_content, new_content))) OVER w AS longer
-              FROM fx_changes_r WHERE change_type IN ('added', 'deleted') WINDOW w AS (PARTITION BY repo, from_version, doc_id))""",
+        SELECT repo, from_version, to_version, path, change_type = 'deleted' AS is_old, coalesce(old_content, new_content) AS content
+        FROM fx_changes_r WHERE change_type IN ('added', 'deleted')""",
+    "fx_moved": MOVED.format(documents="documents", versions="""
+        (SELECT unnest([0, 1, 2]) AS k, unnest(['v1.0.0', 'v1.1.0', 'v2.0.0']) AS version)"""),
+    "fx_moved_changes": """
+        SELECT p.repo, p.from_version, p.to_version, path, o.content AS old_content, n.content AS new_content
+        FROM (SELECT DISTINCT p.*, f.path FROM fx_pairs3 p JOIN fx_moved f ON f.repo = p.repo AND f.version IN (p.from_version, p.to_version)) p
+        LEFT JOIN fx_moved o ON o.repo = p.repo AND o.version = p.from_version AND o.path = p.path
+        LEFT JOIN fx_moved n ON n.repo = p.repo AND n.version = p.to_version AND n.path = p.path
+        WHERE o.content IS DISTINCT FROM n.content""",
+    "fx_moved_loose": """
+        SELECT repo, from_version, to_version, path, new_content IS NULL AS is_old, coalesce(old_content, new_content) AS content
+        FROM fx_moved_changes WHERE old_content IS NULL OR new_content IS NULL""",
     # Diffs in closed form: whole files, or a two-line tail put on or taken off.
     "fx_diffs": r"""
         SELECT repo, from_version, to_version, path AS file_path, change_type, old_path,

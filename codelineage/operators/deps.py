@@ -17,7 +17,8 @@ from codelineage.functions.text import basename, text_mode
 from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
 from codelineage.operators.releases import latest_release
-from codelineage.operators.render import cell_texts, lines, with_body
+from codelineage.operators.render import lines, text_parts
+from codelineage.settings import Settings
 
 # Workers get the TOML reader by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -255,7 +256,11 @@ def dependency_lines(deps: DataFrame) -> DataFrame:
     return deps.select(*SNAPSHOT, *PLACE, entry.alias("entry"))
 
 
-def dependency_summaries(deps: DataFrame) -> DataFrame:
-    """Summary text per (repo, version); NULL where it would not fit a cell."""
-    body = cell_texts(dependency_lines(deps).withColumnRenamed("entry", "piece"), SNAPSHOT, PLACE)
-    return body.select(*SNAPSHOT, with_body(lines("# Dependencies", ""), F.col("body")).alias("summary"))
+def dependency_summaries(deps: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
+    """(repo, version, part_no, parts, byte_start, char_start, summary): the summary text of each snapshot with dependencies, in parts."""
+    entries = dependency_lines(deps).withColumnRenamed("entry", "piece")
+    title = entries.select(*SNAPSHOT).distinct().withColumn("piece", lines("# Dependencies", ""))
+    first = dict(entries.dtypes)
+    titles = title.select(*SNAPSHOT, F.lit(0).alias("place"), *[F.lit(None).cast(first[c]).alias(c) for c in PLACE], "piece")
+    pieces = titles.unionByName(entries.select(*SNAPSHOT, F.lit(1).alias("place"), *PLACE, "piece"))
+    return text_parts(pieces, SNAPSHOT, ["place", *PLACE], max_bytes).withColumnRenamed("text", "summary")

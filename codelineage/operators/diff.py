@@ -7,7 +7,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,58 +99,129 @@ def _on_both_sides(rows: DataFrame) -> DataFrame:
 
 
 def _matched(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """n-th deleted path with the n-th added path under the same keys, and the rows left over."""
-    numbered = with_order(rows, [*keys, "is_old"], ["path"], number="place")
-    couples = numbered.groupBy(*keys, "place").agg(
-        F.max(F.when(F.col("is_old"), F.col("path"))).alias("old_path"),
-        F.max(F.when(~F.col("is_old"), F.col("path"))).alias("new_path"),
-    )
+    """n-th deleted path with the n-th added path under the same keys, and the rows left over.
+
+    Paths are put in order only under keys with several on a side; the others meet in the grouping that tells them apart.
+    """
+    old, new = F.when(F.col("is_old"), F.col("path")), F.when(~F.col("is_old"), F.col("path"))
+    groups = written(rows.groupBy(*keys).agg(
+        F.count(old).alias("gone"), F.count(new).alias("came"), F.max(old).alias("old_path"), F.max(new).alias("new_path")), "groups")
+    single = (F.col("gone") <= 1) & (F.col("came") <= 1)
+    few = groups.filter(single).drop("gone", "came")
+    crowded = groups.filter(~single).select(*keys)
+    many = written(salted_join(rows, crowded, keys, F.col("path"), "left_semi"), "crowded")
+    numbered = with_order(many, [*keys, "is_old"], ["path"], number="place")
+    couples = few.unionByName(numbered.groupBy(*keys, "place").agg(F.max(old).alias("old_path"), F.max(new).alias("new_path")).drop("place"))
     complete = F.col("old_path").isNotNull() & F.col("new_path").isNotNull()
     left = couples.filter(~complete).select(
         *PAIR, "sha", F.coalesce("old_path", "new_path").alias("path"), F.col("old_path").isNotNull().alias("is_old"))
+    left = left.withColumn("name", basename(F.col("path")))
     return couples.filter(complete).select(*PAIR, "sha", "old_path", "new_path"), left
 
 
 def near_renames(changes: DataFrame, files: DataFrame, threshold: float) -> DataFrame:
-    """Turn deleted + added files of similar content into renamed rows.
+    """Turn deleted + added files of similar content into renamed rows, whatever their names.
 
-    Compared are files whose name was deleted once and added once in the pair, so
-    each file has at most one partner. The score is the share of the larger file
-    (in bytes) made of lines both have.
+    The score of two contents is the bytes of the lines both have (a line as often as in the content that has it
+    less often), as a share of the larger content. Those of ``threshold`` (above 0, at most 1) or more are matched one to one,
+    the best score of a pair first; ties go to the content with the smallest deleted path, then added path. Files of
+    one content are matched in path order. Contents without a line match nothing.
     """
-    named = changes.filter("change_type IN ('added', 'deleted')").withColumn("name", basename(F.col("path")))
+    if not 0 < threshold <= 1:
+        raise ValueError("near_threshold: must lie above 0, at most 1")
     is_old = F.col("old_sha").isNotNull()
-    couples = (
-        named.groupBy(*PAIR, "name")
-        .agg(
-            F.count_if(is_old).alias("gone"),
-            F.count_if(~is_old).alias("came"),
-            F.max(F.when(~is_old, F.col("path"))).alias("path"),
-            F.max(F.when(is_old, F.col("path"))).alias("old_path"),
-            F.lit("renamed").alias("change_type"),
-            F.max("old_sha").alias("old_sha"),
-            F.max("new_sha").alias("new_sha"),
-        )
-        .filter("gone = 1 AND came = 1")
-        .drop("name", "gone", "came")
-    )
-    texts = with_texts(couples, files)
-    line = F.explode(F.concat(
-        F.transform(lines_with_ends(F.col("old_text")), lambda t: F.struct(F.lit(1).alias("old"), F.lit(0).alias("new"), t.alias("text"))),
-        F.transform(lines_with_ends(F.col("new_text")), lambda t: F.struct(F.lit(0).alias("old"), F.lit(1).alias("new"), t.alias("text"))),
-    )).alias("line")
-    key = [*PAIR, "path"]
-    size = F.octet_length("text")
+    loose = changes.filter("change_type IN ('added', 'deleted')").select(
+        *PAIR, "path", F.coalesce("old_sha", "new_sha").alias("sha"), is_old.alias("is_old"))
+    both = loose.groupBy(*PAIR).agg(F.bool_or("is_old").alias("some_old"), F.bool_and("is_old").alias("all_old")).filter("some_old AND NOT all_old")
+    loose = written(salted_join(loose, both.select(*PAIR), PAIR, F.col("path"), "left_semi"), "loose")
+    couples = similar_contents(loose, content_lines(loose, files), threshold)
+    renamed = _best_first(loose, couples).select(
+        *PAIR, F.col("new_path").alias("path"), "old_path", F.lit("renamed").alias("change_type"), "old_sha", "new_sha")
+    return _with_renamed(changes, written(renamed, "near_renames"))
+
+
+def content_lines(loose: DataFrame, files: DataFrame) -> DataFrame:
+    """The different lines of every content of ``loose``, by rarity: (sha, line, n, bytes, total, before).
+
+    ``line`` is a hash of 128 bits, n its count, bytes the size of all its copies; ``total`` is the size of the content and
+    ``before`` that of its rarer lines. Each content is read once, however many pairs and paths have it.
+    """
+    version = F.when(F.col("is_old"), F.col("from_version")).otherwise(F.col("to_version"))
+    place = loose.groupBy("sha").agg(F.min(F.struct("repo", version.alias("version"), "path")).alias("place")).select("sha", "place.*")
+    texts = lookup_join(files.select("repo", "version", "path", "content"), place, ["repo", "version", "path"], None).select(
+        "sha", F.explode(lines_with_ends(decoded(F.col("content")))).alias("text"))
+    lines = written(texts.groupBy("sha", F.unhex(F.md5("text")).alias("line")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")), "lines")
+    frequency = lines.groupBy("line").agg(F.count(F.lit(1)).alias("contents"))
+    total = lines.groupBy("sha").agg(F.sum("bytes").alias("total"))
+    ranked = written(salted_join(lines, frequency, ["line"], F.col("sha")), "ranked")
+    ordered = with_order(ranked, ["sha"], ["contents", "line"], sum_before={"before": "bytes"})
+    return written(ordered.join(total, "sha").select("sha", "line", "n", "bytes", "total", "before"), "content_lines")
+
+
+def similar_contents(loose: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """(pair, old_sha, new_sha, score) of the contents of each pair that score ``threshold`` or more; none is missed.
+
+    An inverted index of rare lines proposes them: two such contents share a line that stands, in the order of
+    rarity, before the last ``threshold`` share of both, since all they share stands at or behind the first of them.
+    What stands behind that line also bounds the score. Only contents proposed are compared by all their lines.
+    """
+    rest = F.col("total") - F.col("before")
+    rare = lines.filter(rest >= F.col("total") * threshold).select("sha", "line", "total", rest.alias("rest"))
+    classes = loose.select(*PAIR, "sha", "is_old").distinct()
+    postings = written(classes.join(rare, "sha"), "postings")
+    side = lambda is_old, name: postings.filter(F.col("is_old") == is_old).select(
+        *PAIR, "line", *[F.col(c).alias(f"{name}_{c}") for c in ("sha", "total", "rest")])
+    larger = F.greatest("old_total", "new_total")
+    proposed = side(True, "old").join(side(False, "new"), [*PAIR, "line"]).filter(
+        (F.least("old_total", "new_total") >= larger * threshold) & (F.least("old_rest", "new_rest") >= larger * threshold))
+    proposed = written(proposed.select("old_sha", "new_sha", larger.alias("larger"), *PAIR).distinct(), "proposed")
+    couples = proposed.select("old_sha", "new_sha", "larger").distinct()
+    counts = lambda name: lines.select(F.col("sha").alias(f"{name}_sha"), "line", F.col("n").alias(f"{name}_n"), (F.col("bytes") / F.col("n")).cast("long").alias("size"))
     shared = (
-        texts.select(*key, line).select(*key, "line.*")
-        .groupBy(*key, "text").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-        .groupBy(*key).agg(
-            F.sum(F.least("old", "new") * size).alias("shared"),
-            F.greatest(F.sum(F.col("old") * size), F.sum(F.col("new") * size)).alias("larger"))
+        couples.join(counts("old"), "old_sha").join(counts("new").drop("size"), ["new_sha", "line"])
+        .groupBy("old_sha", "new_sha", "larger").agg(F.sum(F.least("old_n", "new_n") * F.col("size")).alias("shared"))
         .filter(F.col("shared") >= F.col("larger") * threshold)
-    )
-    renamed = written(couples.join(shared.select(*key), key, "left_semi"), "near_renames")
-    return _with_renamed(changes, renamed)
+        .select("old_sha", "new_sha", (F.col("shared") / F.col("larger")).alias("score")))
+    return proposed.drop("larger").join(shared, ["old_sha", "new_sha"])
+
+
+def _best_first(loose: DataFrame, couples: DataFrame) -> DataFrame:
+    """(pair, old_sha, new_sha, old_path, new_path): files matched one to one, the best couple of contents of each pair first.
+
+    In every round the couples that are the best of both their contents are settled at once, which gives what taking
+    one after the other would. A couple takes as many files as the content with fewer has left; contents
+    without files left leave, and the rounds end when no couple is left.
+    """
+    contents = loose.groupBy(*PAIR, "sha", "is_old").agg(F.min("path").alias("first"), F.count(F.lit(1)).alias("left"))
+    side = lambda is_old, name: contents.filter(F.col("is_old") == is_old).select(
+        *PAIR, *[F.col(c).alias(f"{name}_{c}") for c in ("sha", "first", "left")], F.lit(0).cast("long").alias(f"{name}_used"))
+    open_ = written(couples.join(side(True, "old"), [*PAIR, "old_sha"]).join(side(False, "new"), [*PAIR, "new_sha"]), "couples")
+    order = [F.desc("score"), "old_first", "new_first"]
+    best_of = lambda name: F.row_number().over(Window.partitionBy(*PAIR, f"{name}_sha").orderBy(*order)) == 1
+    settled = []
+    while not open_.isEmpty():
+        best = open_.withColumns({"best_old": best_of("old"), "best_new": best_of("new")}).filter("best_old AND best_new")
+        best = written(best.withColumn("taken", F.least("old_left", "new_left")), "best")
+        settled.append(best)
+        for name in ("old", "new"):
+            key = [*PAIR, f"{name}_sha"]
+            open_ = open_.join(best.select(*key, F.col("taken").alias(f"{name}_taken")), key, "left").withColumn(f"{name}_taken", F.coalesce(f"{name}_taken", F.lit(0)))
+        open_ = written(open_.withColumns({
+            f"{name}_{c}": F.col(f"{name}_{c}") + sign * F.col(f"{name}_taken") for name in ("old", "new") for c, sign in (("left", -1), ("used", 1))
+        }).filter("old_left > 0 AND new_left > 0").drop("old_taken", "new_taken"), "couples")
+    none = open_.withColumn("taken", F.lit(0).cast("long"))
+    matched = none
+    for best in settled:
+        matched = matched.unionByName(best.drop("best_old", "best_new"))
+    places = matched.select(*PAIR, "old_sha", "new_sha", "old_used", "new_used", F.explode(F.sequence(F.lit(1), F.col("taken").cast("int"))).alias("i")).select(
+        *PAIR, "old_sha", "new_sha", (F.col("old_used") + F.col("i")).alias("old_place"), (F.col("new_used") + F.col("i")).alias("new_place"))
+    numbered = written(with_order(loose, [*PAIR, "is_old", "sha"], ["path"], number="place"), "numbered")
+    for is_old, name in ((True, "old"), (False, "new")):
+        of_side = numbered.filter(F.col("is_old") == is_old).select(
+            *PAIR, F.col("sha").alias(f"{name}_sha"), F.col("place").alias(f"{name}_place"), F.col("path").alias(f"{name}_path"))
+        places = places.join(of_side, [*PAIR, f"{name}_sha", f"{name}_place"])
+    return places.select(*PAIR, "old_sha", "new_sha", "old_path", "new_path")
 
 
 def changed_files(
@@ -163,7 +234,7 @@ def changed_files(
 ) -> DataFrame:
     """Changed paths with their change type, renames resolved and patterns applied.
 
-    Renames need equal content unless ``near_threshold`` (0 to 1) admits similar files.
+    Renames need equal content unless ``near_threshold`` (above 0, at most 1) admits similar files.
 
     Pairs that carry ``include_regex`` / ``exclude_regex`` use them instead of the
     two lists. Patterns look at the path after the change.

@@ -1,22 +1,23 @@
 """Ordered text assembly: snapshots, diffs, file trees, dependency summaries.
 
 The long form (one row per section, with its order columns) is the primary
-product. ``cell_texts`` puts sections into one cell, ``text_parts`` cuts texts
-that would not fit a cell into ordered parts whose concatenation is the text.
+product. ``text_parts`` makes texts of it, each in as many numbered parts as its size
+needs; ``part_index`` says where they are cut.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codelineage.functions.text import BAR, commas
 from codelineage.operators.diff import PAIR, version_diffs
-from codelineage.operators.joins import salted_join
+from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
 from codelineage.settings import Settings
 from codelineage.storage import written
 
+# Fixed value: the request that ends an input.
 NEXT_VERSION_REQUEST = (
     "Based on the codebase above, predict the changes that will be made in the next version release. "
     "Output the changes as a unified diff."
@@ -59,6 +60,7 @@ def diff_sections(diffs: DataFrame) -> DataFrame:
 
 
 # --- headers ----------------------------------------------------------------
+# The labels of the headers and wrappers below.
 
 
 def snapshot_header(repo: Column, version: Column, num_files: Column, total_size: Column) -> Column:
@@ -126,75 +128,99 @@ def output_title(from_version: Column, to_version: Column) -> Column:
     return F.concat(F.lit("# Changes from "), from_version, F.lit(" to "), to_version)
 
 
-# --- one cell per text --------------------------------------------------------
+# --- texts in parts -------------------------------------------------------------
 
 
-def cell_texts(
-    pieces: DataFrame, keys: list[str], order: list[str], separator: str = "\\n", max_bytes: int = Settings().max_cell_bytes
+def sized(pieces: DataFrame, keys: list[str], order: list[str], text: str = "piece") -> DataFrame:
+    """(keys, order, bytes, chars) of the pieces, written: their texts are read once for it."""
+    return written(pieces.select(
+        *keys, *order, F.octet_length(text).cast("long").alias("bytes"), F.length(text).cast("long").alias("chars")), "piece_sizes")
+
+
+def part_index(sizes: DataFrame, keys: list[str], order: list[str], part_bytes: int, separator: str = "\n") -> DataFrame:
+    """Where each text made of pieces is cut: one row a part, from running sums over the sizes alone.
+
+    (keys, part_no from 0, parts, byte_start, char_start, text_bytes, text_chars, first): a part takes the pieces that start inside
+    a range of ``part_bytes``, so it is bounded by that plus one piece, however long the text is; ``first`` is the
+    order of its first piece, the starts are the places of the part in the whole text, whose size the next two are. Every key
+    with pieces has at least one part.
+    """
+    gap, gap_bytes = len(separator), len(separator.encode())
+    spaced = sizes.withColumns({"bytes": F.col("bytes") + gap_bytes, "chars": F.col("chars") + gap})
+    placed = with_order(spaced, keys, order, sum_before={"byte_at": "bytes", "char_at": "chars"})
+    slots = placed.groupBy(*keys, F.floor(F.col("byte_at") / part_bytes).alias("slot")).agg(
+        F.min(F.struct(*order)).alias("first"), F.min("byte_at").alias("byte_at"), F.min("char_at").alias("char_at"),
+        F.max(F.col("byte_at") + F.col("bytes")).alias("byte_end"), F.max(F.col("char_at") + F.col("chars")).alias("char_end"))
+    key = Window.partitionBy(*keys)
+    later = F.col("slot") > 0
+    return written(slots.select(
+        *keys, (F.row_number().over(key.orderBy("slot")) - 1).cast("int").alias("part_no"), F.count(F.lit(1)).over(key).cast("int").alias("parts"),
+        (F.col("byte_at") - F.when(later, gap_bytes).otherwise(0)).alias("byte_start"), (F.col("char_at") - F.when(later, gap).otherwise(0)).alias("char_start"),
+        (F.max("byte_end").over(key) - gap_bytes).alias("text_bytes"), (F.max("char_end").over(key) - gap).alias("text_chars"), "first"), "part_index")
+
+
+def with_part(pieces: DataFrame, index: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``part_no`` to the pieces, in place: the first pieces of the parts of a key are few and go to the rows."""
+    firsts = index.groupBy(*keys).agg(F.array_sort(F.collect_list("first")).alias("_firsts"))
+    found = lookup_join(pieces, firsts, keys, F.concat_ws("\n", *[F.col(c).cast("string") for c in order]))
+    here = F.struct(*order)
+    return found.withColumn("part_no", F.size(F.filter("_firsts", lambda f: f <= here)) - 1).drop("_firsts")
+
+
+def text_parts(
+    pieces: DataFrame, keys: list[str], order: list[str], part_bytes: int = Settings().max_cell_bytes, separator: str = "\n",
 ) -> DataFrame:
-    """(keys, body): the ``piece`` values of each key in order; reading a body beyond ``max_bytes`` is an error.
+    """The text of each key, its ``piece`` values in order with ``separator`` between them, as numbered parts.
 
-    Sizes are summed first, so no task gathers a group beyond the bound; such a
-    text is available from :func:`text_parts`.
+    (keys, part_no, parts, byte_start, char_start, text): the same way at every size. A text that fits ``part_bytes`` is one
+    part; putting the parts of a key one after the other always gives the whole text. The pieces are evaluated twice.
     """
-    table = written(pieces.select(*keys, *order, "piece"), "pieces")
-    sizes = table.groupBy(*keys).agg(F.sum(F.octet_length("piece") + len(separator)).alias("_bytes"))
-    over = written(sizes.filter(F.col("_bytes") > max_bytes).select(*keys), "oversize")
-    body = joined("piece", ", ".join(order), separator).alias("body")
-    fitting = salted_join(table, over, keys, F.concat_ws("\n", *order), "left_anti").groupBy(*keys).agg(body)
-    name = F.concat_ws(" ", *[F.col(c).cast("string") for c in keys])
-    refused = F.raise_error(F.concat(F.lit("text beyond one cell, read it with text_parts: "), name)).cast("string")
-    return fitting.unionByName(over.withColumn("body", refused))
+    index = part_index(sized(pieces, keys, order), keys, order, part_bytes, separator)
+    bodies = part_bodies(with_part(pieces, index, keys, order), keys, order, separator)
+    return bodies.join(index.select(*keys, "part_no", "parts", "byte_start", "char_start"), [*keys, "part_no"]).select(
+        *keys, "part_no", "parts", "byte_start", "char_start", leading(F.col("part_no"), F.col("body"), separator).alias("text"))
+
+
+def part_bodies(placed: DataFrame, keys: list[str], order: list[str], separator: str = "\n", text: str = "piece") -> DataFrame:
+    quoted = separator.replace("\n", "\\n")
+    return placed.groupBy(*keys, "part_no").agg(joined(text, ", ".join(order), quoted).alias("body"))
+
+
+def leading(part_no: Column, body: Column, separator: str = "\n") -> Column:
+    """The text of a part: all but the first begin with the separator."""
+    return F.when(part_no > 0, F.concat(F.lit(separator), body)).otherwise(body)
 
 
-def with_body(header: Column, body: Column) -> Column:
-    """Header and body; a body that is kept in parts leaves no text."""
-    return F.when(body.isNotNull(), lines(header, body))
+def _headed(header: DataFrame, sections: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Pieces of texts that start with a header row (keys, piece)."""
+    return header.select(*keys, F.lit(0).alias("place"), F.lit("").alias(order), "piece").unionByName(
+        sections.select(*keys, F.lit(1).alias("place"), order, "piece"))
 
 
 def snapshot_texts(snapshot: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """One text per (repo, version), an error to read where it would not fit a cell."""
+    """(repo, version, num_files, total_size, part_no, parts, byte_start, char_start, text) of every snapshot."""
     key = ["repo", "version"]
-    totals = snapshot.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size"))
-    bodies = cell_texts(snapshot_sections(snapshot), key, ["path"], max_bytes=max_bytes)
-    header = snapshot_header(F.col("repo"), F.col("version"), F.col("num_files"), F.col("total_size"))
-    text = with_body(header, F.col("body")) if include_header else F.col("body")
-    return totals.join(bodies, key).select(*key, "num_files", "total_size", text.alias("text"))
+    totals = written(snapshot.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size")), "totals")
+    pieces, order = snapshot_sections(snapshot), ["path"]
+    if include_header:
+        header = snapshot_header(F.col("repo"), F.col("version"), F.col("num_files"), F.col("total_size"))
+        pieces, order = _headed(totals.select(*key, header.alias("piece")), pieces, key, "path"), ["place", "path"]
+    return totals.join(text_parts(pieces, key, order, max_bytes), key)
 
 
 def diff_texts(diffs: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """One text per pair, an error to read where it would not fit a cell."""
-    bodies = cell_texts(diff_sections(diffs), PAIR, ["file_path"], max_bytes=max_bytes)
-    if not include_header:
-        return bodies.select(*PAIR, F.col("body").alias("text"))
-    return bodies.join(version_diffs(diffs), PAIR).select(
-        *PAIR, with_body(diff_header_of(DIFF_TOTALS), F.col("body")).alias("text"))
+    """(pair, part_no, parts, byte_start, char_start, text) of every version diff."""
+    pieces, order = diff_sections(diffs), ["file_path"]
+    if include_header:
+        header = version_diffs(diffs).select(*PAIR, diff_header_of(DIFF_TOTALS).alias("piece"))
+        pieces, order = _headed(header, pieces, PAIR, "file_path"), ["place", "file_path"]
+    return text_parts(pieces, PAIR, order, max_bytes)
 
 
 def unified_text(diffs: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """Plain unified diff of each pair: the file diffs in path order, one after the other."""
+    """Plain unified diff of each pair in parts: the file diffs in path order, one after the other."""
     pieces = diffs.select(*PAIR, "file_path", F.col("diff_content").alias("piece"))
-    return cell_texts(pieces, PAIR, ["file_path"], max_bytes=max_bytes).withColumnRenamed("body", "unified_diff")
-
-
-# --- texts of any size ---------------------------------------------------------
-
-
-def text_parts(pieces: DataFrame, keys: list[str], order: list[str], part_bytes: int) -> DataFrame:
-    """Cut the text made of ``piece`` values (in ``order``) into numbered parts.
-
-    Concatenating the parts of a key by part_no (which may have gaps) gives the
-    whole text. A part takes
-    the pieces that start inside its byte range, so its size is bounded by
-    part_bytes plus one piece, however long the text is.
-    """
-    sized = pieces.withColumn("_bytes", F.octet_length("piece").cast("long"))
-    sizes = with_order(sized.select(*keys, *order, "_bytes"), keys, order, sum_before={"_start": "_bytes"})
-    placed = pieces.join(
-        sizes.select(*keys, *order, F.floor(F.col("_start") / part_bytes).cast("long").alias("part_no")),
-        [*keys, *order],
-    )
-    return placed.groupBy(*keys, "part_no").agg(joined("piece", ", ".join(order), "").alias("text"))
+    return text_parts(pieces, PAIR, ["file_path"], max_bytes).withColumnRenamed("text", "unified_diff")
 
 
 # --- trees and summaries ---------------------------------------------------------
@@ -236,8 +262,10 @@ def tree_lines(paths: DataFrame) -> DataFrame:
 
 
 def file_trees(paths: DataFrame, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
-    """Rendered tree per (repo, version), an error to read where it would not fit a cell."""
+    """(repo, version, part_no, parts, byte_start, char_start, tree): the rendered tree of each snapshot, in parts."""
     key = ["repo", "version"]
     title = lines(F.concat(F.lit("# File Tree for "), F.col("repo"), F.lit("@"), F.col("version")), "")
-    bodies = cell_texts(tree_lines(paths).withColumnRenamed("line", "piece"), key, ["node"], max_bytes=max_bytes)
-    return bodies.select(*key, with_body(title, F.col("body")).alias("tree"))
+    header = paths.select(*key).distinct().select(
+        *key, F.lit(0).alias("place"), F.array().cast("array<string>").alias("node"), title.alias("piece"))
+    rows = tree_lines(paths).select(*key, F.lit(1).alias("place"), "node", F.col("line").alias("piece"))
+    return text_parts(header.unionByName(rows), key, ["place", "node"], max_bytes).withColumnRenamed("text", "tree")

@@ -44,6 +44,11 @@ EXAMPLES = _table(
 
 EXAMPLE_COLUMNS = EXAMPLES.fieldNames()
 
+# An example as the job gives it: one row for each part of its texts, whose parts in order are the texts. A text
+# with fewer parts than the other is empty in the rest; all other columns are those of the whole example in every row.
+RECORDS = _table(*[(f.name, f.dataType, f.nullable) for f in EXAMPLES.fields], ("part_no", I, False), ("parts", I, False))
+RECORD_COLUMNS = RECORDS.fieldNames()
+
 # Light rows kept for statistics: the texts are replaced by their lengths.
 EXAMPLE_META = _table(
     ("repo_name", S, False), ("from_version", S, False), ("to_version", S, False),

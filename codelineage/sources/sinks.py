@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from codelineage.operators.discover import config_from
-from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, chat_examples, example_meta
+from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, as_records, chat_examples, example_meta
 from codelineage.operators.stats import card_stats, dataset_stats, repo_counts, stats_report
 from codelineage.plans.dataset import Dataset
-from codelineage.schemas import EXAMPLE_COLUMNS
 from codelineage.settings import Settings
-from codelineage.sources.tables import read_examples
+from codelineage.sources.tables import read_records
 from codelineage.storage import written
 
 
@@ -21,18 +20,18 @@ def save_jsonl(rows: DataFrame, path: str, compress: bool = True, mode: str = "e
 
 
 def save_examples_jsonl(examples: DataFrame, path: str, compress: bool = True, mode: str = "errorifexists") -> None:
-    save_jsonl(examples.select(*EXAMPLE_COLUMNS), path, compress, mode)
+    save_jsonl(as_records(examples), path, compress, mode)
 
 
 def save_examples_chat_jsonl(
     examples: DataFrame, path: str, system_prompt: str | None = DEFAULT_SYSTEM_PROMPT,
     compress: bool = True, mode: str = "errorifexists",
 ) -> None:
-    save_jsonl(chat_examples(examples, system_prompt), path, compress, mode)
+    save_jsonl(chat_examples(as_records(examples), system_prompt), path, compress, mode)
 
 
 def save_examples_parquet(examples: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    examples.select(*EXAMPLE_COLUMNS).write.mode(mode).parquet(path, compression="snappy")
+    as_records(examples).write.mode(mode).parquet(path, compression="snappy")
 
 
 def save_report(examples_or_meta: DataFrame, folder: str, mode: str = "errorifexists") -> None:
@@ -55,25 +54,20 @@ def save_dataset(
 ) -> None:
     """Write the examples in the asked formats, then statistics and card figures.
 
-    The examples are computed once: the Parquet output (or, without one, a table
-    in the shared folder) feeds every other output. Of a whole dataset the texts that fit no
-    cell are written as ordered parts beside the examples, and statistics count them.
+    All formats hold records, a line or row for each part of an example's texts. They are computed once: the Parquet output
+    (or, without one, a table in the shared folder) feeds every other output.
     """
     Settings(output_format=output_format)
     examples = built if isinstance(built, DataFrame) else built.examples
-    parts = {} if isinstance(built, DataFrame) else {"input_parts": built.input_parts, "output_parts": built.output_parts}
-    parts = {name: table for name, table in parts.items() if table is not None}
-    for name, table in parts.items():
-        table.write.mode(mode).parquet(f"{folder}/{name}.parquet")
     if output_format == "jsonl":
-        rows = written(examples, "examples")
+        rows = written(as_records(examples), "examples")
     else:
         save_examples_parquet(examples, f"{folder}/dataset.parquet", mode)
-        rows = read_examples(examples.sparkSession, f"{folder}/dataset.parquet")
+        rows = read_records(examples.sparkSession, f"{folder}/dataset.parquet")
     if output_format in ("jsonl", "both"):
         save_examples_jsonl(rows, f"{folder}/dataset.jsonl", compress, mode)
         save_examples_chat_jsonl(rows, f"{folder}/dataset_chat.jsonl", system_prompt, compress, mode)
-    save_report(example_meta(rows, **parts), folder, mode)
+    save_report(example_meta(rows), folder, mode)
 
 
 def save_config(repos: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -22,7 +22,16 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.REPO_CONFIG).json(path)
 
 
-def read_examples(spark: SparkSession, path: str) -> DataFrame:
-    """Examples written by the JSON or the Parquet sink, by the layout of the folder."""
-    reader = spark.read.schema(schemas.EXAMPLES)
+def _by_layout(spark: SparkSession, path: str, schema) -> DataFrame:
+    reader = spark.read.schema(schema)
     return reader.parquet(path) if path.rstrip("/").endswith(".parquet") else reader.json(path)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Examples written by the JSON or the Parquet sink, by the layout of the folder: a row for each part of their texts."""
+    return _by_layout(spark, path, schemas.RECORDS)
+
+
+def read_examples(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of an example alone. An example of several parts has as many rows; see :func:`read_records`."""
+    return _by_layout(spark, path, schemas.EXAMPLES)

@@ -1,80 +1,126 @@
 """Examples built as releases arrive, with Structured Streaming.
 
-Every micro-batch pairs its releases with the last known release of each
-repository, builds the examples of the new pairs and overwrites its own
-``batch_id=`` folders, so a replayed batch replaces its earlier output. The last
-release per repository is kept as one table per batch in the output folder.
+Releases are paired in keyed state: each repository keeps its releases in order in Spark's state store, so a micro-batch reads
+and writes the state of the repositories it brings and of no others. A release that comes late splits the pair it falls into;
+the pair it ends is listed as stale. Every micro-batch overwrites its own ``batch_id=`` folders, so a replayed batch
+replaces its earlier output.
 """
 
 from __future__ import annotations
 
+import bisect
+import sys
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from codelineage.operators.diff import PAIR
 from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, example_meta
-from codelineage.operators.joins import salted_join
-from codelineage.operators.releases import ORDER, release_pairs, stable_releases
+from codelineage.operators.releases import release_pairs, stable_releases
 from codelineage.operators.stats import dataset_stats
 from codelineage.plans.dataset import Dataset, build_pairs
 from codelineage.settings import Settings
 from codelineage.sources.sinks import save_examples_chat_jsonl, save_examples_jsonl
 from codelineage.storage import written
 
-STATE = ["repo", "tag_name", "commit_sha", *ORDER]
+# Workers get the state function by value and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+RELEASE = ["at", "release_id", "tag_name", "commit_sha"]
+STATE = "at array<bigint>, release_id array<bigint>, tag_name array<string>, commit_sha array<string>, trimmed boolean"
+EVENTS = "repo string, kind string, from_version string, to_version string, from_sha string, to_sha string"
+PAIRED = [*PAIR, "from_sha", "to_sha"]
+# Releases kept for each repository; what is older than all of them is set aside.
+KEPT_RELEASES = 10_000
 
-def pair_batch(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new pairs, late releases, next state) of one micro-batch.
 
-    A release that is not newer than the last known one of its repository is late:
-    it is set aside for a batch rebuild instead of being paired out of order.
+def pairing(keep: int):
+    """State function: events of one repository for the releases that a micro-batch brings, in any order.
+
+    pair   two neighbours in the order of publication that are new as a pair
+    stale  a pair given before that a late release has split
+    late   a release older than all that are kept (as to_version)
     """
-    rows = stable_releases(batch).select(*STATE)
-    if state is None:
-        fresh, late, known = rows, rows.limit(0), rows.limit(0)
-    else:
-        last = state.select("repo", F.struct(*ORDER).alias("_last"))
-        marked = written(salted_join(rows, last, ["repo"], F.col("release_id"), "left"), "marked")
-        is_late = F.col("_last").isNotNull() & (F.struct(*ORDER) <= F.col("_last"))
-        fresh = marked.filter(~is_late).drop("_last")
-        late = marked.filter(is_late).drop("_last")
-        known = state.join(fresh.select("repo").distinct(), "repo", "left_semi").select(*STATE)
-    pairs = release_pairs(
-        fresh.unionByName(known).withColumn("is_prerelease", F.lit(False))).drop("pair_no")
-    seen = fresh if state is None else fresh.unionByName(state.select(*STATE))
-    next_state = seen.groupBy("repo").agg(
-        F.max_by(F.struct("tag_name", "commit_sha", *ORDER), F.struct(*ORDER)).alias("last")).select("repo", "last.*")
-    return pairs, late, next_state
-
-
-def _advance(spark: SparkSession, batch: DataFrame, batch_id: int, folder: str) -> DataFrame:
-    """Pair one micro-batch, write its pairs, late releases and state, return the pairs."""
-    state = spark.read.parquet(f"{folder}/state/batch_id={batch_id - 1}") if batch_id > 0 else None
-    pairs, late, next_state = pair_batch(batch, state)
-    for name, rows in (("pairs", pairs), ("late_releases", late), ("state", next_state)):
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
-    return spark.read.schema(pairs.schema).parquet(f"{folder}/pairs/batch_id={batch_id}")
-
-
-def _run(releases: DataFrame, folder: str, each_batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    def run(key: tuple, batches, state: GroupState):
+        known, trimmed = [], False
+        if state.exists:
+            *columns, trimmed = state.get
+            known = list(zip(*columns, strict=True))
+        seen, events = {r[:2] for r in known}, []
+        before, after = set(), set()
+        for batch in batches:
+            for release in sorted(batch[RELEASE].itertuples(index=False, name=None)):
+                release = (int(release[0]), int(release[1]), *release[2:])
+                if release[:2] in seen:
+                    continue
+                if trimmed and release < known[0]:
+                    events.append(("late", None, release[2], None, release[3]))
+                    continue
+                seen.add(release[:2])
+                i = bisect.bisect(known, release)
+                left, right = known[i - 1] if i else None, known[i] if i < len(known) else None
+                if left and right:
+                    (after.discard if (left, right) in after else before.add)((left, right))
+                after |= {(a, b) for a, b in ((left, release), (release, right)) if a and b}
+                known.insert(i, release)
+        events += [("stale", a[2], b[2], a[3], b[3]) for a, b in sorted(before)] + [("pair", a[2], b[2], a[3], b[3]) for a, b in sorted(after)]
+        if len(known) > keep:
+            known, trimmed = known[-keep:], True
+        if known:
+            state.update((*[list(c) for c in zip(*known, strict=True)], trimmed))
+        yield pd.DataFrame([(key[0], *e) for e in events], columns=[c.split()[0] for c in EVENTS.split(", ")])
+
+    return run
+
+
+def release_events(releases: DataFrame, keep: int = KEPT_RELEASES) -> DataFrame:
+    """The events of a stream of releases, see :func:`pairing`."""
+    rows = stable_releases(releases).select(
+        "repo", F.unix_micros("published_at").alias("at"), "release_id", "tag_name", "commit_sha")
+    return rows.groupBy("repo").applyInPandasWithState(pairing(keep), EVENTS, STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def _advance(events: DataFrame, batch_id: int, folder: str) -> DataFrame:
+    """Write what one micro-batch gave (computed once), return its new pairs that it did not end itself."""
+    spark, part = events.sparkSession, f"batch_id={batch_id}"
+    events.write.mode("overwrite").parquet(f"{folder}/events/{part}")
+    rows = spark.read.schema(EVENTS).parquet(f"{folder}/events/{part}")
+    late = rows.filter("kind = 'late'").select("repo", F.col("to_version").alias("tag_name"), F.col("to_sha").alias("commit_sha"))
+    for name, table in (("pairs", rows.filter("kind = 'pair'").select(*PAIRED)), ("stale", rows.filter("kind = 'stale'").select(*PAIR)), ("late_releases", late)):
+        table.write.mode("overwrite").parquet(f"{folder}/{name}/{part}")
+    return rows.filter("kind = 'pair'").select(*PAIRED)
+
+
+def _run(releases: DataFrame, folder: str, keep: int, each_batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
-        releases.writeStream.foreachBatch(each_batch)
+        release_events(releases, keep).writeStream.outputMode("update").foreachBatch(each_batch)
         .option("checkpointLocation", f"{folder}/_progress")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def start_pairing(releases: DataFrame, folder: str) -> StreamingQuery:
-    """Pair the releases of a stream as they arrive; results under ``folder/pairs``."""
+def start_pairing(releases: DataFrame, folder: str, keep: int = KEPT_RELEASES) -> StreamingQuery:
+    """Pair the releases of a stream as they arrive, in any order; results for :func:`current_pairs`.
+
+    Of each repository ``keep`` releases stay in the state; one that is older than all of them is listed under
+    ``folder/late_releases`` and left to :func:`catch_up`.
+    """
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        _advance(batch.sparkSession, batch, batch_id, folder)
+        _advance(batch, batch_id, folder)
+
+    return _run(releases, folder, keep, each_batch)
+
 
-    return _run(releases, folder, each_batch)
+def current_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of all releases streamed so far."""
+    pairs = spark.read.parquet(f"{folder}/pairs").select(*PAIRED)
+    return pairs.join(spark.read.parquet(f"{folder}/stale"), PAIR, "left_anti")
 
 
 def start_examples(
@@ -86,20 +132,19 @@ def start_examples(
     settings: Settings = Settings(),
     known_packages: DataFrame | None = None,
     system_prompt: str | None = DEFAULT_SYSTEM_PROMPT,
+    keep: int = KEPT_RELEASES,
 ) -> StreamingQuery:
     """Append the examples of new pairs to dataset, chat and example_meta folders.
 
-    ``all_releases`` and ``files`` are asked once per batch, so that tables that
+    Examples of pairs that a late release has split are listed under ``stale``; :func:`current` leaves them out. ``all_releases`` and ``files`` are asked once per batch, so that tables that
     grow while the stream runs are read as they are then.
     """
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        pairs = _advance(batch.sparkSession, batch, batch_id, folder)
-        if pairs.isEmpty():
-            return
+        pairs = _advance(batch, batch_id, folder)
         built = build_pairs(pairs, all_releases(), files(), created_at, settings, known_packages)
         _save(built, folder, batch_id, system_prompt)
 
-    return _run(releases, folder, each_batch)
+    return _run(releases, folder, keep, each_batch)
 
 
 def _save(built: Dataset, folder: str, batch_id: int, system_prompt: str | None) -> None:
@@ -107,11 +152,7 @@ def _save(built: Dataset, folder: str, batch_id: int, system_prompt: str | None)
     part = f"batch_id={batch_id}"
     save_examples_jsonl(examples, f"{folder}/dataset.jsonl/{part}", mode="overwrite")
     save_examples_chat_jsonl(examples, f"{folder}/dataset_chat.jsonl/{part}", system_prompt, mode="overwrite")
-    meta = example_meta(examples, built.input_parts, built.output_parts)
-    meta.write.mode("overwrite").parquet(f"{folder}/example_meta/{part}")
-    for name, parts in (("input_parts", built.input_parts), ("output_parts", built.output_parts)):
-        if parts is not None:
-            parts.write.mode("overwrite").parquet(f"{folder}/{name}/{part}")
+    example_meta(examples).write.mode("overwrite").parquet(f"{folder}/example_meta/{part}")
     built.rejects.write.mode("overwrite").parquet(f"{folder}/rejects/{part}")
 
 
@@ -121,7 +162,7 @@ def catch_up(
 ) -> None:
     """Bring the output to what one batch over all ``releases`` and ``files`` gives.
 
-    Pairs without an example, because a release came late or its files did, are built into a
+    Pairs without an example, because a release came after all that were kept or its files came late, are built into a
     batch of a negative number; examples whose pair a late release has split are listed in
     ``stale`` and left out by :func:`current`. Run it while no stream writes to the folder.
     """
@@ -132,12 +173,12 @@ def catch_up(
     stale = written(done.join(wanted, PAIR, "left_anti").select(*PAIR).distinct(), "stale")
     number = min(0, done.agg(F.min("batch_id")).first()[0] or 0) - 1
     _save(build_pairs(missing, releases, files, created_at, settings, known_packages), folder, number, system_prompt)
-    stale.write.mode("overwrite").parquet(f"{folder}/stale")
+    stale.write.mode("overwrite").parquet(f"{folder}/stale/batch_id={number}")
 
 
 def current(rows: DataFrame, folder: str) -> DataFrame:
     """The rows of an output table (by repo_name and versions) that no later release has made stale."""
-    stale = rows.sparkSession.read.parquet(f"{folder}/stale").withColumnRenamed("repo", "repo_name")
+    stale = rows.sparkSession.read.parquet(f"{folder}/stale").drop("batch_id").withColumnRenamed("repo", "repo_name")
     return rows.join(stale, ["repo_name", *PAIR[1:]], "left_anti")
 
 

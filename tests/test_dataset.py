@@ -1,6 +1,8 @@
 import gzip
+import hashlib
 import io
 import json
+import random
 import tarfile
 from pathlib import Path
 
@@ -15,8 +17,8 @@ from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
 from codelineage.sources import sinks
 from codelineage.sources.archives import read_release_archives
-from codelineage.sources.tables import read_config, read_examples
-from codelineage.streaming.incremental import catch_up, current, running_stats, start_examples, start_pairing
+from codelineage.sources.tables import read_config, read_examples, read_records
+from codelineage.streaming.incremental import catch_up, current, current_pairs, running_stats, start_examples, start_pairing
 from helpers import files, releases
 
 NOW = "2024-01-01T00:00:00"
@@ -54,7 +56,7 @@ def section(path, content):
 
 
 def test_example(built, rows):
-    assert built.examples.columns == schemas.EXAMPLE_COLUMNS and set(rows) == {("a/b", "v1"), ("a/b", "v2")}
+    assert built.examples.columns == schemas.RECORD_COLUMNS and set(rows) == {("a/b", "v1"), ("a/b", "v2")}
     row = rows["a/b", "v1"]
     codebase = "\n".join([
         "# Repository: a/b", "# Version: v1", "# Total Files: 5", "# Total Size: 35 bytes", "",
@@ -75,21 +77,28 @@ def test_pairs_without_files_are_rejected_not_fatal(built):
         ("a/b", "v1", "v2", "no files for dependency numpy/numpy main"), ("a/b", "v3", "v4", "no files for v4")]
 
 
+def joined(records):
+    """{(repo, from_version): (input, output)} from the parts."""
+    texts = {}
+    for r in sorted(records, key=lambda r: r.part_no):
+        a, b = texts.get((r.repo_name, r.from_version), ("", ""))
+        assert r.input_text is not None and r.output_text is not None
+        texts[r.repo_name, r.from_version] = (a + r.input_text, b + r.output_text)
+    return texts
+
+
 @pytest.mark.parametrize("large", [False, True])
 def test_parts_equal_the_whole_texts(tables, rows, large, monkeypatch):
     if large:  # the ways taken beyond the counted bounds
         monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    cut = build_dataset(*tables, NOW, Settings(max_cell_bytes=700))
-    parts = {}
-    for side, table in (("input_text", cut.input_parts), ("output_text", cut.output_parts)):
-        for r in table.orderBy("part_no").collect():
-            parts[r.repo, r.from_version, side] = parts.get((r.repo, r.from_version, side), "") + r.text
-    got = {(r.repo_name, r.from_version): r for r in cut.examples.collect()}
-    assert parts and set(got) == set(rows)
-    for key, row in rows.items():
-        for side in ("input_text", "output_text"):
-            assert (got[key][side] or parts[*key, side]) == row[side]
-        assert got[key].input_tokens_approx == row.input_tokens_approx and got[key].output_tokens_approx == row.output_tokens_approx
+        monkeypatch.setattr(ordered, "CHUNK_ROWS", 3)
+    records = build_dataset(*tables, NOW, Settings(max_cell_bytes=700)).examples.collect()
+    assert joined(records) == {k: (r.input_text, r.output_text) for k, r in rows.items()}
+    for r in records:
+        whole = rows[r.repo_name, r.from_version]
+        assert (r.input_tokens_approx, r.output_tokens_approx, r.num_dependencies) == (whole.input_tokens_approx, whole.output_tokens_approx, whole.num_dependencies)
+        assert r.parts == sum(x.repo_name == r.repo_name and x.from_version == r.from_version for x in records)
+    assert len(records) > len(rows)
 
 
 def test_large_ways_give_the_same_examples(tables, rows, monkeypatch):
@@ -117,13 +126,20 @@ def test_single_repository(tables):
     assert build_single("no/where", *tables, NOW).examples.count() == 0
 
 
-def test_split_is_an_exact_partition(spark):
+def test_split_is_an_exact_partition(spark, monkeypatch):
     rows = spark.range(103).select(
         F.lit("r").alias("repo_name"), F.col("id").cast("string").alias("from_version"), F.lit("x").alias("to_version"), "id")
     for ratio, n in ((0.9, 92), (0.0, 0), (1.0, 103)):
         train, validation = ex.split_examples(rows, ratio)
         a, b = {r.id for r in train.collect()}, {r.id for r in validation.collect()}
         assert len(a) == n and not a & b and len(a | b) == 103
+    monkeypatch.setattr(ex, "RADIX", 1)  # several passes
+    again = {r.id for r in ex.split_examples(rows, 0.37)[0].collect()}
+    order = sorted(range(103), key=lambda i: hashlib.md5(f"42|r|{i}|x".encode()).hexdigest())
+    assert again == set(order[:38])
+    records = rows.withColumn("part_no", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+    train, validation = ex.split_examples(records, 0.37)
+    assert {r.id for r in train.collect()} == again and train.count() == 3 * 38 and validation.count() == 3 * 65
     assert {r.id for r in ex.split_examples(rows, seed=1)[0].collect()} != {r.id for r in ex.split_examples(rows, seed=2)[0].collect()}
 
 
@@ -133,7 +149,7 @@ def test_written_outputs(spark, built, rows, tmp_path):
     lines = [x for p in parts for x in gzip.open(p, "rt", encoding="ascii")]
     records = [json.loads(x) for x in lines]
     assert {(r["repo_name"], r["from_version"]): r["input_text"] for r in records} == {k: r.input_text for k, r in rows.items()}
-    assert all(list(r) == schemas.EXAMPLE_COLUMNS for r in records) and all("\\u00e9" in x.lower() for x in lines if '"v1"' in x)
+    assert all(list(r) == schemas.RECORD_COLUMNS for r in records) and all("\\u00e9" in x.lower() for x in lines if '"v1"' in x)
     chat = [json.loads(x) for p in (tmp_path / "out/dataset_chat.jsonl").glob("*.json.gz") for x in gzip.open(p, "rt")]
     assert [m["role"] for m in chat[0]["messages"]] == ["system", "user", "assistant"] and len(chat[0]["metadata"]) == 5
     assert read_examples(spark, str(tmp_path / "out/dataset.parquet")).count() == len(rows)
@@ -173,12 +189,17 @@ def landing(spark, folder, rows):
 def test_texts_in_parts_are_written_and_counted(spark, tables, rows, tmp_path):
     cut = build_dataset(*tables, NOW, Settings(max_cell_bytes=700))
     sinks.save_dataset(cut, str(tmp_path / "cut"), "both")
-    for side in ("input", "output"):
-        kept = {(r.repo_name, r.from_version): r[f"{side}_text"] or "" for r in read_examples(spark, str(tmp_path / "cut/dataset.parquet")).collect()}
-        for r in spark.read.parquet(str(tmp_path / f"cut/{side}_parts.parquet")).orderBy("part_no").collect():
-            kept[r.repo, r.from_version] += r.text
-        assert kept == {k: r[f"{side}_text"] for k, r in rows.items()}
-    meta = ex.example_meta(cut.examples, cut.input_parts, cut.output_parts)
+    want = {k: (r.input_text, r.output_text) for k, r in rows.items()}
+    for kind in ("parquet", "jsonl"):
+        assert joined(read_records(spark, str(tmp_path / f"cut/dataset.{kind}")).collect()) == want
+    chat = [json.loads(x) for p in (tmp_path / "cut/dataset_chat.jsonl").glob("*.json.gz") for x in gzip.open(p, "rt")]
+    said = {}
+    for r in sorted(chat, key=lambda r: r["part_no"]):
+        key = (r["metadata"]["repo_name"], r["metadata"]["from_version"])
+        a, b = said.get(key, ("", ""))
+        said[key] = (a + r["messages"][1]["content"], b + r["messages"][2]["content"])
+    assert said == want
+    meta = ex.example_meta(cut.examples)
     assert {(r.repo_name, r.from_version): (r.input_size, r.output_size) for r in meta.collect()} == {
         k: (len(r.input_text), len(r.output_text)) for k, r in rows.items()}
 
@@ -201,7 +222,7 @@ def test_incremental_run_equals_the_batch_run(spark, tables, rows, tmp_path):
     for part in (RELEASES[:1], RELEASES[1:2] + RELEASES[4:], RELEASES[2:4]):
         landing(spark, source, part)
     start_examples(stream(spark, source), lambda: tables[0], lambda: tables[1], out, NOW).awaitTermination()
-    got = {(r.repo_name, r.from_version): r for r in read_examples(spark, out + "/dataset.jsonl").select(*schemas.EXAMPLE_COLUMNS).collect()}
+    got = {(r.repo_name, r.from_version): r for r in read_records(spark, out + "/dataset.jsonl").select(*schemas.RECORD_COLUMNS).collect()}
     assert got == rows
     stats = running_stats(spark, out).first()
     assert stats.num_examples == len(rows) and stats.input_size_max == max(len(r.input_text) for r in rows.values())
@@ -216,18 +237,45 @@ def test_catching_up_equals_the_batch_run(spark, tables, rows, tmp_path):
         landing(spark, source, part)
     late = tables[1].filter("NOT (repo = 'a/b' AND version = 'v1')")
     start_examples(stream(spark, source), lambda: tables[0], lambda: late, out, NOW).awaitTermination()
-    assert not spark.read.parquet(out + "/pairs").filter("to_version = 'v2'").count()
+    assert {(r.from_version, r.to_version) for r in spark.read.parquet(out + "/stale").collect()} == {("v1", "v3")}
     for _ in range(2):
         catch_up(*tables, out, NOW)
-        got = current(read_examples(spark, out + "/dataset.jsonl").select(*schemas.EXAMPLE_COLUMNS), out).collect()
+        got = current(read_records(spark, out + "/dataset.jsonl").select(*schemas.RECORD_COLUMNS), out).collect()
         assert len(got) == len(rows) and {(r.repo_name, r.from_version): r for r in got} == rows
 
 
-def test_late_releases_are_set_aside(spark, tmp_path):
+def test_releases_in_any_order_split_their_pairs(spark, tmp_path):
+    source, out, rng = str(tmp_path / "in"), str(tmp_path / "out"), random.Random(3)
+    given = [(f"o/r{i % 3}", f"v{i}", f"2024-01-{1 + i % 17:02d}", i, i % 10 == 0) for i in range(60)]
+    rng.shuffle(given)
+    for k in range(0, 60, 12):  # five batches, the stream started anew before the last two
+        if k == 36:
+            start_pairing(stream(spark, source), out).awaitTermination()
+        landing(spark, source, given[k:k + 12] + given[:k:7])
+    start_pairing(stream(spark, source), out).awaitTermination()
+    got = [(r.repo, r.from_version, r.to_version) for r in current_pairs(spark, out).collect()]
+    want = []
+    for repo in ("o/r0", "o/r1", "o/r2"):
+        tags = [t for _, _, t in sorted((r[2], r[3], r[1]) for r in given if r[0] == repo and not r[4])]
+        want += [(repo, a, b) for a, b in zip(tags, tags[1:], strict=False)]
+    assert sorted(got) == sorted(want)
+    assert len([p for p in (tmp_path / "out/events").iterdir() if p.name.startswith("batch_id")]) == 5
+
+
+def test_a_batch_touches_the_state_of_its_repositories_alone(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    landing(spark, source, [(f"o/r{i}", "v1", "2024-01-01", i) for i in range(200)])
+    landing(spark, source, [("o/r7", "v2", "2024-01-02", 500)])
+    query = start_pairing(stream(spark, source), out)
+    query.awaitTermination()
+    updated = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.numInputRows]
+    assert updated == [200, 1]
+
+
+def test_releases_beyond_what_is_kept_are_set_aside(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for part in ([("o/r", "v1", "2024-01-01", 1), ("o/r", "v3", "2024-03-01", 3)], [("o/r", "v2", "2024-02-01", 2), ("o/r", "v4", "2024-04-01", 4)]):
         landing(spark, source, part)
-        start_pairing(stream(spark, source), out).awaitTermination()
-    pairs = spark.read.parquet(out + "/pairs").collect()
-    assert sorted((r.from_version, r.to_version) for r in pairs) == [("v1", "v3"), ("v3", "v4")]
+        start_pairing(stream(spark, source), out, keep=1).awaitTermination()
+    assert sorted((r.from_version, r.to_version) for r in current_pairs(spark, out).collect()) == [("v1", "v3"), ("v3", "v4")]
     assert [r.tag_name for r in spark.read.parquet(out + "/late_releases").collect()] == ["v2"]

@@ -1,9 +1,10 @@
 import difflib
 import random
+from collections import Counter
 
 import pytest
 
-from codelineage.operators import diff, render
+from codelineage.operators import diff, ordered, render
 from codelineage.operators.releases import release_pairs
 from codelineage.settings import Settings
 from helpers import by, files, releases
@@ -114,3 +115,49 @@ def test_near_renames(spark):
     row = by(run(spark, old, new, near_threshold=0.5), "file_path")["b/x.py"]
     assert row.diff_content.startswith("--- a/a/x.py\n+++ b/b/x.py\n@@ -18,3 +18,4 @@\n") and (row.additions, row.deletions) == (1, 0)
     assert {r.change_type for r in run(spark, old, new).collect()} == {"added", "deleted"}
+
+
+def brute_near_renames(old, new, threshold):
+    """{new path: old path}: contents of two sides compared by all their lines, the best couple first, over all couples."""
+    same = set(old.items()) & set(new.items())
+    gone = {p: c for p, c in old.items() if p not in new}
+    came = {p: c for p, c in new.items() if p not in old}
+    assert not same & set(gone.items())
+    classes = lambda side: {c: sorted(p for p in side if side[p] == c) for c in set(side.values())}
+    a, b = classes(gone), classes(came)
+    first_a, first_b, scored = {c: p[0] for c, p in a.items()}, {c: p[0] for c, p in b.items()}, []
+    for x in a:
+        for y in b:
+            lx, ly = Counter(x.splitlines(keepends=True)), Counter(y.splitlines(keepends=True))
+            size = lambda lines: sum(len(k.encode()) * n for k, n in lines.items())
+            larger = max(size(lx), size(ly))
+            if larger and size(lx & ly) >= larger * threshold:
+                scored.append((-size(lx & ly) / larger, first_a[x], first_b[y], x, y))
+    matched = {}
+    for *_, x, y in sorted(scored):
+        for _ in range(min(len(a[x]), len(b[y]))):
+            matched[b[y].pop(0)] = a[x].pop(0)
+    return matched
+
+
+@pytest.mark.parametrize("seed,threshold", [(1, 0.5), (2, 0.8), (3, 0.2)])
+def test_near_renames_equal_all_couples(spark, seed, threshold, monkeypatch):
+    rng = random.Random(seed)
+    lines = [f"line {i} {'x' * rng.randint(0, 9)}\n" for i in range(40)] + ["\n", "import os\n", "# licence\n"]
+    old, new = {}, {}
+    for i in range(60):
+        body = ["# licence\n", "import os\n"] + [rng.choice(lines) for _ in range(rng.randint(0, 12))]
+        name = rng.choice(["__init__.py", "index.md", f"f{i}.py"])
+        old[f"a{i}/{name}"] = "".join(body)
+        for k in range(rng.randint(0, 2)):
+            edited = [x for x in body if rng.random() > 0.2] + [rng.choice(lines) for _ in range(rng.randint(0, 4))]
+            new[f"b{i}{k}/{rng.choice([name, f'g{i}.py'])}"] = "".join(edited) + "end"
+    old |= {f"same{i}/x": "twin\n" * 9 for i in range(5)}
+    new |= {f"other{i}/y": "twin\n" * 9 + "more" for i in range(3)} | {"empty": ""}
+    new = {p: c for p, c in new.items() if c not in set(old.values())}
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 100)
+    got = by(run(spark, old, new, near_threshold=threshold), "file_path")
+    want = brute_near_renames(old, new, threshold)
+    assert {p: r.old_path for p, r in got.items() if r.change_type == "renamed"} == want and len(want) > 10
+    assert {p for p, r in got.items() if r.change_type == "deleted"} == set(old) - set(want.values())
+    assert {p for p, r in got.items() if r.change_type == "added"} == set(new) - set(want)

@@ -96,24 +96,30 @@ def test_file_tree(spark):
     assert render.file_trees(rows).first().tree == want
 
 
-def test_parts_make_up_the_text(spark):
+@pytest.mark.parametrize("part_bytes,separator", [(64, ""), (64, "\n"), (1, "||"), (1 << 28, "\n")])
+def test_parts_make_up_the_text(spark, part_bytes, separator):
     pieces = spark.range(200).select(
         (F.col("id") % 2).alias("key"), F.col("id").alias("place"), F.concat(F.lit("é"), F.repeat(F.lit("x"), (F.col("id") % 9).cast("int"))).alias("piece"))
-    parts = render.text_parts(pieces, ["key"], ["place"], 64).orderBy("key", "part_no").collect()
-    for key in (0, 1):
-        want = "".join("é" + "x" * (i % 9) for i in range(key, 200, 2))
-        mine = [r.text for r in parts if r.key == key]
-        assert "".join(mine) == want and len(mine) > 5 and max(len(t.encode()) for t in mine) < 64 + 11
-
-
-def test_texts_beyond_a_cell_stay_available_in_parts(spark):
+    pieces = pieces.unionByName(spark.createDataFrame([(7, 0, "")], pieces.schema))
+    parts = render.text_parts(pieces, ["key"], ["place"], part_bytes, separator).orderBy("key", "part_no").collect()
+    for key in (0, 1, 7):
+        want = separator.join("é" + "x" * (i % 9) for i in range(key, 200, 2)) if key < 7 else ""
+        mine = [r for r in parts if r.key == key]
+        assert "".join(r.text for r in mine) == want and [r.part_no for r in mine] == list(range(len(mine)))
+        for r in mine:
+            assert want[r.char_start:].startswith(r.text) and want.encode()[r.byte_start:].startswith(r.text.encode()) and r.parts == len(mine)
+        assert max(len(r.text.encode()) for r in mine) < part_bytes + 11 + len(separator)
+        assert len(mine) == (1 if key == 7 or part_bytes > 1000 else 100 if part_bytes == 1 else len(mine)) and (part_bytes > 1000 or key == 7 or len(mine) > 5)
+
+
+def test_texts_come_in_as_many_parts_as_they_need(spark):
     rows = snapshot.classified(files(spark, [("o/r", "v1", f"f{i}", "x" * 50) for i in range(20)] + [("o/s", "v1", "f", "y")]))
-    cut = render.snapshot_texts(rows, include_header=False, max_bytes=1000)
-    assert by(cut.select("repo", "num_files"), "repo")["o/r"].num_files == 20
-    assert by(cut.filter("repo = 'o/s'"), "repo")["o/s"].text.endswith("y\n")
-    with pytest.raises(Exception, match="text_parts: o/r v1"):
-        cut.collect()
-    whole = by(render.snapshot_texts(rows, include_header=False), "repo")["o/r"].text
-    pieces = render.snapshot_sections(rows).filter("repo = 'o/r'").withColumn("piece", F.concat("piece", F.lit("\n")))
-    parts = render.text_parts(pieces, ["repo", "version"], ["path"], 1000).orderBy("part_no").collect()
-    assert len(parts) > 3 and "".join(r.text for r in parts) == whole + "\n"
+    for header in (True, False):
+        cut = render.snapshot_texts(rows, header, max_bytes=1000).orderBy("repo", "part_no").collect()
+        whole = by(render.snapshot_texts(rows, header), "repo")
+        for repo in ("o/r", "o/s"):
+            mine = [r for r in cut if r.repo == repo]
+            assert "".join(r.text for r in mine) == whole[repo].text and {r.num_files for r in mine} == {whole[repo].num_files}
+            assert len(mine) == mine[0].parts and (len(mine) > 3) == (repo == "o/r")
+    tree = render.file_trees(rows, 40).orderBy("repo", "part_no").collect()
+    assert "".join(r.tree for r in tree if r.repo == "o/r") == by(render.file_trees(rows), "repo")["o/r"].tree and len(tree) > 4
