@@ -89,15 +89,15 @@ NEAR_ROWS = """
     UNION ALL SELECT repo, from_version, to_version, new_path, old_path, 'renamed' FROM near"""
 
 
-@query("c3_near_renames", near_sql("fx_loose", 0.5) + NEAR_ROWS + """
-    UNION ALL SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r WHERE change_type IN ('modified', 'renamed')""")
+@query("c3_near_renames", "SELECT * FROM (" + near_sql("fx_loose", 0.5) + NEAR_ROWS + """
+    UNION ALL SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r WHERE change_type IN ('modified', 'renamed'))""")
 def c3_near(x):
     rows = diff.changed_files(pairs3(x), table3(x), near_threshold=0.5)
     return rows.select(*PAIR, "path", "old_path", "change_type")
 
 
-@query("c3_moved_and_edited", near_sql("fx_moved_loose", 0.7) + NEAR_ROWS + """
-    UNION ALL SELECT repo, from_version, to_version, path, NULL, 'modified' FROM fx_moved_changes WHERE old_content IS NOT NULL AND new_content IS NOT NULL""")
+@query("c3_moved_and_edited", "SELECT * FROM (" + near_sql("fx_moved_loose", 0.7) + NEAR_ROWS + """
+    UNION ALL SELECT repo, from_version, to_version, path, NULL, 'modified' FROM fx_moved_changes WHERE old_content IS NOT NULL AND new_content IS NOT NULL)""")
 def c3_moved(x):
     """Every file moved, renamed or edited, many of one name; exact and near renames in one matching."""
     files = written(x.moved(), "moved")

@@ -368,7 +368,7 @@ VIEWS = {
     "fx_moved": MOVED.format(documents="documents", versions="""
         (SELECT unnest([0, 1, 2]) AS k, unnest(['v1.0.0', 'v1.1.0', 'v2.0.0']) AS version)"""),
     "fx_moved_changes": """
-        SELECT p.repo, p.from_version, p.to_version, path, o.content AS old_content, n.content AS new_content
+        SELECT p.repo, p.from_version, p.to_version, p.path, o.content AS old_content, n.content AS new_content
         FROM (SELECT DISTINCT p.*, f.path FROM fx_pairs3 p JOIN fx_moved f ON f.repo = p.repo AND f.version IN (p.from_version, p.to_version)) p
         LEFT JOIN fx_moved o ON o.repo = p.repo AND o.version = p.from_version AND o.path = p.path
         LEFT JOIN fx_moved n ON n.repo = p.repo AND n.version = p.to_version AND n.path = p.path

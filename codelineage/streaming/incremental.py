@@ -141,6 +141,8 @@ def start_examples(
     """
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         pairs = _advance(batch, batch_id, folder)
+        if pairs.isEmpty():
+            return
         built = build_pairs(pairs, all_releases(), files(), created_at, settings, known_packages)
         _save(built, folder, batch_id, system_prompt)
 
