@@ -12,6 +12,8 @@ import html
 import math
 import random
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -24,10 +26,15 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var br wbr img".split())
-_DROPPED = frozenset(
-    "script style head title noscript template svg math iframe object canvas audio video textarea select button "
-    "datalist map noframes".split())
+    "strike strong sub sup time tt u var br wbr img audio canvas map object optgroup option video".split())
+# MathML, whose text stands in a line.
+_MATH = frozenset(
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+# Elements without text of the page, with all they hold.
+_DROPPED = frozenset("template svg select button datalist annotation annotation-xml".split())
+# What may stand in a head; anything else ends it.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 _RAW = frozenset("script style textarea title noscript iframe noframes".split())
 # An element of the first names ends an open one of the second when it begins.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -62,12 +69,49 @@ class Page:
     texts: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters of links
 
 
+_DROPPED_TAG = re.compile(rf"<(/?)({'|'.join(sorted(_DROPPED, key=len, reverse=True))})(?=[\s/>])", re.I)
+
+
+class _Open:
+    """Open elements from the page down, found by name in logarithmic time."""
+
+    def __init__(self):
+        self.nodes, self.names, self.places = [0], ["body"], defaultdict(list)
+
+    def push(self, node: int, name: str) -> None:
+        self.places[name].append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from place ``at`` on."""
+        while len(self.nodes) > at:
+            self.nodes.pop()
+            self.places[self.names.pop()].pop()
+
+    def last(self, names) -> int:
+        return max((self.places[x][-1] for x in names if self.places[x]), default=0)
+
+    def first_behind(self, names, low: int) -> int | None:
+        found = [self.places[x][i] for x in names if (i := bisect_left(self.places[x], low + 1)) < len(self.places[x])]
+        return min(found, default=None)
+
+
 def parse(source: str) -> Page:
-    """The page's tree; elements left open end where the standard ends them, stray ends are ignored."""
-    page = Page()
-    stack = [0]
+    """The page's tree; elements left open end where the standard ends them, stray ends are ignored.
+
+    A head ends at the first thing that cannot stand in it. A dropped element (form controls, drawings, templates) takes what it
+    holds along up to its end; one that is never ended, or not before the next of its name, takes along the text up to the next block
+    only. The time is linear in the page, however deep its elements nest.
+    """
+    page, open_ = Page(), _Open()
     pieces: list[str] = []
-    linked, in_link, dropped, at, n = 0, False, 0, 0, len(source)
+    linked, in_link, in_head, at, n = 0, False, False, 0, len(source)
+    # Of each dropped name the places of its starts and ends; the one that is open now, and whether a block ends it.
+    tags = defaultdict(lambda: ([], []))
+    for m in _DROPPED_TAG.finditer(source):
+        tags[m[2].lower()][bool(m[1])].append(m.start())
+    dropped, loose = "", False
 
     def close_text():
         nonlocal linked
@@ -75,14 +119,21 @@ def parse(source: str) -> Page:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                page.texts.append((stack[-1], text, linked))
+                page.texts.append((open_.nodes[-1], text, linked))
         linked = 0
 
+    def unending(name, place):
+        starts, ends = tags[name]
+        i, j = bisect_left(starts, place), bisect_left(ends, place)
+        return j == len(ends) or i < len(starts) and starts[i] < ends[j]
+
     while at < n:
         mark = source.find("<", at)
         m = _TOKEN.match(source, mark) if mark >= 0 else None
         end = n if mark < 0 else mark if m else mark + 1
         if end > at and not dropped:
+            if in_head and source[at:end].strip():
+                in_head = False
             pieces.append(source[at:end])
             if in_link:
                 linked += end - at
@@ -99,59 +150,69 @@ def parse(source: str) -> Page:
             close = re.compile(f"</{name}\\b[^>]*>", re.I).search(source, at)
             at = close.end() if close else n
             continue
-        if name in _DROPPED:
-            # Nested ones of all names count together: none of their text is kept.
-            dropped = max(0, dropped + (-1 if ending else 0 if rest.endswith("/") else 1))
+        if name in _DROPPED and (not dropped or name == dropped):
+            if ending:
+                dropped = ""
+            elif not rest.endswith("/") or name not in ("svg", "annotation", "annotation-xml"):
+                dropped, loose = name, unending(name, at)
             continue
+        block = name not in _INLINE and name not in _MATH and name not in _DROPPED
         if dropped:
-            if name != "body":
+            if not (loose and block):
                 continue
-            dropped = 0  # the head was left open
+            dropped = ""
+        if in_head and (ending or name not in _IN_HEAD):
+            in_head = False
         if name == "a":
             in_link = not ending
-        if name in _INLINE:
+        if not block:
             if name == "br" or name == "img":
                 pieces.append(" ")
             continue
         close_text()
         in_link = False
-        if name in ("html", "body"):
+        if name == "head":
+            in_head = not ending
+        if name in ("html", "head", "body"):
+            if name == "body" and not ending:
+                page.label[0] = _label(rest, page.label[0])
             continue
         if ending:
-            if name in (page.tag[i] for i in stack[1:]):
-                while page.tag[stack.pop()] != name:
-                    pass
+            if open_.places[name]:
+                open_.cut(open_.places[name][-1])
             continue
         if name in _VOID:
             continue
-        if page.tag[stack[-1]] == "p" and len(stack) > 1:
-            stack.pop()
+        if open_.names[-1] == "p" and len(open_.nodes) > 1:
+            open_.cut(len(open_.nodes) - 1)
         if name in _ENDS:
-            low = max((i for i in range(len(stack)) if page.tag[stack[i]] in _HOLDS[name]), default=0)
-            found = [i for i in range(low + 1, len(stack)) if page.tag[stack[i]] in _ENDS[name]]
-            if found:
-                del stack[found[0]:]
-        hint, label = "", page.label[stack[-1]]
+            found = open_.first_behind(_ENDS[name], open_.last(_HOLDS[name]))
+            if found is not None:
+                open_.cut(found)
+        hint = ""
         for a, *values in _ATTRIBUTE.findall(rest) if rest else ():
-            if a == "y":
-                label = int("".join(values) or 0)
-            else:
+            if a != "y":
                 hint += " " + (a if a.lower() == "hidden" else "".join(values))
         words = _HINT.findall(hint)
         page.hints.append((any(map(_AWAY.match, words)), any(map(_TOWARDS.match, words))))
-        page.parent.append(stack[-1])
+        page.parent.append(open_.nodes[-1])
         page.tag.append(name)
-        page.label.append(label)
-        stack.append(len(page.parent) - 1)
+        page.label.append(_label(rest, page.label[open_.nodes[-1]]))
+        open_.push(len(page.parent) - 1, name)
     close_text()
     return page
 
 
+def _label(attributes: str, otherwise: int) -> int:
+    found = ["".join(values) for a, *values in _ATTRIBUTE.findall(attributes) if a == "y"] if attributes else []
+    return int(found[-1] or 0) if found else otherwise
+
+
 _NAMES = sorted(set(_TAG_GROUPS.values())) + ["other"]
 FEATURES = {f: i for i, f in enumerate(
     [f"tag:{t}" for t in _NAMES] + ["bias", "away", "towards"]
     + [f"own:{i}" for i in range(5)] + [f"all:{i}" for i in range(5)] + [f"links:{i}" for i in range(4)]
-    + ["sentence", "sign", "depth:1", "depth:2", "depth:3"])}
+    + ["sentence", "sign", "depth:1", "depth:2", "depth:3", "inside", "beside", "bare"])}
 
 
 def _size(n: int) -> int:
@@ -170,6 +231,14 @@ def features(page: Page) -> list[list[int]]:
     for i in range(n - 1, 0, -1):
         whole[page.parent[i]] += whole[i]
         links[page.parent[i]] += links[i]
+    # Containers that are marked as the article and hold text; what stands in them, and what stands beside them.
+    inside, over = [False] * n, [False] * n
+    for i in range(n):
+        marked = page.tag[i] in ("article", "main") and whole[i] > 0 or page.hints[i][1] and whole[i] >= 25
+        own_mark = marked and not page.hints[i][0] and i > 0
+        inside[i] = own_mark or i > 0 and inside[page.parent[i]]
+    for i in range(n - 1, 0, -1):
+        over[page.parent[i]] |= over[i] or inside[i]
     out = []
     for i in range(n):
         if i:
@@ -177,6 +246,7 @@ def features(page: Page) -> list[list[int]]:
         share = links[i] / max(1, whole[i])
         names = [f"tag:{_TAG_GROUPS.get(page.tag[i], 'other')}", "bias", f"own:{_size(own[i])}", f"all:{_size(whole[i])}",
                  f"links:{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}", f"depth:{min(3, max(1, depth[i]))}"]
+        names.append("inside" if inside[i] else "bare" if not over[0] else "beside")
         if page.hints[i][0]:
             names.append("away")
         if page.hints[i][1]:
@@ -269,7 +339,7 @@ def learn(sources: list[str], rounds: int = 100, rate: float = 2.0, decay: float
     return Field(own.tolist(), pair.tolist())
 
 
-def labelled_pages(n: int = 60, seed: int = 5) -> list[str]:
+def labelled_pages(n: int = 90, seed: int = 5) -> list[str]:
     """Made pages in many layouts; the article's elements carry y=1, all others y=0."""
     rng = random.Random(seed)
     pick, chance = rng.choice, rng.random
@@ -302,8 +372,9 @@ def labelled_pages(n: int = 60, seed: int = 5) -> list[str]:
         "share": lambda: block(["div", "ul"], ["share", "social-links", "breadcrumbs", "pagination"], links(1, 4)),
     }
 
-    def article():
-        body = [f"<h1>{words(2, 9)}</h1>"] if chance() < 0.8 else []
+    def article(bare=False):
+        title = f"<h1>{words(2, 9)}</h1>"
+        body = [title if bare or chance() < 0.7 else f"<header>{title}{pick(['', f'<p>{sentence()}</p>'])}</header>"] if chance() < 0.8 else []
         for _ in range(rng.choice((1, 1, 2, 3, 4, 6, 9))):
             kind = chance()
             text = inline(prose(1, 6) if chance() < 0.8 else words(1, 4))
@@ -315,7 +386,9 @@ def labelled_pages(n: int = 60, seed: int = 5) -> list[str]:
                 body.append("<ul>" + "".join(f"<li>{sentence()}</li>" for _ in range(rng.randint(1, 4))) + "</ul>")
             elif kind < 0.92:
                 body.append(f"<blockquote>{prose(1, 2)}</blockquote>")
-            elif kind < 0.96:
+            elif kind < 0.94:
+                body.append(f"<figure><img src={word()}><figcaption>{sentence()}</figcaption></figure>")
+            elif kind < 0.97:
                 body.append("<table><tr>" + "".join(f"<td>{words(1, 3)}</td>" for _ in range(3)) + "</table>")
             else:
                 body.append(f"<pre>{words(3, 12)}</pre>")
@@ -323,16 +396,28 @@ def labelled_pages(n: int = 60, seed: int = 5) -> list[str]:
                 body.append(parts[pick(["ad", "share", "aside", "form"])]())
         if chance() < 0.15:
             body.append(parts["comments"]())
+        if bare:
+            return "".join(f"{x[:x.index('>')].rstrip('/')} y=1{x[x.index('>'):]}" if x.startswith("<") and " y=0" not in x[:x.index(">")] else x for x in body)
         name, own = pick([("article", ""), ("article", ""), ("main", ""), ("div", "content"), ("div", "post-body"), ("div", "article"), ("section", "story"), ("div", "entry-text"), ("div", "mainContent")])
         inner = "".join(body)
         if own or chance() < 0.7:
             return f'<{name}{f" class={own}" if own else ""} y=1>{inner}</{name}>'
-        return f"<{name} y=1><div>{inner}</div></{name}>"
+        outer = pick(["main", "main", "section", "div class=content"])
+        return f"<{name} y=1><div>{inner}</div></{name}>" if chance() < 0.4 else f"<{outer} y=1><{name}>{inner}</{name}></{outer.split()[0]}>"
 
     pages = []
     for _ in range(n):
         before = [parts[k]() for k in rng.sample(["nav", "header", "ad", "notice", "share", "form"], rng.randint(1, 4))]
         after = [parts[k]() for k in rng.sample(["footer", "aside", "comments", "ad", "form", "nav"], rng.randint(0, 4))]
+        kind = chance()
+        if kind < 0.08:  # nothing but text, or paragraphs and a few others
+            pages.append(pick([f"<body y=1>{prose(2, 6)}", f"<html><body y=1>{prose(1, 3)}<br><br>{prose(1, 4)}</body></html>"]))
+            continue
+        if kind < 0.3:  # no element holds the article
+            some = lambda x: [y for y in x if chance() < 0.5]
+            inner = "".join([*some(before), article(bare=True), *some(after)])
+            pages.append(f"<html><head><title>{words(2, 5)}</title></head><body>{inner}" + pick(["</body></html>", ""]))
+            continue
         inner = "".join([*before, article() if chance() < 0.95 else "", *after])
         if chance() < 0.4:
             inner = f'<div{pick(["", " id=wrapper", " class=container", " class=page"])} y=0>{inner}</div>'
