@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from codelineage.functions.requirements import (
     bare_name, bare_requirement, bare_spec, is_manifest_line, is_requirement,
@@ -27,14 +26,7 @@ SNAPSHOT = ["repo", "version"]
 PLACE = ["source_rank", "path", "position"]
 PARSED = [*SNAPSHOT, *PLACE, "name", "version_spec"]
 
-TOML_DEPENDENCIES = T.StructType([
-    T.StructField("deps", T.ArrayType(T.StructType([
-        T.StructField("text", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("version", T.StringType()),
-    ]))),
-    T.StructField("error", T.StringType()),
-])
+TOML_ENTRIES = "entries array<struct<path: array<string>, kind: string, value: string>>, error string"
 
 
 def manifest_rank(path: Column) -> Column:
@@ -89,37 +81,62 @@ def _parsed(rows: DataFrame, text: Column) -> DataFrame:
         *SNAPSHOT, *PLACE, bare_name(bare).alias("name"), bare_spec(bare).alias("version_spec"))
 
 
-def read_pyproject(text: str):
-    """Requirement strings of [project], then name and version of the Poetry table."""
+def toml_entries(text: str) -> list[tuple[list[str], str, str | None]]:
+    """Every value of a TOML text in order as (path, kind, value): tables, lists, the items of lists (at the path of theirs) and plain values."""
     import tomllib
 
-    data = tomllib.loads(text)
-    found = [(str(t), None, None) for t in data.get("project", {}).get("dependencies", [])]
-    poetry = data.get("tool", {}).get("poetry", {}).get("dependencies", {})
-    for name, spec in poetry.items():
-        if name.lower() != "python":
-            found.append((None, name, spec if isinstance(spec, str) else spec.get("version", "")))
+    kinds = {dict: "table", list: "list", str: "text"}
+    waiting, found = [([], None, tomllib.loads(text))], []
+    while waiting:
+        path, kind, value = waiting.pop()
+        kind = kind or kinds.get(type(value), "other")
+        found.append((path, kind, None if kind in ("table", "list") else str(value)))
+        inner = [([*path, k], None, v) for k, v in value.items()] if kind == "table" else [(path, "item", v) for v in value] if kind == "list" else []
+        waiting += reversed(inner)
     return found
 
 
-def _read_pyproject_udf():
-    def attempt(text):
-        if text is None:
-            return [], None
+def _read_all(texts: pd.Series) -> pd.DataFrame:
+    entries, errors = [], []
+    for text in texts:
+        error = None
         try:
-            return [dict(zip(("text", "name", "version"), d)) for d in read_pyproject(text)], None
-        except Exception as problem:  # a bad manifest must not fail the other rows
-            return [], f"{type(problem).__name__}: {problem}"
-
-    @F.pandas_udf(TOML_DEPENDENCIES)
-    def read(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([attempt(t) for t in texts], columns=["deps", "error"])
-
-    return read
+            rows = [] if text is None else toml_entries(text)
+        except ValueError as problem:  # a bad manifest must not fail the other rows
+            rows, error = [], f"{type(problem).__name__}: {problem}"
+        entries.append([dict(zip(("path", "kind", "value"), row, strict=True)) for row in rows])
+        errors.append(error)
+    return pd.DataFrame({"entries": entries, "error": errors})
 
 
 def pyproject_tables(texts: DataFrame) -> DataFrame:
-    return texts.withColumn("toml", _read_pyproject_udf()("text"))
+    """Add ``toml``: dependencies listed by a pyproject text as (text) of [project] or (name, version) of the Poetry table, and an error.
+
+    The text is only taken apart into its values in Python; which of them are dependencies is said here. A Poetry
+    dependency is a version or a table that may hold one; anything else makes the manifest an error.
+    """
+    def under(*names):
+        return lambda e: F.slice(e["path"], 1, len(names)) == F.array(*[F.lit(n) for n in names])
+
+    of = lambda keep: F.filter("_toml.entries", keep)
+    none = F.lit(None).cast("string")
+    listed = of(lambda e: under("project", "dependencies")(e) & (F.size(e["path"]) == 2) & (e["kind"] == "item"))
+    named = of(lambda e: under("tool", "poetry", "dependencies")(e) & (F.size(e["path"]) == 4) & (e["kind"] != "item") & (F.lower(e["path"][3]) != "python"))
+    versions = of(lambda e: under("tool", "poetry", "dependencies")(e) & (F.size(e["path"]) == 5) & (e["path"][4] == "version"))
+    odd = F.exists("_named", lambda e: ~e["kind"].isin("text", "table"))
+
+    def version(e):
+        inner = F.filter("_versions", lambda v: F.slice(v["path"], 1, 4) == e["path"])
+        return F.when(e["kind"] == "text", e["value"]).otherwise(F.coalesce(F.get(inner, F.lit(0))["value"], F.lit("")))
+
+    deps = F.concat(
+        F.transform("_listed", lambda e: F.struct(e["value"].alias("text"), none.alias("name"), none.alias("version"))),
+        F.transform("_named", lambda e: F.struct(none.alias("text"), e["path"][3].alias("name"), version(e).alias("version"))))
+    rows = texts.withColumn("_toml", F.pandas_udf(_read_all, TOML_ENTRIES)("text")).withColumns({"_listed": listed, "_named": named, "_versions": versions})
+    error = F.coalesce("_toml.error", F.when(odd, F.lit("a dependency that is neither a version nor a table")))
+    return rows.withColumn("toml", F.struct(
+        F.when(error.isNull(), deps).otherwise(F.filter(deps, lambda d: F.lit(False))).alias("deps"), error.alias("error"))
+    ).drop("_toml", "_listed", "_named", "_versions")
 
 
 def parse_pyproject(tables: DataFrame) -> DataFrame:
