@@ -48,11 +48,6 @@ def diff_section(change_type: Column, old_path: Column, path: Column, adds: Colu
     return lines(BAR, title, counts, BAR, diff, "")
 
 
-def snapshot_sections(snapshot: DataFrame) -> DataFrame:
-    """(repo, version, path, piece) of classified files."""
-    return snapshot.select("repo", "version", "path", file_section(F.col("path"), F.col("content")).alias("piece"))
-
-
 def diff_sections(diffs: DataFrame) -> DataFrame:
     section = diff_section(*[F.col(c) for c in (
         "change_type", "old_path", "file_path", "additions", "deletions", "diff_content")])
@@ -137,34 +132,44 @@ def sized(pieces: DataFrame, keys: list[str], order: list[str], text: str = "pie
         *keys, *order, F.octet_length(text).cast("long").alias("bytes"), F.length(text).cast("long").alias("chars")), "piece_sizes")
 
 
-def part_index(sizes: DataFrame, keys: list[str], order: list[str], part_bytes: int, separator: str = "\n") -> DataFrame:
-    """Where each text made of pieces is cut: one row a part, from running sums over the sizes alone.
+def slotted(sizes: DataFrame, keys: list[str], order: list[str], part_bytes: int, separator: str = "\n") -> DataFrame:
+    """The pieces with their place in the text (byte_at, char_at) and the range of ``part_bytes`` they start in (slot), from sizes alone."""
+    spaced = sizes.withColumns({"bytes": F.col("bytes") + len(separator.encode()), "chars": F.col("chars") + len(separator)})
+    placed = with_order(spaced, keys, order, sum_before={"byte_at": "bytes", "char_at": "chars"})
+    return placed.withColumn("slot", F.floor(F.col("byte_at") / part_bytes))
+
+
+def part_index(placed: DataFrame, keys: list[str], order: list[str], separator: str = "\n") -> DataFrame:
+    """Where each text made of :func:`slotted` pieces is cut: one row a part, written.
 
-    (keys, part_no from 0, parts, byte_start, char_start, text_bytes, text_chars, first): a part takes the pieces that start inside
-    a range of ``part_bytes``, so it is bounded by that plus one piece, however long the text is; ``first`` is the
+    (keys, slot, part_no from 0, parts, byte_start, char_start, text_bytes, text_chars, first): a part takes the pieces of one slot,
+    so it is bounded by the range plus one piece, however long the text is; ``first`` is the
     order of its first piece, the starts are the places of the part in the whole text, whose size the next two are. Every key
     with pieces has at least one part.
     """
     gap, gap_bytes = len(separator), len(separator.encode())
-    spaced = sizes.withColumns({"bytes": F.col("bytes") + gap_bytes, "chars": F.col("chars") + gap})
-    placed = with_order(spaced, keys, order, sum_before={"byte_at": "bytes", "char_at": "chars"})
-    slots = placed.groupBy(*keys, F.floor(F.col("byte_at") / part_bytes).alias("slot")).agg(
+    slots = placed.groupBy(*keys, "slot").agg(
         F.min(F.struct(*order)).alias("first"), F.min("byte_at").alias("byte_at"), F.min("char_at").alias("char_at"),
         F.max(F.col("byte_at") + F.col("bytes")).alias("byte_end"), F.max(F.col("char_at") + F.col("chars")).alias("char_end"))
     key = Window.partitionBy(*keys)
     later = F.col("slot") > 0
     return written(slots.select(
-        *keys, (F.row_number().over(key.orderBy("slot")) - 1).cast("int").alias("part_no"), F.count(F.lit(1)).over(key).cast("int").alias("parts"),
+        *keys, "slot", (F.row_number().over(key.orderBy("slot")) - 1).cast("int").alias("part_no"), F.count(F.lit(1)).over(key).cast("int").alias("parts"),
         (F.col("byte_at") - F.when(later, gap_bytes).otherwise(0)).alias("byte_start"), (F.col("char_at") - F.when(later, gap).otherwise(0)).alias("char_start"),
         (F.max("byte_end").over(key) - gap_bytes).alias("text_bytes"), (F.max("char_end").over(key) - gap).alias("text_chars"), "first"), "part_index")
 
 
 def with_part(pieces: DataFrame, index: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add ``part_no`` to the pieces, in place: the first pieces of the parts of a key are few and go to the rows."""
-    firsts = index.groupBy(*keys).agg(F.array_sort(F.collect_list("first")).alias("_firsts"))
+    """Add ``part_no`` to the pieces, in place: the first pieces of a key's parts go to its rows, which find theirs in two steps."""
+    firsts = index.groupBy(*keys).agg(F.array_sort(F.collect_list("first")).alias("_all")).withColumn(
+        "_width", F.ceil(F.sqrt(F.size("_all"))).cast("int"))
+    firsts = firsts.select(*keys, "_width", F.transform(
+        F.sequence(F.lit(1), F.size("_all"), F.col("_width")), lambda i: F.slice("_all", i, F.col("_width"))).alias("_groups"))
     found = lookup_join(pieces, firsts, keys, F.concat_ws("\n", *[F.col(c).cast("string") for c in order]))
     here = F.struct(*order)
-    return found.withColumn("part_no", F.size(F.filter("_firsts", lambda f: f <= here)) - 1).drop("_firsts")
+    begun = F.size(F.filter("_groups", lambda g: g[0] <= here))
+    within = F.size(F.filter(F.get("_groups", begun - 1), lambda f: f <= here))
+    return found.withColumn("part_no", ((begun - 1) * F.col("_width") + within - 1).cast("int")).drop("_groups", "_width")
 
 
 def text_parts(
@@ -175,7 +180,11 @@ def text_parts(
     (keys, part_no, parts, byte_start, char_start, text): the same way at every size. A text that fits ``part_bytes`` is one
     part; putting the parts of a key one after the other always gives the whole text. The pieces are evaluated twice.
     """
-    index = part_index(sized(pieces, keys, order), keys, order, part_bytes, separator)
+    index = part_index(slotted(sized(pieces, keys, order), keys, order, part_bytes, separator), keys, order, separator)
+    return _texts(pieces, index, keys, order, separator)
+
+
+def _texts(pieces: DataFrame, index: DataFrame, keys: list[str], order: list[str], separator: str = "\n") -> DataFrame:
     bodies = part_bodies(with_part(pieces, index, keys, order), keys, order, separator)
     return bodies.join(index.select(*keys, "part_no", "parts", "byte_start", "char_start"), [*keys, "part_no"]).select(
         *keys, "part_no", "parts", "byte_start", "char_start", leading(F.col("part_no"), F.col("body"), separator).alias("text"))
@@ -199,13 +208,19 @@ def _headed(header: DataFrame, sections: DataFrame, keys: list[str], order: str)
 
 def snapshot_texts(snapshot: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
     """(repo, version, num_files, total_size, part_no, parts, byte_start, char_start, text) of every snapshot."""
-    key = ["repo", "version"]
-    totals = written(snapshot.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size")), "totals")
-    pieces, order = snapshot_sections(snapshot), ["path"]
+    key, order = ["repo", "version"], ["place", "path"]
+    sections = snapshot.select(*key, F.lit(1).alias("place"), "path", "size", file_section(F.col("path"), F.col("content")).alias("piece"))
+    # One pass over the contents measures the sections and adds up the files, a second one renders.
+    measured = written(sections.select(
+        *key, *order, "size", F.octet_length("piece").cast("long").alias("bytes"), F.length("piece").cast("long").alias("chars")), "piece_sizes")
+    totals = written(measured.groupBy(*key).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("total_size")), "totals")
+    sizes, pieces = measured.drop("size"), sections.drop("size")
     if include_header:
         header = snapshot_header(F.col("repo"), F.col("version"), F.col("num_files"), F.col("total_size"))
-        pieces, order = _headed(totals.select(*key, header.alias("piece")), pieces, key, "path"), ["place", "path"]
-    return totals.join(text_parts(pieces, key, order, max_bytes), key)
+        headers = totals.select(*key, F.lit(0).alias("place"), F.lit("").alias("path"), header.alias("piece"))
+        sizes, pieces = sizes.unionByName(sized(headers, key, order)), pieces.unionByName(headers)
+    index = part_index(slotted(sizes, key, order, max_bytes), key, order)
+    return totals.join(_texts(pieces, index, key, order), key)
 
 
 def diff_texts(diffs: DataFrame, include_header: bool = True, max_bytes: int = Settings().max_cell_bytes) -> DataFrame:
