@@ -210,7 +210,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
 
 
-_KINDS = [(e, k) for k, es in dims.BINARY_KINDS.items() for e in es.split()]
+_KINDS = [(e, k) for k, es in dims.BINARY_KINDS.items() for e in es]
 _UTF8_BYTES = "octet_length(encode(content))"
 BAR = "=" * 80
 

@@ -19,16 +19,16 @@ LANGUAGES = {
 
 # Extensions whose files become stubs, by the kind named in the stub.
 BINARY_KINDS = {
-    "IMAGE": ".png .jpg .jpeg .gif .bmp .ico .webp .svg .tiff .tif",
-    "AUDIO": ".mp3 .wav .ogg .flac .aac .m4a .wma",
-    "VIDEO": ".mp4 .avi .mov .mkv .webm .wmv .flv .m4v",
-    "DOCUMENT": ".pdf .doc .docx .xls .xlsx .ppt .pptx",
-    "ARCHIVE": ".zip .tar .gz .bz2 .xz .7z .rar .tgz",
-    "PACKAGE": ".whl .egg",
-    "COMPILED": ".so .dll .dylib .exe .bin .o .a",
-    "MODEL/DATA": ".pkl .pickle .npy .npz .pt .pth .onnx .safetensors .gguf",
-    "FONT": ".ttf .otf .woff .woff2 .eot",
-    "FILE": ".lib .ggml .model .parquet .arrow .feather .h5 .hdf5 .pyc .pyo .class .jar .war",
+    "IMAGE": [".png", ".jpg", ".jpeg", ".gif", ".bmp", ".ico", ".webp", ".svg", ".tiff", ".tif"],
+    "AUDIO": [".mp3", ".wav", ".ogg", ".flac", ".aac", ".m4a", ".wma"],
+    "VIDEO": [".mp4", ".avi", ".mov", ".mkv", ".webm", ".wmv", ".flv", ".m4v"],
+    "DOCUMENT": [".pdf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx"],
+    "ARCHIVE": [".zip", ".tar", ".gz", ".bz2", ".xz", ".7z", ".rar", ".tgz"],
+    "PACKAGE": [".whl", ".egg"],
+    "COMPILED": [".so", ".dll", ".dylib", ".exe", ".bin", ".o", ".a"],
+    "MODEL/DATA": [".pkl", ".pickle", ".npy", ".npz", ".pt", ".pth", ".onnx", ".safetensors", ".gguf"],
+    "FONT": [".ttf", ".otf", ".woff", ".woff2", ".eot"],
+    "FILE": [".lib", ".ggml", ".model", ".parquet", ".arrow", ".feather", ".h5", ".hdf5", ".pyc", ".pyo", ".class", ".jar", ".war"],
 }
 
 # Package -> repository; the order is the priority.
@@ -141,7 +141,7 @@ def languages(spark: SparkSession) -> DataFrame:
 
 def binary_types(spark: SparkSession, extra_extensions: list[str] | None = None) -> DataFrame:
     """Extension -> kind. ``extra_extensions`` replaces the set of stubbed extensions."""
-    kinds = {ext: kind for kind, exts in BINARY_KINDS.items() for ext in exts.split()}
+    kinds = {ext: kind for kind, exts in BINARY_KINDS.items() for ext in exts}
     if extra_extensions is not None:
         kinds = {ext: kinds.get(ext, "FILE") for ext in map(str.lower, extra_extensions)}
     return inline_table(spark, kinds.items(), ["ext", "kind"])

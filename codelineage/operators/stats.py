@@ -72,6 +72,7 @@ def stats_report(stats: DataFrame, counts: DataFrame) -> DataFrame:
     two, three = "|--------|-------|", "|--------|------------|-----------------|"
     both_tokens = F.col("input_tokens_total") + F.col("output_tokens_total")
     fixed = [
+        # The headings and labels of the report.
         "# SFT Dataset Statistics", "",
         "## Overview", _row("Metric", "Value"), two,
         _row("Total Examples", commas(F.col("num_examples"))),
