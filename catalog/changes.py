@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from codelineage.operators import diff, render
+from codelineage.operators import diff, render, trees
 from codelineage.operators.examples import create_examples
 from codelineage.operators.ordered import with_order
 from codelineage.operators.releases import release_pairs
 from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
-from codelineage.storage import written
+from codelineage.storage import fresh_path, written
 
 PAIR = diff.PAIR
 CREATED = "2024-01-01T00:00:00"
@@ -34,6 +34,16 @@ def c2(x):
     return diff.path_changes(pairs3(x), x.raw()).select(*PAIR, "path", "change_type", "old_sha", "new_sha")
 
 
+@query("c2_tree_diff", """
+    SELECT repo, from_version, to_version, path, change_type, sha256(old_content) AS old_sha, sha256(new_content) AS new_sha FROM fx_changes""")
+def c2_tree(x):
+    """From trees of folder hashes that are kept, each release's appended when it comes."""
+    kept, files = fresh_path(x.spark, "trees"), table3(x)
+    for of_release in ("version = 'v1.0.0'", "version = 'v1.1.0'", "version NOT IN ('v1.0.0', 'v1.1.0')"):
+        trees.save_trees(trees.folder_trees(files.filter(of_release)), kept)
+    return trees.tree_changes(pairs3(x), trees.read_trees(x.spark, kept)).select(*PAIR, "path", "change_type", "old_sha", "new_sha")
+
+
 @query("c3_renames", "SELECT repo, from_version, to_version, path, old_path, change_type FROM fx_changes_r")
 def c3(x):
     return diff.changed_files(pairs3(x), x.raw()).select(*PAIR, "path", "old_path", "change_type")

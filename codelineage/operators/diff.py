@@ -17,13 +17,13 @@ from codelineage.functions.text import (
 )
 from codelineage.operators.joins import lookup_join, salted_join
 from codelineage.operators.ordered import with_order
+from codelineage.operators.trees import PAIR, change_type, old_and_new, sides, tree_changes
 from codelineage.settings import Settings
 from codelineage.storage import written
 
 # Workers get the diff function by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PAIR = ["repo", "from_version", "to_version"]
 TRUNCATED = "\n... [truncated, diff too large] ..."
 
 
@@ -34,25 +34,12 @@ def path_changes(pairs: DataFrame, files: DataFrame) -> DataFrame:
     file is read once, tagged with the pairs it belongs to, and the two sides
     meet under (pair, path). Unchanged contents drop out. No content is read.
     """
-    sides = F.explode(F.array(
-        F.struct(F.col("from_version").alias("version"), F.lit(True).alias("is_old")),
-        F.struct(F.col("to_version").alias("version"), F.lit(False).alias("is_old")),
-    ))
-    roles = pairs.select(*PAIR, sides.alias("side")).select(*PAIR, "side.version", "side.is_old")
     tagged = lookup_join(
-        files.select("repo", "version", "path", "content_sha"), roles, ["repo", "version"], F.col("path")
-    )
+        files.select("repo", "version", "path", F.col("content_sha").alias("sha")), sides(pairs), ["repo", "version"], F.col("path"))
     return (
-        tagged.groupBy(*PAIR, "path")
-        .agg(
-            F.max(F.when(F.col("is_old"), F.col("content_sha"))).alias("old_sha"),
-            F.max(F.when(~F.col("is_old"), F.col("content_sha"))).alias("new_sha"),
-        )
+        old_and_new(tagged, [*PAIR, "path"], "sha")
         .filter(~F.col("old_sha").eqNullSafe(F.col("new_sha")))
-        .withColumn(
-            "change_type",
-            F.when(F.col("old_sha").isNull(), "added").when(F.col("new_sha").isNull(), "deleted").otherwise("modified"),
-        )
+        .withColumn("change_type", change_type(F.col("old_sha"), F.col("new_sha")))
     )
 
 
@@ -231,6 +218,7 @@ def changed_files(
     exclude: list[str] | None = None,
     detect_renames: bool = True,
     near_threshold: float | None = None,
+    trees: DataFrame | None = None,
 ) -> DataFrame:
     """Changed paths with their change type, renames resolved and patterns applied.
 
@@ -238,8 +226,10 @@ def changed_files(
 
     Pairs that carry ``include_regex`` / ``exclude_regex`` use them instead of the
     two lists. Patterns look at the path after the change.
+
+    With ``trees`` (the folder trees of ``files``) only folders that differ are compared.
     """
-    changes = path_changes(pairs, files)
+    changes = path_changes(pairs, files) if trees is None else tree_changes(pairs, trees)
     if detect_renames:
         # Written once (paths and hashes only): the matching reads it several times.
         changes = pair_renames(written(changes, "changes"))
@@ -405,9 +395,10 @@ def file_diffs(
     detect_renames: bool = True,
     strict_counts: bool = False,
     near_threshold: float | None = None,
+    trees: DataFrame | None = None,
 ) -> DataFrame:
     """Unified diff of every changed file of every pair."""
-    changes = changed_files(pairs, files, include, exclude, detect_renames, near_threshold)
+    changes = changed_files(pairs, files, include, exclude, detect_renames, near_threshold, trees)
     return unified_diffs(with_texts(changes, files), settings, strict_counts)
 
 
