@@ -9,6 +9,7 @@ from codelineage.operators.ordered import with_order
 from codelineage.operators.releases import release_pairs
 from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
+from codelineage.sources import archives
 from codelineage.storage import fresh_path, written
 
 PAIR = diff.PAIR
@@ -28,6 +29,28 @@ def diffs3(x):
     return written(diff.file_diffs(pairs3(x), table3(x)), "file_diffs")
 
 
+def tar_archives(files, path, content, broken):
+    """Rows of ``files`` with an archive of one file as their content: cut in the middle where ``broken`` is 1, no archive at all where it is 2."""
+    @F.pandas_udf("binary")
+    def packed(paths, contents, faults):
+        import io
+        import tarfile
+
+        import pandas as pd
+
+        def one(path, content, fault):
+            raw = io.BytesIO()
+            with tarfile.open(fileobj=raw, mode="w:gz") as tar:
+                info = tarfile.TarInfo(f"top/{path}")
+                info.size = len(content)
+                tar.addfile(info, io.BytesIO(content))
+            return [raw.getvalue(), raw.getvalue()[:len(raw.getvalue()) // 2], b"no archive"][fault]
+
+        return pd.Series([one(*row) for row in zip(paths, contents, faults)])
+
+    return files.withColumn("content", packed(path, content, broken))
+
+
 @query("c2_version_diff", """
     SELECT repo, from_version, to_version, path, change_type, sha256(old_content) AS old_sha, sha256(new_content) AS new_sha FROM fx_changes""")
 def c2(x):
@@ -272,11 +295,14 @@ def i5(x):
     return fingerprints(built.examples)
 
 
-@query("i3_pair_texts", EXAMPLES_SQL.replace("""
+OWN_EXAMPLES_SQL = (EXAMPLES_SQL.replace("""
                       UNION ALL
                       SELECT p.repo, p.from_version, p.to_version, u.dep_rank, b.* EXCLUDE (repo, version)
                       FROM fx_pairs3 p JOIN fx_uses u ON u.repo = p.repo JOIN fx_blocks b ON b.repo = u.github_repo AND b.version = 'v2.0.0' AND b.is_dep""", "")
        .replace("fx_blocks", "fx_own_blocks"))
+
+
+@query("i3_pair_texts", OWN_EXAMPLES_SQL)
 def i3(x):
     built = build_dataset(x.releases3(), table3(x), CREATED, Settings(include_dependencies=False))
     return fingerprints(built.examples)
@@ -286,3 +312,14 @@ def i3(x):
 def i4(x):
     built = build_single("src7", x.releases3(), whole(x), CREATED, known_packages=x.known_packages())
     return fingerprints(built.examples)
+
+
+@query("i4_isolated_failures", "SELECT * FROM (" + OWN_EXAMPLES_SQL + ") WHERE NOT (repo_name = 'src3' OR repo_name = 'src5' AND to_version = 'v2.0.0')")
+def i4_failures(x):
+    """From archives, those of two releases broken: only the pairs of these releases are missing."""
+    files = x.raw().select("repo", "version", "path", "content").withColumn("fault", F.expr(
+        "CASE WHEN repo = 'src3' AND version = 'v1.1.0' THEN 1 WHEN repo = 'src5' AND version = 'v2.0.0' THEN 2 ELSE 0 END"))
+    readable, unreadable = archives.readable(archives.unpacked(tar_archives(files, F.col("path"), F.col("content"), F.col("fault"))))
+    built = build_dataset(
+        x.releases3(), written(readable, "raw_files"), CREATED, Settings(include_dependencies=False), unreadable=unreadable)
+    return fingerprints(built.examples)

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from catalog.changes import rejoined
+from catalog.changes import rejoined, tar_archives
 from catalog.fixtures import BAR
 from catalog.registry import query
 from codelineage.functions import patterns, text
 from codelineage.operators import render, snapshot
 from codelineage.settings import Settings
+from codelineage.sources import archives
 
 FILE = ["repo", "version", "path"]
 
@@ -18,6 +19,21 @@ def a1(x):
     return x.raw().select(*FILE, "size", "content_sha")
 
 
+@query("a1_archives", """
+    SELECT source AS repo, concat('v', doc_id) AS version, CASE WHEN doc_id % 7 > 1 THEN concat('d/', lang, '.txt') END AS path,
+           CASE WHEN doc_id % 7 > 1 THEN sha256(text) END AS content_sha, doc_id % 7 <= 1 AS failed FROM documents""")
+def a1_archives(x):
+    """Every document in an archive of its own; the broken ones are listed and leave the others."""
+    docs = x.table("documents").select(
+        F.col("source").alias("repo"), F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("version"), "lang", "text",
+        F.when(F.col("doc_id") % 7 <= 1, F.col("doc_id") % 7 + 1).otherwise(0).cast("int").alias("fault"))
+    rows = tar_archives(docs, F.concat(F.lit("d/"), "lang", F.lit(".txt")), F.encode("text", "UTF-8"), F.col("fault"))
+    good, errors = archives.readable(archives.unpacked(rows))
+    none = F.lit(None).cast("string")
+    return good.select(*FILE, "content_sha", F.lit(False).alias("failed")).unionByName(
+        errors.select("repo", "version", none.alias("path"), none.alias("content_sha"), F.lit(True).alias("failed")))
+
+
 @query("a2_file_at_version", """
     SELECT a.repo, 'v1.1.0' AS version, a.path, md5(b.content) AS text_md5
     FROM fx_files a LEFT JOIN fx_files b ON b.repo = a.repo AND b.path = a.path AND b.version = 'v1.1.0'

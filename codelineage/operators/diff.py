@@ -295,7 +295,10 @@ EDIT = T.StructType([
     T.StructField("diff", T.StringType()),
     T.StructField("additions", T.LongType()),
     T.StructField("deletions", T.LongType()),
+    T.StructField("error", T.StringType()),
 ])
+# Fixed value: what stands for a diff that could not be made.
+FAILED = "Error generating diff: "
 
 
 def line_edit(old: str, new: str, old_name: str, new_name: str, context: int, strict: bool):
@@ -318,14 +321,18 @@ def line_edit(old: str, new: str, old_name: str, new_name: str, context: int, st
 
 
 def _line_edit_udf(context: int, strict: bool):
+    def edit(old, new, old_name, new_name):
+        if old is None:
+            return None, None, None, None
+        try:
+            return *line_edit(old, new, old_name, new_name, context, strict), None
+        except Exception as problem:  # one file must not fail the others
+            return f"{FAILED}{problem}", 0, 0, f"{type(problem).__name__}: {problem}"
+
     @F.pandas_udf(EDIT)
     def edits(old: pd.Series, new: pd.Series, old_name: pd.Series, new_name: pd.Series) -> pd.DataFrame:
-        rows = [
-            (None, None, None) if o is None else line_edit(o, n, on, nn, context, strict)
-            for o, n, on, nn in zip(old, new, old_name, new_name)
-        ]
-        return pd.DataFrame(rows, columns=["diff", "additions", "deletions"]).astype(
-            {"additions": "Int64", "deletions": "Int64"})
+        rows = [edit(*row) for row in zip(old, new, old_name, new_name)]
+        return pd.DataFrame(rows, columns=EDIT.fieldNames()).astype({"additions": "Int64", "deletions": "Int64"})
 
     return edits
 
@@ -333,7 +340,7 @@ def _line_edit_udf(context: int, strict: bool):
 def unified_diffs(
     changes: DataFrame, settings: Settings = Settings(), strict_counts: bool = False
 ) -> DataFrame:
-    """file_diffs from rows of :func:`with_texts`.
+    """file_diffs from rows of :func:`with_texts`, with the reason (``error``) where the lines of a file could not be compared.
 
     Whole-file additions and deletions need no line matching and stay in
     built-in expressions; only texts present on both sides go to Python.
@@ -377,6 +384,7 @@ def unified_diffs(
         truncated(full_diff, settings.max_diff_size).alias("diff_content"),
         count(adds, "edit.additions").alias("additions"),
         count(~adds, "edit.deletions").alias("deletions"),
+        F.when(two_sided, F.col("edit.error")).alias("error"),
     )
 
 

@@ -9,7 +9,7 @@ from check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
 # Whole jobs; they have tests of their own and run in check.py.
-JOBS = {"i3_pair_texts", "i4_single_repository", "i5_dataset", "s1_incremental_examples", "s3_running_stats", "s2_incremental_pairs",
+JOBS = {"i3_pair_texts", "i4_isolated_failures", "i4_single_repository", "i5_dataset", "s1_incremental_examples", "s3_running_stats", "s2_incremental_pairs",
         "c4_merged_files", "g2_merged_totals", "d2_diff_totals", "d8_unified_text", "i19_diff_stats", "h5_line_counts", "f2_diffs_by_path"}
 
 

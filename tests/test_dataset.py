@@ -10,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from codelineage import schemas
+from codelineage.operators import diff
 from codelineage.operators import examples as ex
 from codelineage.operators import joins
 from codelineage.operators import ordered
 from codelineage.plans.dataset import build_dataset, build_single
 from codelineage.settings import Settings
-from codelineage.sources import sinks
+from codelineage.sources import archives, sinks
 from codelineage.sources.archives import read_release_archives
 from codelineage.sources.tables import read_config, read_examples, read_records
 from codelineage.streaming.incremental import catch_up, current, current_pairs, running_stats, start_examples, start_pairing
@@ -279,3 +280,55 @@ def test_releases_beyond_what_is_kept_are_set_aside(spark, tmp_path):
         start_pairing(stream(spark, source), out, keep=1).awaitTermination()
     assert sorted((r.from_version, r.to_version) for r in current_pairs(spark, out).collect()) == [("v1", "v3"), ("v3", "v4")]
     assert [r.tag_name for r in spark.read.parquet(out + "/late_releases").collect()] == ["v2"]
+
+
+def tar_of(members, cut=None):
+    raw = io.BytesIO()
+    with tarfile.open(fileobj=raw, mode="w:gz") as tar:
+        for name, data in members:
+            info = tarfile.TarInfo("top/" + name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    return raw.getvalue()[:cut]
+
+
+def test_failing_archive_manifest_and_diff_leave_the_rest(spark, monkeypatch):
+    noise = random.Random(1).randbytes(400000)
+    sound = {"v1": [("x.py", b"a\n"), ("y.py", b"1\n"), ("pyproject.toml", b"[project\n")], "v2": [("x.py", b"b\n"), ("y.py", b"2\n"), ("pyproject.toml", b"")]}
+    rows = [(repo, v, tar_of(m)) for repo in ("good/one", "half/cut") for v, m in sound.items()]
+    rows += [("half/cut", "v3", tar_of([("x.py", b"c\n"), ("noise", noise)], 300000)), ("no/tar", "v1", b"nothing"), ("no/tar", "v2", None)]
+    archived = spark.createDataFrame(rows, "repo string, version string, content binary")
+    with_error = archives.unpacked(archived)
+    assert with_error.filter("version = 'v3' AND path = 'x.py'").count() == 1  # read before the end of the archive was missed
+    readable, unreadable = archives.readable(with_error)
+    assert readable.filter("version = 'v3' OR repo = 'no/tar'").count() == 0
+    assert {(r.repo, r.version) for r in unreadable.collect()} == {("half/cut", "v3"), ("no/tar", "v1"), ("no/tar", "v2")}
+
+    plain = diff.line_edit
+
+    def failing(old, new, old_name, *rest):
+        if old_name == "a/y.py":
+            raise RecursionError("planted")
+        return plain(old, new, old_name, *rest)
+
+    monkeypatch.setattr(diff, "line_edit", failing)
+    known = releases(spark, [(repo, f"v{i}", f"2024-0{i}-01", i) for repo in ("good/one", "half/cut", "no/tar") for i in (1, 2, 3)])
+    built = build_dataset(known, readable, NOW, unreadable=unreadable)
+    rejects = {(r.repo, r.from_version, r.path): r.error for r in built.rejects.collect()}
+    assert rejects["good/one", "v1", "y.py"] == rejects["half/cut", "v1", "y.py"] == "RecursionError: planted"
+    assert "TOMLDecodeError" in rejects["good/one", "v1", "pyproject.toml"]
+    assert rejects["half/cut", "v2", None].startswith("no files for v3: EOFError: ")
+    assert rejects["no/tar", "v1", None].startswith("no files for v1: ReadError: ") and rejects["good/one", "v2", None] == "no files for v3"
+    got = {(r.repo_name, r.from_version): r.output_text for r in built.examples.collect()}
+    assert set(got) == {("good/one", "v1"), ("half/cut", "v1")}
+    assert all("Error generating diff: planted" in t and "-a\n+b\n" in t for t in got.values())
+
+
+def test_strict_reader_fails_on_a_broken_archive(spark, tmp_path):
+    folder = tmp_path / "repo=o%2Fr" / "version=v1"
+    folder.mkdir(parents=True)
+    (folder / "x.tar.gz").write_bytes(tar_of([("a", b"1")], 40))
+    with pytest.raises(Exception, match="archive of o/r v1"):
+        read_release_archives(spark, str(tmp_path)).collect()
+    files_, errors = archives.read_readable_archives(spark, str(tmp_path))
+    assert files_.count() == 0 and errors.count() == 1
