@@ -25,8 +25,11 @@ KINDS = ("assign", "access", "hex", "grammar")
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
+# What a credential is written in, and the least length at which its format can be told.
+LEAST = 16
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
+# A run is also read as names, paths and domains that hold a credential, in this order.
+_JOINTS = (re.compile(r"=(?!=*$)"), re.compile("/"), re.compile(r"\."))
 
 _CLASSES = {c: "d" for c in string.digits} | {c: "h" for c in "abcdef"} | {c: "H" for c in "ABCDEF"}
 _CLASSES |= {c: "l" for c in string.ascii_lowercase[6:]} | {c: "U" for c in string.ascii_uppercase[6:]}
@@ -128,7 +131,7 @@ class Automaton:
         return total / (len(known) + 1)
 
 
-def labelled_strings(n: int = 120, seed: int = 7) -> tuple[list[str], list[str]]:
+def labelled_strings(n: int = 400, seed: int = 7) -> tuple[list[str], list[str]]:
     """Made credentials of public formats, and harmless strings of like length."""
     rng = random.Random(seed)
     word = string.ascii_letters + string.digits
@@ -144,6 +147,9 @@ def labelled_strings(n: int = 120, seed: int = 7) -> tuple[list[str], list[str]]
         lambda: pick(word + "+/", 43) + "=",
         lambda: pick("0123456789abcdef", rng.choice((32, 40, 64))),
         lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16),
+        lambda: "glpat-" + pick(word + "_-", 20),
+        lambda: "npm_" + pick(word, 36),
+        lambda: pick(word, rng.choice((24, 32))),
     ]
     harmless = [
         lambda: pick(string.digits, rng.randint(16, 24)),
@@ -156,6 +162,17 @@ def labelled_strings(n: int = 120, seed: int = 7) -> tuple[list[str], list[str]]
         lambda: ".".join(str(rng.randint(1, 9999)) for _ in range(5)),
         lambda: name(2, 3).capitalize() + name(3, 5) + str(rng.randint(0, 9)),
         lambda: (name(3, 4) + str(rng.randint(0, 9)) + "_" + name(2, 3)).upper(),
+        lambda: "-".join(pick("0123456789abcdef", k) for k in (8, 4, 4, 4, 12)),
+        lambda: rng.choice((str.lower, str.upper, str.capitalize))(name(6, 9)),
+        lambda: rng.choice((str.lower, str.upper, str.capitalize))(
+            "".join(pick("bcdfghjklmnpqrstvwxz", rng.randint(1, 3)) + rng.choice("aeiouy") for _ in range(rng.randint(6, 10)))),
+        lambda: "".join(name(1, 3).capitalize() for _ in range(rng.randint(4, 6))),
+        lambda: name(1, 2) + "".join(name(2, 3).capitalize() for _ in range(rng.randint(2, 4))),
+        lambda: "".join(name(2, 4).capitalize() for _ in range(rng.randint(2, 4))) + "." + name(1, 2),
+        lambda: rng.choice("._-/").join(name(1, 3) for _ in range(rng.randint(3, 6))),
+        lambda: rng.choice("_-").join(name(2, 3) for _ in range(rng.randint(3, 4))).upper(),
+        lambda: rng.choice("._-/").join(pick(string.ascii_lowercase, rng.randint(1, 3)) for _ in range(rng.randint(8, 30))),
+        lambda: rng.choice("=-_.") * rng.randint(16, 60),
     ]
     return ([make() for make in credentials for _ in range(n)], [make() for make in harmless for _ in range(n)])
 
@@ -172,16 +189,16 @@ class Grammar:
         return self.credential.likelihood(text) - self.harmless.likelihood(text)
 
 
-def learn(credentials: list[str], harmless: list[str], alpha: float = 0.05) -> Grammar:
+def learn(credentials: list[str], harmless: list[str], alpha: float = 0.05, alarm_cost: int = 5) -> Grammar:
     """Infer both automata from two thirds of the labelled strings; the rest sets the threshold."""
     train = lambda xs: [x for i, x in enumerate(xs) if i % 3]
     grammar = Grammar(Automaton(train(credentials)).merged(alpha), Automaton(train(harmless)).merged(alpha), 0.0)
     scored = sorted([(grammar.score(x), 1) for x in credentials[::3]] + [(grammar.score(x), 0) for x in harmless[::3]])
-    # The cut with the fewest errors, a wrong alarm counting twice; midway between its neighbours.
-    best, wrong = (math.inf, 0.0), 2 * sum(1 - y for _, y in scored)
+    # The cut with the fewest errors, a wrong alarm counting ``alarm_cost`` times, as harmless runs are far more frequent; midway between its neighbours.
+    best, wrong = (math.inf, 0.0), alarm_cost * sum(1 - y for _, y in scored)
     for i, (score, y) in enumerate(scored):
         best = min(best, (wrong, (score + scored[i - 1][0]) / 2 if i else score))
-        wrong += 1 if y else -2
+        wrong += 1 if y else -alarm_cost
     return Grammar(grammar.credential, grammar.harmless, best[1])
 
 
@@ -200,14 +217,58 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return spans
 
 
+def _pieces(text: str, start: int, end: int, joint: re.Pattern):
+    """The parts between the joints of ``text[start:end]`` that are long enough."""
+    for m in joint.finditer(text, start, end):
+        if m.start() - start >= LEAST:
+            yield start, m.start()
+        start = m.end()
+    if end - start >= LEAST:
+        yield start, end
+
+
+def _credentials(text: str, start: int, end: int, grammar: Grammar, joints=_JOINTS):
+    """Credentials in a run: those in its parts if there are any, else the run itself if it is one."""
+    inner = []
+    for i, joint in enumerate(joints):
+        parts = list(_pieces(text, start, end, joint))
+        if parts != [(start, end)]:
+            inner = [found for part in parts for found in _credentials(text, *part, grammar, joints[i + 1:])]
+            break
+    # A run with dots is one credential rather than several, a run that holds names or folders is not.
+    whole = grammar.score(text[start:end]) >= grammar.least
+    if whole and (not inner or joint is _JOINTS[-1]):
+        return [(start, end)]
+    return inner
+
+
+def _uncovered(start: int, end: int, taken: list[tuple[int, int]]):
+    """What of ``start`` to ``end`` no span of the sorted ``taken`` covers, where it is long enough."""
+    for a, b in taken:
+        if a < end and b > start:
+            if a - start >= LEAST:
+                yield start, a
+            start = max(start, b)
+    if end - start >= LEAST:
+        yield start, end
+
+
 def find(text: str, grammar: Grammar) -> list[tuple[int, str, int]]:
-    """All spans of ``text`` by start, then kind; learnt ones never touch those of the fixed patterns."""
+    """All spans of ``text`` by start, then kind; learnt ones never touch those of the fixed patterns.
+
+    Every run of LEAST or more characters of credentials is scored, less what the fixed patterns cover, and so are
+    its parts between ``=``, ``/`` and ``.``: a credential after a name, in a path or an address is a span without them.
+    """
     spans = base_spans(text)
-    if _DIGIT.search(text):
-        taken = [(a, b) for a, _, b in spans]
-        for m in _CANDIDATE.finditer(text):
-            if _DIGIT.search(m[0]) and all(m.end() <= a or b <= m.start() for a, b in taken) and grammar.score(m[0]) >= grammar.least:
-                spans.append((m.start(), "grammar", m.end()))
+    taken, first = sorted((a, b) for a, _, b in spans), 0
+    for m in _CANDIDATE.finditer(text):
+        while first < len(taken) and taken[first][1] <= m.start():
+            first += 1
+        near = first
+        while near < len(taken) and taken[near][0] < m.end():
+            near += 1
+        for part in _uncovered(m.start(), m.end(), taken[first:near]):
+            spans += [(a, "grammar", b) for a, b in _credentials(text, *part, grammar)]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
@@ -215,7 +276,7 @@ def scan(docs: DataFrame, *, text: str = "text", grammar: Grammar | None = None,
     """Add ``into``, the secrets of every row: an array of structs kind, start, end.
 
     Positions are code points, end exclusive; spans stand by start, then by kind as in KINDS. A null or empty text
-    has none; equal rows get equal spans; every row and other column stays as it is.
+    has none; a long text takes time in proportion to its length; equal rows get equal spans; every row and other column stays as it is.
     A column that is named ``into`` already is replaced.
     """
     known = grammar or standard_grammar()
