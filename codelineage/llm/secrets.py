@@ -173,6 +173,7 @@ def labelled_strings(n: int = 400, seed: int = 7) -> tuple[list[str], list[str]]
         lambda: rng.choice("_-").join(name(2, 3) for _ in range(rng.randint(3, 4))).upper(),
         lambda: rng.choice("._-/").join(pick(string.ascii_lowercase, rng.randint(1, 3)) for _ in range(rng.randint(8, 30))),
         lambda: rng.choice("=-_.") * rng.randint(16, 60),
+        lambda: (rng.choice(string.ascii_lowercase) + rng.choice("=-_./")) * rng.randint(8, 60),
     ]
     return ([make() for make in credentials for _ in range(n)], [make() for make in harmless for _ in range(n)])
 
