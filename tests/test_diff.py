@@ -3,8 +3,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from codelineage.operators import diff, ordered, render
+from codelineage.operators import diff, joins, ordered, render
 from codelineage.operators.releases import release_pairs
 from codelineage.settings import Settings
 from helpers import by, files, releases
@@ -161,3 +162,20 @@ def test_near_renames_equal_all_couples(spark, seed, threshold, monkeypatch):
     assert {p: r.old_path for p, r in got.items() if r.change_type == "renamed"} == want and len(want) > 10
     assert {p for p, r in got.items() if r.change_type == "deleted"} == set(old) - set(want.values())
     assert {p for p, r in got.items() if r.change_type == "added"} == set(new) - set(want)
+
+
+def test_contents_that_no_change_needs_do_not_move(spark):
+    """Beyond the broadcast limit, rows without a key are dropped in place; none that has one is."""
+    big = spark.range(40_000).select(F.col("id").cast("string").alias("a"), (F.col("id") % 7).cast("string").alias("b"), "id")
+    keys = big.filter("id % 100 = 3").select("a", "b").unionByName(spark.createDataFrame([(None, "x"), ("none", None)], "a string, b string"))
+    kept = {r.id for r in joins.possible(big, keys, ["a", "b"], keys.count()).collect()}
+    assert kept >= set(range(3, 40_000, 100))
+    assert len(kept) < 8_000
+
+
+def test_changes_beyond_the_broadcast_limit(spark, monkeypatch):
+    rows = [("r", v, f"p{i}", f"{i}\n" * 3 + (f"{v}\n" if i % 3 == 0 else "")) for v in ("v1", "v2") for i in range(30) if (v, i) != ("v2", 4)]
+    pairs = spark.createDataFrame([("r", "v1", "v2")], diff.PAIR)
+    at_once = sorted(diff.file_diffs(pairs, files(spark, rows)).collect())
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert sorted(diff.file_diffs(pairs, files(spark, rows)).collect()) == at_once and len(at_once) == 11
