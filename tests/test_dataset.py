@@ -102,6 +102,17 @@ def test_parts_equal_the_whole_texts(tables, rows, large, monkeypatch):
     assert len(records) > len(rows)
 
 
+def test_records_are_bounded_by_default(spark):
+    """Texts of 40 MB stand in several records, none of which holds more than 16 MB and a block's part and file; nothing is lost."""
+    rows = [("r", v, f"f{i:02}.txt", f"{i} {v[-1]}\n" * 250_000) for v in ("v1", "v2") for i in range(28)]
+    pairs = releases(spark, [("r", "v1", "2024-01-01", 1), ("r", "v2", "2024-01-02", 2)])
+    records = build_dataset(pairs, files(spark, rows), NOW, Settings(include_dependencies=False)).examples.collect()
+    assert len(records) > 1 and max(len(x) for r in records for x in (r.input_text, r.output_text)) < 27 << 20
+    whole, changes = joined(records)["r", "v1"]
+    assert (records[0].input_tokens_approx, records[0].output_tokens_approx) == (len(whole) // 4, len(changes) // 4)
+    assert all("".join([f"FILE: {p}\n", "=" * 80, "\n", c]) in whole for _, v, p, c in rows if v == "v1") and changes.count("\n+27 2") == 250_000
+
+
 def test_large_ways_give_the_same_examples(tables, rows, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(joins, "ROWS_PER_COPY", 1)
