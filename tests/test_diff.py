@@ -1,13 +1,20 @@
 import difflib
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import changes  # noqa: F401  registers the queries
+from catalog.fixtures import Inputs
+from catalog.registry import QUERIES
+from codelineage.functions.text import lines_with_ends
 from codelineage.operators import diff, joins, ordered, render
 from codelineage.operators.releases import release_pairs
 from codelineage.settings import Settings
+from codelineage.storage import fresh_path
 from helpers import by, files, releases
 
 
@@ -164,6 +171,44 @@ def test_near_renames_equal_all_couples(spark, seed, threshold, monkeypatch):
     assert {p for p, r in got.items() if r.change_type == "added"} == set(new) - set(want)
 
 
+def test_lines_of_several_contents_are_indexed(spark, monkeypatch):
+    """Only lines of several contents are kept, the bytes of all others stand before them; the ways of hot and of many lines agree."""
+    old = {f"a{i}": f"own {i}\n" * 2 + "all\n" + ("few\n" if i < 3 else "") for i in range(8)} | {"none": ""}
+    loose = spark.createDataFrame([("o/r", "v1", "v2", p, p, True) for p in old], "repo string, from_version string, to_version string, path string, sha string, is_old boolean")
+    raw = files(spark, [("o/r", "v1", p, c) for p, c in old.items()])
+    found = []
+    for hot, limit in ((1 << 12, 32 << 20), (3, 32 << 20), (3, 0)):
+        monkeypatch.setattr(diff, "HOT_CONTENTS", hot)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        totals, lines = diff.content_lines(loose, raw)
+        assert {r.sha: r.total for r in totals.collect()} == {p: len(c) for p, c in old.items() if c}
+        found.append(sorted((r.sha, r.n, r.bytes, r.total, r.before) for r in lines.collect()))
+    want = [(f"a{i}", 1, 4, len(old[f"a{i}"]), 12 + (4 if i < 3 else 0)) for i in range(8)] + [(f"a{i}", 1, 4, len(old[f"a{i}"]), 12) for i in range(3)]
+    assert found == [sorted(want)] * 3
+
+
+def test_long_texts_are_split_in_linear_time(spark):
+    text = "word " * 8 + "\r\n"
+    n = 30_000
+    rows = spark.range(8, numPartitions=4).select(lines_with_ends(F.repeat(F.concat(F.lit(text), F.col("id").cast("string")), F.lit(n))).alias("lines"))
+    started = time.monotonic()
+    assert rows.agg(F.sum(F.size("lines")).alias("n")).first().n == 8 * (n + 1)
+    assert time.monotonic() - started < 60
+
+
+def test_line_counts_write_no_diff_texts(spark, tmp_path):
+    """The tables kept for line counts hold no contents and no diffs, however large these are."""
+    rng = random.Random(1)
+    rows = [(i, f"{rng.getrandbits(160_000):x}", "en", f"src{i % 2}", 40_000) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = Path(fresh_path(spark, "x").removeprefix("file:")).parent
+    size = lambda: sum(p.stat().st_size for p in kept.rglob("*.parquet"))
+    for name in ("h5_line_counts", "i19_diff_stats"):
+        before = size()
+        assert QUERIES[name](Inputs(spark, str(tmp_path))).count() > 20
+        assert size() - before < 400_000
+
+
 def test_contents_that_no_change_needs_do_not_move(spark):
     """Beyond the broadcast limit, rows without a key are dropped in place; none that has one is."""
     big = spark.range(40_000).select(F.col("id").cast("string").alias("a"), (F.col("id") % 7).cast("string").alias("b"), "id")
