@@ -1,20 +1,20 @@
 """Examples built as releases arrive, with Structured Streaming.
 
-Releases are paired in keyed state: each repository keeps its releases in order in Spark's state store, so a micro-batch reads
-and writes the state of the repositories it brings and of no others. A release that comes late splits the pair it falls into;
+Releases are paired in keyed state: each repository keeps its releases in order in Spark's state store, a quarter of a year in
+each entry, so a micro-batch reads and writes the entries its releases fall into and no others. Pairs across entries follow from
+the first and last release of each, which are written beside the events. A release that comes late splits the pair it falls into;
 the pair it ends is listed as stale. Every micro-batch overwrites its own ``batch_id=`` folders, so a replayed batch
 replaces its earlier output.
 """
 
 from __future__ import annotations
 
-import bisect
 import sys
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,56 +33,98 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RELEASE = ["at", "release_id", "tag_name", "commit_sha"]
 STATE = "at array<bigint>, release_id array<bigint>, tag_name array<string>, commit_sha array<string>, trimmed boolean"
-EVENTS = "repo string, kind string, from_version string, to_version string, from_sha string, to_sha string"
+EVENTS = ("repo string, slice bigint, kind string, from_version string, to_version string, from_sha string, to_sha string, "
+          "from_at bigint, from_id bigint, to_at bigint, to_id bigint")
 PAIRED = [*PAIR, "from_sha", "to_sha"]
-# Releases kept for each repository; what is older than all of them is set aside.
-KEPT_RELEASES = 10_000
+# Microseconds of publication that one entry of the state holds of a repository.
+SLICE = 91 * 24 * 3600 * 10**6
 
 
-def pairing(keep: int):
-    """State function: events of one repository for the releases that a micro-batch brings, in any order.
+def pairing(keep: int | None):
+    """State function: events of one repository and slice for the releases that a micro-batch brings, in any order.
 
     pair   two neighbours in the order of publication that are new as a pair
     stale  a pair given before that a late release has split
-    late   a release older than all that are kept (as to_version)
+    edge   the first (as from_version) and last (as to_version) release of the slice, where they are new
+    late   with ``keep``: a release older than all that are kept (as to_version)
     """
     def run(key: tuple, batches, state: GroupState):
         known, trimmed = [], False
         if state.exists:
             *columns, trimmed = state.get
             known = list(zip(*columns, strict=True))
-        seen, events = {r[:2] for r in known}, []
-        before, after = set(), set()
+        seen, given, events = {r[:2] for r in known}, [], []
+
+        def event(kind, a, b):
+            events.append((*key, kind, a[2], b[2], a[3], b[3], *a[:2], *b[:2]))
+
         for batch in batches:
-            for release in sorted(batch[RELEASE].itertuples(index=False, name=None)):
-                release = (int(release[0]), int(release[1]), *release[2:])
-                if release[:2] in seen:
-                    continue
-                if trimmed and release < known[0]:
-                    events.append(("late", None, release[2], None, release[3]))
-                    continue
-                seen.add(release[:2])
-                i = bisect.bisect(known, release)
-                left, right = known[i - 1] if i else None, known[i] if i < len(known) else None
-                if left and right:
-                    (after.discard if (left, right) in after else before.add)((left, right))
-                after |= {(a, b) for a, b in ((left, release), (release, right)) if a and b}
-                known.insert(i, release)
-        events += [("stale", a[2], b[2], a[3], b[3]) for a, b in sorted(before)] + [("pair", a[2], b[2], a[3], b[3]) for a, b in sorted(after)]
-        if len(known) > keep:
-            known, trimmed = known[-keep:], True
-        if known:
-            state.update((*[list(c) for c in zip(*known, strict=True)], trimmed))
-        yield pd.DataFrame([(key[0], *e) for e in events], columns=[c.split()[0] for c in EVENTS.split(", ")])
+            given += [(int(r[0]), int(r[1]), *r[2:]) for r in batch[RELEASE].itertuples(index=False, name=None)]
+        new = {}
+        for release in sorted(given, key=lambda r: [(c is not None, c) for c in r]):
+            if release[:2] in seen:
+                continue
+            if trimmed and release[:2] < known[0][:2]:
+                event("late", [None] * 4, release)
+                continue
+            new.setdefault(release[:2], release)
+        # Both lists are in order, so that putting them together takes time in proportion to their length.
+        merged = sorted([*known, *new.values()], key=lambda r: r[:2])
+        before = previous = None
+        for release in merged:
+            is_new = release[:2] in new
+            if previous and (is_new or previous[:2] in new):
+                event("pair", previous, release)
+            if not is_new:
+                if before and before is not previous:
+                    event("stale", before, release)
+                before = release
+            previous = release
+        if new and keep is None and (not known or merged[0] != known[0] or merged[-1] != known[-1]):
+            event("edge", merged[0], merged[-1])
+        if keep is not None and len(merged) > keep:
+            merged, trimmed = merged[-keep:], True
+        if new and merged:
+            state.update((*[list(c) for c in zip(*merged, strict=True)], trimmed))
+        # As objects, so that no number passes through a float beside a missing one.
+        yield pd.DataFrame(events, columns=[c.split()[0] for c in EVENTS.split(", ")], dtype=object)
 
     return run
 
 
-def release_events(releases: DataFrame, keep: int = KEPT_RELEASES) -> DataFrame:
-    """The events of a stream of releases, see :func:`pairing`."""
+def release_events(releases: DataFrame, keep: int | None = None) -> DataFrame:
+    """The events of a stream of releases, see :func:`pairing`. With ``keep``, a repository is one entry of the state."""
+    slice_ = F.floor(F.col("at") / SLICE) if keep is None else F.lit(0).cast("long")
     rows = stable_releases(releases).select(
         "repo", F.unix_micros("published_at").alias("at"), "release_id", "tag_name", "commit_sha")
-    return rows.groupBy("repo").applyInPandasWithState(pairing(keep), EVENTS, STATE, "update", GroupStateTimeout.NoTimeout)
+    return rows.withColumn("slice", slice_).groupBy("repo", "slice").applyInPandasWithState(
+        pairing(keep), EVENTS, STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def _across(edges: DataFrame, batch_id: int) -> DataFrame:
+    """Pairs and stale pairs, as events, between neighbouring slices of the repositories that ``batch_id`` has edges of.
+
+    ``edges`` are those of all batches up to this one. Neighbours before it and after it are compared; a repository has
+    no more rows here than quarters.
+    """
+    first, last = (F.struct(*[f"{side}_{c}" for c in ("at", "id", "version", "sha")]) for side in ("from", "to"))
+    touched = edges.filter(F.col("batch_id") == batch_id).select(F.col("repo").alias("_repo")).distinct()
+    earlier = F.col("batch_id") < batch_id
+    slices = edges.join(touched, F.col("repo").eqNullSafe(F.col("_repo")), "left_semi").groupBy("repo", "slice").agg(
+        F.max(last).alias("a"), F.min(first).alias("first"),
+        F.max(F.when(earlier, last)).alias("old_a"), F.min(F.when(earlier, first)).alias("old_first"))
+    down = Window.partitionBy("repo").orderBy(F.desc("slice"))
+    met = slices.select(
+        "repo", "slice", "a", F.lag("first").over(down).alias("b"), "old_a",
+        F.last("old_first", ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, -1)).alias("old_b"))
+    same = F.col("a").eqNullSafe(F.col("old_a")) & F.col("b").eqNullSafe(F.col("old_b"))
+
+    def events(kind, a, b):
+        return met.filter(~same & F.col(a).isNotNull() & F.col(b).isNotNull()).select(
+            "repo", F.lit(kind).alias("kind"), F.col(f"{a}.to_version").alias("from_version"), F.col(f"{b}.from_version").alias("to_version"),
+            F.col(f"{a}.to_sha").alias("from_sha"), F.col(f"{b}.from_sha").alias("to_sha"))
+
+    return events("pair", "a", "b").unionByName(events("stale", "old_a", "old_b"))
 
 
 def _advance(events: DataFrame, batch_id: int, folder: str) -> DataFrame:
@@ -90,13 +132,18 @@ def _advance(events: DataFrame, batch_id: int, folder: str) -> DataFrame:
     spark, part = events.sparkSession, f"batch_id={batch_id}"
     events.write.mode("overwrite").parquet(f"{folder}/events/{part}")
     rows = spark.read.schema(EVENTS).parquet(f"{folder}/events/{part}")
+    rows.filter("kind = 'edge'").drop("kind").write.mode("overwrite").parquet(f"{folder}/edges/{part}")
+    edges = spark.read.schema(rows.drop("kind").withColumn("batch_id", F.lit(0).cast("long")).schema).parquet(f"{folder}/edges")
+    changes = rows.filter("kind IN ('pair', 'stale')").select("repo", "kind", *PAIRED[1:]).unionByName(
+        _across(edges.filter(F.col("batch_id") <= batch_id), batch_id))
+    changes = written(changes, "pair_changes")
     late = rows.filter("kind = 'late'").select("repo", F.col("to_version").alias("tag_name"), F.col("to_sha").alias("commit_sha"))
-    for name, table in (("pairs", rows.filter("kind = 'pair'").select(*PAIRED)), ("stale", rows.filter("kind = 'stale'").select(*PAIR)), ("late_releases", late)):
+    for name, table in (("pairs", changes.filter("kind = 'pair'").select(*PAIRED)), ("stale", changes.filter("kind = 'stale'").select(*PAIR)), ("late_releases", late)):
         table.write.mode("overwrite").parquet(f"{folder}/{name}/{part}")
-    return rows.filter("kind = 'pair'").select(*PAIRED)
+    return changes.filter("kind = 'pair'").select(*PAIRED)
 
 
-def _run(releases: DataFrame, folder: str, keep: int, each_batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def _run(releases: DataFrame, folder: str, keep: int | None, each_batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
         release_events(releases, keep).writeStream.outputMode("update").foreachBatch(each_batch)
         .option("checkpointLocation", f"{folder}/_progress")
@@ -105,11 +152,11 @@ def _run(releases: DataFrame, folder: str, keep: int, each_batch: Callable[[Data
     )
 
 
-def start_pairing(releases: DataFrame, folder: str, keep: int = KEPT_RELEASES) -> StreamingQuery:
+def start_pairing(releases: DataFrame, folder: str, keep: int | None = None) -> StreamingQuery:
     """Pair the releases of a stream as they arrive, in any order; results for :func:`current_pairs`.
 
-    Of each repository ``keep`` releases stay in the state; one that is older than all of them is listed under
-    ``folder/late_releases`` and left to :func:`catch_up`.
+    All releases stay in the state, unless ``keep`` asks for a number of them for each repository: then one that is older than all of
+    them is listed under ``folder/late_releases`` and left to :func:`catch_up`.
     """
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         _advance(batch, batch_id, folder)
@@ -132,7 +179,7 @@ def start_examples(
     settings: Settings = Settings(),
     known_packages: DataFrame | None = None,
     system_prompt: str | None = DEFAULT_SYSTEM_PROMPT,
-    keep: int = KEPT_RELEASES,
+    keep: int | None = None,
 ) -> StreamingQuery:
     """Append the examples of new pairs to dataset, chat and example_meta folders.
 

@@ -1,3 +1,4 @@
+import datetime
 import gzip
 import hashlib
 import io
@@ -293,6 +294,23 @@ def test_releases_beyond_what_is_kept_are_set_aside(spark, tmp_path):
     assert [r.tag_name for r in spark.read.parquet(out + "/late_releases").collect()] == ["v2"]
 
 
+def test_any_number_of_releases_is_paired(spark, tmp_path):
+    source, out, rng = str(tmp_path / "in"), str(tmp_path / "out"), random.Random(5)
+    start = datetime.datetime(2022, 11, 5)
+    given = [("o/r", f"v{i}", str(start + datetime.timedelta(hours=i // 2)), i) for i in range(10_300)]
+    first, rest = given[40:10_200], given[:40] + given[10_200:]
+    rng.shuffle(rest)
+    # The first batch holds more than 10,000; what comes later is older, newer, or splits a pair across a quarter.
+    split = [first.pop(i) for i in (7000, 5000, 5001, 4367, 4368, 0)]
+    for part in (first, rest[:70] + split, rest[70:]):
+        landing(spark, source, part)
+    start_pairing(stream(spark, source), out).awaitTermination()
+    got = sorted((r.repo, r.from_version, r.to_version) for r in current_pairs(spark, out).collect())
+    tags = [f"v{i}" for i in range(10_300)]
+    assert got == sorted(("o/r", a, b) for a, b in zip(tags, tags[1:], strict=False))
+    assert spark.read.parquet(out + "/late_releases").count() == 0
+
+
 def tar_of(members, cut=None):
     raw = io.BytesIO()
     with tarfile.open(fileobj=raw, mode="w:gz") as tar:
