@@ -60,15 +60,22 @@ def as_records(examples: DataFrame) -> DataFrame:
     return examples.select(*EXAMPLE_COLUMNS, F.lit(0).alias("part_no"), F.lit(1).alias("parts"))
 
 
+def with_sizes(examples: DataFrame) -> DataFrame:
+    """Add the lengths of the texts; written beside the texts, they spare :func:`example_meta` reading them."""
+    return examples.withColumns({f"{side}_size": F.length(f"{side}_text").cast("long") for side in ("input", "output")})
+
+
 def example_meta(examples: DataFrame) -> DataFrame:
-    """Light rows for statistics, one an example: text lengths instead of texts."""
-    sizes = {f"{side}_size": F.length(f"{side}_text").cast("long") for side in ("input", "output")}
+    """Light rows for statistics, one an example: text lengths (those of :func:`with_sizes`, if there) instead of texts."""
+    sizes = ["input_size", "output_size"]
+    if not set(sizes) <= set(examples.columns):
+        examples = with_sizes(examples)
     if "part_no" not in examples.columns:
-        return examples.withColumns(sizes).select(*EXAMPLE_META.fieldNames())
+        return examples.select(*EXAMPLE_META.fieldNames())
     key = ["repo_name", "from_version", "to_version"]
     others = [c for c in EXAMPLE_META.fieldNames() if c not in (*key, *sizes)]
     return examples.groupBy(*key).agg(
-        *[F.sum(size).alias(name) for name, size in sizes.items()], *[F.max(c).alias(c) for c in others]).select(*EXAMPLE_META.fieldNames())
+        *[F.sum(name).alias(name) for name in sizes], *[F.max(c).alias(c) for c in others]).select(*EXAMPLE_META.fieldNames())
 
 
 def chat_messages(input_: Column, output: Column, system_prompt: str | None) -> Column:

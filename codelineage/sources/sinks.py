@@ -14,8 +14,11 @@ from codelineage.storage import written
 
 
 def save_jsonl(rows: DataFrame, path: str, compress: bool = True, mode: str = "errorifexists") -> None:
-    """ASCII-only JSON lines with every field present, one part file per task."""
-    writer = rows.write.mode(mode).option("writeNonAsciiCharacterAsCodePoint", "true")
+    """ASCII-only JSON lines with every field present, one part file per task.
+
+    Compressed at the fastest level: the usual one takes four times as long as all else in writing them, for files a seventh smaller.
+    """
+    writer = rows.write.mode(mode).option("writeNonAsciiCharacterAsCodePoint", "true").option("zlib.compress.level", "BEST_SPEED")
     writer.json(path, compression="gzip" if compress else "none", ignoreNullFields=False)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from codelineage.operators.diff import PAIR
-from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, example_meta
+from codelineage.operators.examples import DEFAULT_SYSTEM_PROMPT, example_meta, with_sizes
 from codelineage.operators.releases import release_pairs, stable_releases
 from codelineage.operators.stats import dataset_stats
 from codelineage.plans.dataset import Dataset, build_pairs
@@ -197,7 +197,7 @@ def start_examples(
 
 
 def _save(built: Dataset, folder: str, batch_id: int, system_prompt: str | None) -> None:
-    examples = written(built.examples, "examples")
+    examples = written(with_sizes(built.examples), "examples")
     part = f"batch_id={batch_id}"
     save_examples_jsonl(examples, f"{folder}/dataset.jsonl/{part}", mode="overwrite")
     save_examples_chat_jsonl(examples, f"{folder}/dataset_chat.jsonl/{part}", system_prompt, mode="overwrite")

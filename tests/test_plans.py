@@ -1,10 +1,15 @@
+import gzip
+import json
+import random
 import re
+import zlib
 
 from pyspark.sql import functions as F
 
 from codelineage import dims
 from codelineage.functions.patterns import in_snapshot
 from codelineage.operators import diff, examples, releases, snapshot, stats
+from codelineage.sources import sinks
 from codelineage.sources.tables import read_files_table
 from helpers import files
 from helpers import releases as release_rows
@@ -55,6 +60,28 @@ def test_light_statistics_read_no_texts(spark, tmp_path):
     assert stats.example_stats(rows.limit(0)).count() == 0
 
 
+def test_light_rows_use_the_sizes_written_beside_the_texts(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("r", "a", "b", "now", "input " * (n + 1), "é" * n, 1, 1, 1, 1, 1, n, 3) for n in range(3)] + [("r", "b", "c", "now", "", "x", 2, 1, 1, 1, 1, 0, 1)],
+        "repo_name string, from_version string, to_version string, created_at string, input_text string, output_text string, input_tokens_approx long, "
+        "output_tokens_approx long, num_files_in_codebase long, num_files_changed long, num_dependencies long, part_no int, parts int")
+    examples.with_sizes(rows).write.parquet(str(tmp_path / "sized"))
+    light = examples.example_meta(spark.read.parquet(str(tmp_path / "sized")))
+    assert scans(light) and all("_text" not in s for s in scans(light))
+    assert sorted(light.collect()) == sorted(examples.example_meta(rows).collect()) and light.count() == 2
+
+
+def test_json_lines_are_compressed_at_the_fastest_level(spark, tmp_path):
+    rng = random.Random(2)
+    text = " ".join(rng.choice(["def", "return", "value", "import", "self", str(rng.random())]) for _ in range(100000))
+    sinks.save_jsonl(spark.createDataFrame([(text,)], "text string").coalesce(1), str(tmp_path / "j"))
+    packed, = (tmp_path / "j").glob("part-*.json.gz")
+    plain = gzip.decompress(packed.read_bytes())
+    assert json.loads(plain) == {"text": text}
+    fast, usual = (len(zlib.compress(plain, level)) for level in (1, 6))
+    assert abs(packed.stat().st_size - fast) < (fast - usual) / 4
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     spark.range(10).select(F.lit("org/x").alias("repo_name"), F.col("id").alias("input_tokens_approx")).write.parquet(str(tmp_path / "e"))
     kept = examples.filter_examples(spark.read.parquet(str(tmp_path / "e")), "org", 5)
