@@ -27,6 +27,17 @@ def test_many_cuts_give_the_parts_that_few_give(spark, monkeypatch):
     assert sorted((r.k, r.part_no, r.parts, r.byte_start, len(r.text)) for r in render.text_parts(pieces, ["k"], ["at"], 10).collect()) == at_once
 
 
+def test_no_row_is_joined_with_all_cuts(spark):
+    pieces = spark.createDataFrame([("k", i, "x" * (i % 7)) for i in range(900)], "k string, at int, piece string")
+    placed = render.slotted(render.sized(pieces, ["k"], ["at"]), ["k"], ["at"], 10)
+    index = render.part_index(placed, ["k"], ["at"])
+    cuts = sorted(r.first["at"] for r in index.collect())
+    found = render.with_part(pieces, placed, index, ["k"], ["at"], ("parts",))
+    assert {(r.at, r.part_no, r.parts) for r in found.collect()} == {(i, sum(c <= i for c in cuts) - 1, len(cuts)) for i in range(900)}
+    # Once for the group and once for the cut within it.
+    assert len(cuts) > 100 and found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
 def test_digest_of_parts(spark):
     rows = [(f"k{k}", i, f"text é {i} " * (i + k), "" if k else "x") for k in range(4) for i in range(25)]
     records = spark.createDataFrame(random.sample(rows, len(rows)), "k string, part_no int, a string, b string")
