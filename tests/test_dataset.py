@@ -4,6 +4,7 @@ import hashlib
 import io
 import json
 import random
+import re
 import tarfile
 from pathlib import Path
 
@@ -353,6 +354,19 @@ def test_failing_archive_manifest_and_diff_leave_the_rest(spark, monkeypatch):
     assert all("Error generating diff: planted" in t and "-a\n+b\n" in t for t in got.values())
 
 
+def test_many_broken_archives_are_no_table_of_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(joins, "FEW_KEYS", 50)
+    rows = [(f"r{i % 7}", f"v{i}", "x" if i % 3 else None, f"t{i}".encode() if i % 3 else None, None if i % 3 else "EOFError: x") for i in range(3000)]
+    rows += [("r0", "v0", "early", b"read before the end", None), (None, "v0", "p", b"no repository", None)]
+    readable, unreadable = archives.readable(spark.createDataFrame(rows, "repo string, version string, path string, content binary, error string"))
+    want = {(r[0], r[1], r[2]) for r in rows if r[4] is None and r[2] != "early"}
+    assert {(r.repo, r.version, r.path) for r in readable.collect()} == want and readable.count() == len(want)
+    assert unreadable.count() == 1000
+    # Only the marks are broadcast; the rows that may be of a broken archive meet the keys in a shuffle.
+    plan = readable._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and not re.search(r"LeftAnti.*rightHint=\(strategy=broadcast\)", plan)
+
+
 def test_strict_reader_fails_on_a_broken_archive(spark, tmp_path):
     folder = tmp_path / "repo=o%2Fr" / "version=v1"
     folder.mkdir(parents=True)
