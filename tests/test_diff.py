@@ -224,3 +224,21 @@ def test_changes_beyond_the_broadcast_limit(spark, monkeypatch):
     at_once = sorted(diff.file_diffs(pairs, files(spark, rows)).collect())
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     assert sorted(diff.file_diffs(pairs, files(spark, rows)).collect()) == at_once and len(at_once) == 11
+
+
+def test_contents_are_compared_under_short_names(spark, monkeypatch):
+    """Near renames carry 16 bytes a content through their shuffles and give the hashes they were given, whatever these look like."""
+    held = []
+    plain = diff.content_lines
+    monkeypatch.setattr(diff, "content_lines", lambda loose, files_: held.append(plain(loose, files_)) or held[-1])
+    text = "".join(f"line {i}\n" for i in range(40))
+    rows = [("o/r", "v1", "a.py", text), ("o/r", "v1", "b.py", "other\n" * 9), ("o/r", "v2", "z.py", text + "tail\n"), ("o/r", "v2", "y.py", "none of it\n")]
+    pairs = release_pairs(releases(spark, [("o/r", "v1", "2024-01-01", 1), ("o/r", "v2", "2024-01-02", 2)]))
+    raw = files(spark, rows).withColumn("content_sha", F.concat(F.lit("any name: "), "content_sha"))
+    changes = diff.path_changes(pairs, raw).withColumn("old_path", F.lit(None).cast("string"))
+    got = {r.path: r for r in diff.near_renames(changes, raw, 0.7).collect()}
+    sha = {r.path: r.content_sha for r in raw.collect()}
+    assert set(got) == {"z.py", "y.py", "b.py"} and got["z.py"].old_path == "a.py" and got["z.py"].change_type == "renamed"
+    assert (got["z.py"].old_sha, got["z.py"].new_sha) == (sha["a.py"], sha["z.py"]) and got["b.py"].old_sha == sha["b.py"]
+    for table in held[0]:
+        assert {len(r.sha) for r in table.collect()} == {16}
